@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -43,20 +44,63 @@ def _uid(ref: str | Column) -> Column:
     return (F.col(ref) if isinstance(ref, str) else ref)["uid"]
 
 
-# Comparison options and the collation that ignores what each set of them ignores.
-COLLATIONS = {"c": "UNICODE_CI", "d": "UNICODE_AI", "cd": "UNICODE_CI_AI"}
+def _accents() -> tuple[str, str]:
+    """Letters with accents and their plain letters; combining marks follow, without a counterpart."""
+    accented, plain = [], []
+    for code in range(0xC0, 0x2000):
+        base = unicodedata.normalize("NFD", chr(code))
+        if len(base) > 1 and all(unicodedata.combining(mark) for mark in base[1:]):
+            accented.append(chr(code))
+            plain.append(base[0])
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    return "".join(accented) + marks, "".join(plain)
+
+
+ACCENTED, PLAIN = _accents()
+
+
+def fold(text: Column, options: str) -> Column:
+    """Text without what the options ignore: ``c`` case, ``d`` accents."""
+    if "d" in options:
+        text = F.translate(text, ACCENTED, PLAIN)
+    return F.lower(text) if "c" in options else text
+
+
+def _fold_value(value: object, options: str) -> object:
+    if isinstance(value, (list, tuple)):
+        return [_fold_value(v, options) for v in value]
+    if isinstance(value, Column):
+        return fold(value, options)
+    return fold(F.lit(value), options) if isinstance(value, str) else value
+
+
+def _fold_pattern(pattern: object, options: str) -> str:
+    if not isinstance(pattern, str):
+        raise TypeError("a pattern is a text")
+    if "d" in options:
+        pattern = "".join(c for c in unicodedata.normalize("NFD", pattern) if not unicodedata.combining(c))
+    return pattern
 
 
 def compare(left: Column, operator: str, right: object, options: str = "") -> Column:
     """One comparison by its operator name, with options ``c`` (ignore case) and ``d`` (ignore accents).
 
-    ``right`` is a value, a Column, a pair for BETWEEN or a list for IN.
+    ``right`` is a value, a Column, a pair for BETWEEN, a list for IN, or a pattern for LIKE (``*`` and
+    ``?``) and MATCHES (a regular expression for the whole text).
     """
     name = operator.strip().upper()
+    options = options.lower()
+    if set(options) - {"c", "d"}:
+        raise ValueError(f"unknown options {options!r}")
+    if name == "LIKE":
+        pattern = _sql_pattern(_fold_pattern(right, options))
+        text = fold(left, options.replace("c", ""))
+        return text.ilike(pattern) if "c" in options else text.like(pattern)
+    if name == "MATCHES":
+        flags = "(?iu)" if "c" in options else ""
+        return fold(left, options.replace("c", "")).rlike(rf"{flags}^(?:{_fold_pattern(right, options)})$")
     if options:
-        collation = COLLATIONS["".join(sorted(options.lower()))]
-        left = F.collate(left, collation)
-        right = _collated(right, collation)
+        left, right = fold(left, options), _fold_value(right, options)
     if name in ("=", "=="):
         return left.isNull() if right is None else left == right
     if name in ("!=", "<>"):
@@ -77,24 +121,10 @@ def compare(left: Column, operator: str, right: object, options: str = "") -> Co
     }
     if name in simple:
         return simple[name](right)
-    if name == "LIKE":
-        return left.like(_sql_pattern(right))
-    if name == "MATCHES":
-        return left.rlike(rf"^(?:{right})$")
     raise ValueError(f"unknown comparison {operator!r}")
 
 
-def _collated(value: object, collation: str) -> object:
-    if isinstance(value, (list, tuple)):
-        return [_collated(v, collation) for v in value]
-    if isinstance(value, Column):
-        return F.collate(value, collation)
-    return F.collate(F.lit(value), collation) if isinstance(value, str) else value
-
-
-def _sql_pattern(pattern: object) -> str:
+def _sql_pattern(pattern: str) -> str:
     """``*`` and ``?`` wildcards as a SQL pattern; SQL's own wildcards are taken literally."""
-    if not isinstance(pattern, str):
-        raise TypeError("LIKE takes a text and no options")
     escaped = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
     return escaped.replace("*", "%").replace("?", "_")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,6 +19,8 @@ INSERT = "insert"
 UPDATE = "update"
 DELETE_LOCAL = "delete_local"
 
+CHANGES = (INSERT, UPDATE, DELETE_LOCAL)
+
 PAGE_SIZE = 100
 
 
@@ -68,10 +70,24 @@ def _above(watermarks: Watermarks) -> Column:
     return above
 
 
-def increment(remote: DataFrame, watermarks: Watermarks | None, now: Column | datetime, full: bool = False) -> DataFrame:
-    """Rows above their entity's watermark and below ``now``, both strict; one bound for all entities."""
+def increment(
+    remote: DataFrame,
+    watermarks: Watermarks | None,
+    now: Column | datetime,
+    full: bool = False,
+    entities: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows above their entity's watermark and below ``now``, both strict; one bound for all entities.
+
+    With ``entities``, all that the table holds, the lowest watermark is a bound of its own, by which the
+    scan skips row groups even where entities are mixed.
+    """
     rows = remote.filter(F.col("updated_at") < ntz(now))
-    return rows if full or not watermarks else rows.filter(_above(watermarks))
+    if full or not watermarks:
+        return rows
+    if entities and all(entity in watermarks for entity in entities):
+        rows = rows.filter(F.col("updated_at") > ntz(min(watermarks[entity] for entity in entities)))
+    return rows.filter(_above(watermarks))
 
 
 def late_rows(feed: DataFrame, watermarks: Watermarks) -> DataFrame:

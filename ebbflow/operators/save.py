@@ -191,12 +191,27 @@ def delete_rows(
     tombstone lets go of owners that live on. ``remove`` takes the rows away as a pull does and leaves
     the dirty flags alone.
     """
+    gone = gone_keys(model, tables, {entity: keys})
+    return DeleteResult(apply_gone(model, tables, gone, remove), gone)
+
+
+def gone_keys(
+    model: EntityModel, tables: Mapping[str, DataFrame], keys: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Uids by root that go when the given uids, by entity, are deleted: those and their cascades."""
     gone: dict[str, DataFrame] = {}
-    for name, level in cascade_levels(model, tables, entity, keys):
-        root = model.root_of(name)
-        gone[root] = level if root not in gone else gone[root].unionByName(level).distinct()
-    tables = {root: _after_delete(model, root, table, gone, remove) for root, table in tables.items()}
-    return DeleteResult(tables, gone)
+    for entity, own in keys.items():
+        for name, level in cascade_levels(model, tables, entity, own):
+            root = model.root_of(name)
+            gone[root] = level if root not in gone else gone[root].unionByName(level)
+    return {root: rows.distinct() for root, rows in gone.items()}
+
+
+def apply_gone(
+    model: EntityModel, tables: Mapping[str, DataFrame], gone: Mapping[str, DataFrame], remove: bool = False
+) -> dict[str, DataFrame]:
+    """Tables after the rows of ``gone`` were deleted and references to them cleared."""
+    return {root: _after_delete(model, root, table, gone, remove) for root, table in tables.items()}
 
 
 def _after_delete(
@@ -208,7 +223,7 @@ def _after_delete(
         table = table.withColumn("_own", F.coalesce("_own", F.lit(False)))
     else:
         table = table.withColumn("_own", F.lit(False))
-    table = table.withColumn("_lost", F.lit(False))
+    table = table.withColumn("_bereft", F.lit(False))
 
     for relationship in _of_family(model, root):
         name, target_root = relationship.name, model.root_of(relationship.target)
@@ -223,17 +238,17 @@ def _after_delete(
             lets_go = F.lit(relationship.delete_rule is DeleteRule.NULLIFY) & ~F.col("_cleared")
             cleared = F.when(F.col("_own"), lets_go).otherwise(F.col("_cleared"))
             table = before.withColumns(
-                {"_lost": F.col("_lost") | F.col("_cleared"), name: F.when(~cleared, F.col("_before"))}
+                {"_bereft": F.col("_bereft") | F.col("_cleared"), name: F.when(~cleared, F.col("_before"))}
             ).drop("_before", "_cleared")
         elif target_root in gone:
             table = remove_from_arrays(table, name, gone[target_root])
-            table = table.withColumn("_lost", F.col("_lost") | F.col("_cleared")).drop("_cleared")
+            table = table.withColumn("_bereft", F.col("_bereft") | F.col("_cleared")).drop("_cleared")
 
     if remove:
         return table.filter(~F.col("_own")).select(*columns)
     return table.withColumns(
         {
             "status": F.when(F.col("_own"), _status(Status.DELETED)).otherwise(F.col("status")),
-            "is_dirty": F.col("_own") | F.col("_lost") | F.col("is_dirty"),
+            "is_dirty": F.col("_own") | F.col("_bereft") | F.col("is_dirty"),
         }
     ).select(*columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.model import KEY, EntityModel, Relationship, Stored
 from ebbflow.operators import changes, pull, push
-from ebbflow.operators.save import delete_rows, placeholders, references_of
+from ebbflow.operators.save import apply_gone, gone_keys, placeholders, references_of
 from ebbflow.session import materialized
 
 Tables = Mapping[str, DataFrame]
@@ -51,10 +51,29 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _references_into(model: EntityModel, root: str, parts: list[DataFrame]) -> DataFrame | None:
+def _written_by_root(parts: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, set[str]]]:
+    """One write, and so one job, for tables of the same columns; each is read back by its folder.
+
+    Also tells which actions occur in each table: at most roots times actions, read by the driver to
+    leave out joins that would change nothing.
+    """
     if not parts:
+        return {}, {}
+    together = _union([part.withColumn("root", F.lit(root)) for root, part in parts.items()])
+    written = materialized(together, partition_by="root")
+    kinds = F.col("action") if "action" in written.columns else F.lit("row")
+    actions: dict[str, set[str]] = {root: set() for root in parts}
+    for row in written.select("root", kinds.alias("action")).distinct().collect():
+        actions[row["root"]].add(row["action"])
+    return {root: written.filter(F.col("root") == root).drop("root") for root in parts}, actions
+
+
+def _references_into(model: EntityModel, root: str, parts: list[DataFrame | None]) -> DataFrame | None:
+    """References to rows of one root, or None when nothing that was read holds any."""
+    held = [part for part in parts if part is not None]
+    if not held:
         return None
-    return _union(parts).filter(F.col("entity").isin(model.family(root)))
+    return _union(held).filter(F.col("entity").isin(model.family(root)))
 
 
 def sync(
@@ -82,16 +101,17 @@ def sync(
     roots = [root for root in model.roots if root in local]
     at = pull.ntz(push_time)
 
-    plans = {root: materialized(push.push_plan(local[root], remote[root], policy)) for root in roots}
+    plans, to_push = _written_by_root({root: push.push_plan(local[root], remote[root], policy) for root in roots})
     errors = _union([push.push_errors(plan) for plan in plans.values()])
-    if on_error == "fail":
-        first = errors.orderBy("entity", "uid").limit(1).collect()
-        if first:
-            raise SyncError(first[0]["code"], first[0]["uid"])
+    if on_error == "fail" and any(actions & set(push.ERRORS) for actions in to_push.values()):
+        first = errors.orderBy("entity", "uid").limit(1).collect()[0]
+        raise SyncError(first["code"], first["uid"])
 
     # A row that was deleted before the remote heard of it cannot be referred to any more.
     dropped = {
-        root: plan.filter(F.col("action") == push.DROP_LOCAL).select("uid").distinct() for root, plan in plans.items()
+        root: plans[root].filter(F.col("action") == push.DROP_LOCAL).select("uid")
+        for root in roots
+        if push.DROP_LOCAL in to_push[root]
     }
     tables = {}
     for root in roots:
@@ -101,53 +121,81 @@ def sync(
                 rows = push.without_dropped(rows, [pointer.name], dropped[model.root_of(pointer.target)])
         tables[root] = rows
 
-    outgoing_refs = []
-    for root in roots:
-        sent = plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
-        refs = references_of(tables[root].join(sent, list(KEY), "left_semi"), _relationships(model, root))
-        if refs is not None:
-            outgoing_refs.append(refs)
-
-    after_push: dict[str, DataFrame] = {}
-    remote_after: dict[str, DataFrame] = {}
-    written: dict[str, DataFrame] = {}
+    sent = {
+        root: plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
+        for root in roots
+        if to_push[root] & set(push.SENDS)
+    }
+    outgoing = [
+        references_of(tables[root].join(keys, list(KEY), "left_semi"), _relationships(model, root))
+        for root, keys in sent.items()
+    ]
+    unknown, found = _written_by_root(
+        {
+            root: push.placeholders_to_push(refs, local[root], plans[root])
+            for root in roots
+            if (refs := _references_into(model, root, outgoing)) is not None
+        }
+    )
+    unknown = {root: keys for root, keys in unknown.items() if found[root]}
+
+    after_push, remote_after = dict(tables), dict(remote)
     for root in roots:
-        refs = _references_into(model, root, outgoing_refs)
-        fresh = None
-        if refs is not None:
-            fresh = materialized(push.placeholders_to_push(refs, local[root], plans[root]))
-        result = push.apply_push(tables[root], remote[root], plans[root], at, fresh)
-        after_push[root], remote_after[root] = result.local, result.remote
-        sent = plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
-        written[root] = sent if fresh is None else sent.unionByName(fresh)
+        if to_push[root] - set(push.ERRORS) or root in unknown:
+            result = push.apply_push(tables[root], remote[root], plans[root], at, unknown.get(root))
+            after_push[root], remote_after[root] = result.local, result.remote
+    written = {
+        root: _union([keys[root] for keys in (sent, unknown) if root in keys])
+        for root in roots
+        if root in sent or root in unknown
+    }
 
     # Rows just written are known here and rows in error stay as they are; all others come from the
     # remote as it was, so that the bounds reach its scan.
     incoming = {}
     for root in roots:
-        settled = written[root].unionByName(push.push_errors(plans[root]).select(*KEY))
-        rows = pull.increment(remote[root], watermarks, now, full).join(settled, list(KEY), "left_anti")
+        rows = pull.increment(remote[root], watermarks, now, full, model.family(root))
+        settled = [written[root]] if root in written else []
+        if to_push[root] & set(push.ERRORS):
+            settled.append(push.push_errors(plans[root]).select(*KEY))
+        if settled:
+            rows = rows.join(_union(settled), list(KEY), "left_anti")
         incoming[root] = pull.decode_rows(rows, model, root)
-    pull_plans = {root: materialized(pull.pull_plan(after_push[root], incoming[root])) for root in roots}
+    pull_plans, to_pull = _written_by_root(
+        {root: pull.pull_plan(after_push[root], incoming[root]) for root in roots}
+    )
 
-    after_pull = {root: pull.apply_pull(after_push[root], incoming[root]).local for root in roots}
-    for root in roots:
-        removed = pull_plans[root].filter(F.col("action") == pull.DELETE_LOCAL).select("uid")
-        after_pull = delete_rows(model, after_pull, root, removed, remove=True).tables
+    after_pull = {
+        root: pull.apply_pull(table, incoming[root]).local if to_pull[root] & set(pull.CHANGES) else table
+        for root, table in after_push.items()
+    }
+    removed = {
+        root: pull_plans[root].filter(F.col("action") == pull.DELETE_LOCAL).select("uid")
+        for root in roots
+        if pull.DELETE_LOCAL in to_pull[root]
+    }
+    if removed:
+        gone, _ = _written_by_root(gone_keys(model, after_pull, removed))
+        after_pull = apply_gone(model, after_pull, gone, remove=True)
 
-    incoming_refs = []
-    for root in roots:
-        applied = pull_plans[root].filter(F.col("action").isin(pull.INSERT, pull.UPDATE)).select(*KEY)
-        refs = references_of(incoming[root].join(applied, list(KEY), "left_semi"), _relationships(model, root))
-        if refs is not None:
-            incoming_refs.append(refs)
-    added = []
+    arriving = []
     for root in roots:
-        refs = _references_into(model, root, incoming_refs)
-        if refs is not None:
-            fresh = materialized(placeholders(refs, after_pull[root], created_remotely=True))
-            after_pull[root] = after_pull[root].unionByName(fresh, allowMissingColumns=True)
-            added.append(fresh.select(*KEY))
+        if to_pull[root] & {pull.INSERT, pull.UPDATE}:
+            applied = pull_plans[root].filter(F.col("action").isin(pull.INSERT, pull.UPDATE)).select(*KEY)
+            arriving.append(
+                references_of(incoming[root].join(applied, list(KEY), "left_semi"), _relationships(model, root))
+            )
+    missing, found = _written_by_root(
+        {
+            root: placeholders(refs, after_pull[root], created_remotely=True)
+            for root in roots
+            if (refs := _references_into(model, root, arriving)) is not None
+        }
+    )
+    missing = {root: rows for root, rows in missing.items() if found[root]}
+    for root, rows in missing.items():
+        after_pull[root] = after_pull[root].unionByName(rows, allowMissingColumns=True)
+    added = [rows.select(*KEY) for rows in missing.values()]
 
     pushed = _union([plan.select(*KEY, "action") for plan in plans.values()])
     pulled = _union([plan.select(*KEY, "updated_at", "action") for plan in pull_plans.values()])

@@ -263,3 +263,12 @@ VISIBLE = "status = 2 AND (last_modified IS NOT NULL OR (last_modified IS NULL A
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# Events as one root with an entity per kind, for the stream.
+FEED_MODEL = EntityModel(
+    (
+        Entity("Event", attributes=(Attribute("event_id", _LONG), Attribute("value", _DOUBLE))),
+        *[Entity(kind, parent="Event") for kind in ("click", "error", "purchase", "signup", "view")],
+    )
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,10 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[application]
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder once, so that several readers see the same rows."""
+def materialized(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write the rows to the shared folder once, so that several readers see the same rows.
+
+    A written table cuts the lineage as a checkpoint does, outlives executors, and can be read by column
+    and by partition; its size is known, so joins with it are planned by that and not by an estimate.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
+    types = df.schema
+    return spark.read.schema(types).parquet(path).select(*df.columns)
