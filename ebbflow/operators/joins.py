@@ -41,7 +41,11 @@ def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> D
 
     The counts are combined before the shuffle, so a hot key costs one partial row per task.
     """
-    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    return largest(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")), key, hot_rows)
+
+
+def largest(counted: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys among keys that are counted already, in ``_rows``."""
     present = counted.filter(F.col("_rows") >= hot_rows)
     for name in key:
         present = present.filter(F.col(name).isNotNull())
@@ -57,20 +61,22 @@ def join_unique(
     *,
     salts: int = SALTS,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
     force_salting: bool = False,
 ) -> DataFrame:
     """Join many rows to targets that have at most one row per key (left, inner, semi or anti).
 
     Small targets are left to Spark, which broadcasts them. Otherwise both sides are shuffled, and rows
     of a hot key, or with no key at all, are spread over ``salts`` partitions by ``spread_by``, a column
-    of ``rows`` with many values; only the targets of hot keys are copied, once per salt.
+    of ``rows`` with many values; only the targets of hot keys are copied, once per salt. A caller that
+    knows the ``largest`` keys passes them as ``hot`` and saves counting them.
     """
     key = [key] if isinstance(key, str) else list(key)
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
     if not force_salting and fits_broadcast(targets):
         return rows.join(targets, key, how)
 
-    hot = F.broadcast(hot_keys(rows.select(*key), key, hot_rows))
+    hot = F.broadcast(hot_keys(rows.select(*key), key, hot_rows) if hot is None else hot)
     no_key = F.lit(False)
     for name in key:
         no_key = no_key | F.col(name).isNull()

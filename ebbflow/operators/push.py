@@ -81,8 +81,9 @@ def push_plan(local: DataFrame, remote: DataFrame, policy: Policy) -> DataFrame:
 
 
 def push_errors(plan: DataFrame) -> DataFrame:
+    """Rows of a plan that cannot be pushed, with their error code and how many rows the remote has."""
     code = F.create_map(*[F.lit(v) for pair in ERRORS.items() for v in pair])[F.col("action")]
-    return plan.filter(F.col("action").isin(list(ERRORS))).select(*KEY, "action", code.alias("code"))
+    return plan.filter(F.col("action").isin(list(ERRORS))).select(*KEY, "action", code.alias("code"), "remote_rows")
 
 
 def encode_rows(rows: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.refs import clean_references, reference
 from ebbflow.model import Status
-from ebbflow.operators.joins import join_unique
+from ebbflow.operators.joins import join_unique, largest
 
 PAGE_SIZE = 1000
 
@@ -54,7 +54,8 @@ def paged(
     expected page to ``page_size`` or below. A small group is one page, named by the empty text.
     """
     counts = edges.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    joined = join_unique(edges, counts, group, "inner", spread_by=member, force_salting=force_salting)
+    hot = largest(counts.withColumnRenamed("n", "_rows"), group)
+    joined = join_unique(edges, counts, group, "inner", spread_by=member, hot=hot, force_salting=force_salting)
     excess = F.floor((F.col("n") - 1) / F.lit(page_size)).cast("bigint")
     digits = F.when(excess == 0, F.lit(0)).otherwise(F.length(F.hex(excess)))
     page = F.when(digits == 0, F.lit("")).otherwise(F.substring(F.md5(F.col(member)), F.lit(1), digits))

@@ -22,8 +22,8 @@ from ebbflow.plans.shapes import (
     SCAN_FROM,
     SCAN_TO,
     VISIBLE,
+    all_edges,
     cust,
-    edges,
     instant,
     loc,
     parts,
@@ -246,7 +246,7 @@ def predicate_in_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predicate_any_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fetch.select_rows(parts(spark, sf_dir), MODEL, "Part")
     wanted = suppliers(spark, sf_dir).filter("s_nationkey = 5")
-    return fetch.any_in_objects(rows, edges(spark, sf_dir), wanted).select("key")
+    return fetch.any_in_objects(rows, all_edges(spark, sf_dir), wanted).select("key")
 
 
 @query(

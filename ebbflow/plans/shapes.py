@@ -199,16 +199,21 @@ PARTS = f"""parts AS (SELECT p_partkey AS key, 'p' || p_partkey AS uid, p_type A
   FROM part)"""
 
 
+def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and their suppliers, a pair as often as it was ordered."""
+    return _as_edges(table(spark, sf_dir, "lineitem"))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts and their suppliers, each pair once."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            _text_uid("p", F.col("l_partkey")).alias("src_uid"),
-            F.lit("Supplier").alias("dst_entity"),
-            _text_uid("s", F.col("l_suppkey")).alias("dst_uid"),
-        )
-        .distinct()
+    """Parts and their suppliers, each pair once; the numbers are compared, not the texts made of them."""
+    return _as_edges(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct())
+
+
+def _as_edges(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        _text_uid("p", F.col("l_partkey")).alias("src_uid"),
+        F.lit("Supplier").alias("dst_entity"),
+        _text_uid("s", F.col("l_suppkey")).alias("dst_uid"),
     )
 
 

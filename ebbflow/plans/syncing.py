@@ -155,9 +155,7 @@ def push_duplicate_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     plan = push.push_plan(lines(spark, sf_dir), remote, Policy.SERVER_WINS)
     errors = push.push_errors(plan).filter(F.col("code") == push.ERROR_DUPLICATE_UID)
-    return errors.join(plan.select("entity", "uid", "remote_rows"), ["entity", "uid"]).select(
-        "uid", "remote_rows", "code"
-    )
+    return errors.select("uid", "remote_rows", "code")
 
 
 @query(
