@@ -36,7 +36,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
-def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """The at most HOT_KEYS most frequent keys that have ``hot_rows`` rows or more.
 
     The counts are combined before the shuffle, so a hot key costs one partial row per task.
@@ -44,9 +44,9 @@ def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> D
     return largest(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")), key, hot_rows)
 
 
-def largest(counted: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def largest(counted: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """The hot keys among keys that are counted already, in ``_rows``."""
-    present = counted.filter(F.col("_rows") >= hot_rows)
+    present = counted.filter(F.col("_rows") >= (HOT_ROWS if hot_rows is None else hot_rows))
     for name in key:
         present = present.filter(F.col(name).isNotNull())
     return present.orderBy(F.desc("_rows"), *key).limit(HOT_KEYS).select(*key, F.lit(True).alias("_hot"))
@@ -60,7 +60,7 @@ def join_unique(
     spread_by: str | Sequence[str],
     *,
     salts: int = SALTS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     hot: DataFrame | None = None,
     force_salting: bool = False,
 ) -> DataFrame:
@@ -91,6 +91,13 @@ def join_unique(
     return salted_rows.join(salted_targets, [*key, "_salt"], how).drop("_salt")
 
 
+def narrowed(table: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of a table that a small batch can meet, found without a shuffle; of a large batch, all."""
+    if not fits_broadcast(batch):
+        return table
+    return table.join(F.broadcast(batch.select(*key)), list(key), "left_semi")
+
+
 def prefixed(df: DataFrame, prefix: str, key: Sequence[str]) -> DataFrame:
     """Every column but the key under a prefix; plain columns, so that pruning still works."""
     return df.select(*key, *[F.col(c).alias(prefix + c) for c in df.columns if c not in key])
@@ -106,8 +113,7 @@ def side_by_side(table: DataFrame, batch: DataFrame, key: Sequence[str], prefix:
     new = prefixed(batch, prefix, key).withColumn("_new", F.lit(True))
     if fits_broadcast(batch):
         touched = old.join(F.broadcast(new), list(key), "left")
-        known = table.select(*key).join(F.broadcast(batch.select(*key)), list(key), "left_semi")
-        added = new.join(known, list(key), "left_anti")
+        added = new.join(narrowed(table.select(*key), batch, key), list(key), "left_anti")
         both = touched.unionByName(added, allowMissingColumns=True)
     else:
         both = old.join(new, list(key), "full")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.refs import clean_references
 from ebbflow.model import KEY, EntityModel, Status, Stored, user_columns
-from ebbflow.operators.joins import side_by_side
+from ebbflow.operators.joins import narrowed, side_by_side
 
 SKIP = "skip"
 IGNORE = "ignore"
@@ -148,7 +148,7 @@ def pull_action() -> Column:
 def pull_plan(local: DataFrame, incoming: DataFrame) -> DataFrame:
     """One narrow row per incoming row: key, its time and the action. ``incoming`` is decoded."""
     new = incoming.select(*KEY, F.col("last_modified").alias("_new_last_modified"), F.col("status").alias("_new_status"))
-    old = local.select(*KEY, "last_modified", F.lit(True).alias("_old"))
+    old = narrowed(local.select(*KEY, "last_modified"), incoming, KEY).withColumn("_old", F.lit(True))
     joined = new.join(old, list(KEY), "left").withColumn("_old", F.coalesce("_old", F.lit(False)))
     return joined.select(*KEY, F.col("_new_last_modified").alias("updated_at"), pull_action().alias("action"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.functions.acl import merge_maps
 from ebbflow.model import KEY, Status, user_columns
-from ebbflow.operators.joins import join_unique, prefixed, side_by_side
+from ebbflow.operators.joins import join_unique, narrowed, prefixed, side_by_side
 
 
 class Policy(Enum):
@@ -76,7 +76,8 @@ def push_action(policy: Policy) -> Column:
 def push_plan(local: DataFrame, remote: DataFrame, policy: Policy) -> DataFrame:
     """One narrow row per dirty row: its key, what was compared, and the action."""
     narrow = dirty(local).select(*KEY, "status", "last_modified", "created_remotely")
-    joined = narrow.join(remote_facts(remote), list(KEY), "left")
+    facts = remote_facts(narrowed(remote.select(*KEY, "updated_at"), narrow, KEY))
+    joined = narrow.join(facts, list(KEY), "left")
     return joined.withColumn("action", push_action(policy))
 
 
@@ -113,23 +114,36 @@ class PushResult:
     placeholders: DataFrame | None = None
 
 
+def outgoing_rows(local: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows a plan sends, encoded."""
+    sent = plan.filter(F.col("action").isin(*SENDS)).select(*KEY)
+    return encode_rows(local.join(sent, list(KEY), "left_semi"))
+
+
+def winning_rows(remote: DataFrame, plan: DataFrame) -> DataFrame:
+    """The remote rows a plan overwrites local ones with."""
+    overwritten = plan.filter(F.col("action") == OVERWRITE_LOCAL).select(*KEY)
+    return narrowed(remote, overwritten, KEY).join(overwritten, list(KEY), "left_semi")
+
+
 def apply_push(
     local: DataFrame,
     remote: DataFrame,
     plan: DataFrame,
     push_time: Column,
     placeholder_keys: DataFrame | None = None,
+    outgoing: DataFrame | None = None,
+    winners: DataFrame | None = None,
 ) -> PushResult:
     """Both sides after a push; rows in error stay as they are, dirty.
 
     A row is written to the remote under its key, so pushing the same row again, after an interruption,
-    does not make a second one.
+    does not make a second one. A caller that has ``outgoing_rows`` or ``winning_rows`` written passes
+    them, since joins with tables of a known, small size leave the large ones unshuffled.
     """
     actions = plan.select(*KEY, "action", "remote_updated_at")
-    sent = actions.filter(F.col("action").isin(*SENDS)).select(*KEY)
-    outgoing = encode_rows(local.join(sent, list(KEY), "left_semi"))
-    remote_after = write_remote(remote, outgoing, push_time)
-    local_after = write_local(local, remote, actions, push_time)
+    remote_after = write_remote(remote, outgoing_rows(local, plan) if outgoing is None else outgoing, push_time)
+    local_after = write_local(local, winning_rows(remote, plan) if winners is None else winners, actions, push_time)
     if placeholder_keys is not None:
         fresh = placeholder_keys.withColumn("status", F.lit(int(Status.PLACEHOLDER)).cast("short"))
         remote_after = write_remote(remote_after, fresh, push_time, keep_existing=True)
@@ -165,16 +179,20 @@ def write_remote(
     return both.select(*columns)
 
 
-def write_local(local: DataFrame, remote: DataFrame, actions: DataFrame, push_time: Column) -> DataFrame:
-    """The local table after a push; ``actions`` is a push plan."""
-    shared = [c for c in ("status", *user_columns(local.columns)) if c in remote.columns and c != "acl"]
-    overwritten = actions.filter(F.col("action") == OVERWRITE_LOCAL).select(*KEY)
-    winners = remote.select(*KEY, *shared).join(overwritten, list(KEY), "left_semi")
-    change = actions.join(prefixed(winners, "_remote_", KEY), list(KEY), "left")
+def write_local(local: DataFrame, winners: DataFrame, actions: DataFrame, push_time: Column) -> DataFrame:
+    """The local table after a push; ``actions`` is a push plan, ``winners`` are remote rows.
+
+    Two joins on the same key, so that large inputs share one shuffle of the table.
+    """
+    shared = [c for c in ("status", *user_columns(local.columns)) if c in winners.columns and c != "acl"]
     action = F.coalesce(F.col("action"), F.lit("none"))
     sent = action.isin(INSERT_REMOTE, UPDATE_REMOTE)
     won = action == OVERWRITE_LOCAL
-    after = local.join(change, list(KEY), "left").filter(~action.isin(*REMOVES))
+    after = (
+        local.join(actions, list(KEY), "left")
+        .filter(~action.isin(*REMOVES))
+        .join(prefixed(winners.select(*KEY, *shared), "_remote_", KEY), list(KEY), "left")
+    )
     columns = {name: F.when(won, F.col(f"_remote_{name}")).otherwise(F.col(name)) for name in shared}
     columns["last_modified"] = (
         F.when(sent, push_time).when(won, F.col("remote_updated_at")).otherwise(F.col("last_modified"))

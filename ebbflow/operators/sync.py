@@ -94,14 +94,23 @@ def sync(
     given so that a repeated run does the same. Errors end the sync before anything is written
     (``on_error="fail"``) or come back as rows while the rest goes on (``"quarantine"``).
 
-    The plans, narrow and no larger than the changed rows, are written once and feed everything else.
+    Dirty rows, increments and plans are written once and feed everything else; none is larger than what
+    changed. Roots, and joins, that nothing happens in are left out.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error is 'fail' or 'quarantine'")
     roots = [root for root in model.roots if root in local]
     at = pull.ntz(push_time)
 
-    plans, to_push = _written_by_root({root: push.push_plan(local[root], remote[root], policy) for root in roots})
+    # Dirty rows are written first: few as a rule, and then known to be, so that the joins with them leave
+    # the large tables where they are.
+    pending = {root: materialized(push.dirty(local[root])) for root in roots}
+    plans, to_push = _written_by_root(
+        {
+            root: push.push_plan(rows, remote[root] if rows.limit(1).collect() else remote[root].limit(0), policy)
+            for root, rows in pending.items()
+        }
+    )
     errors = _union([push.push_errors(plan) for plan in plans.values()])
     if on_error == "fail" and any(actions & set(push.ERRORS) for actions in to_push.values()):
         first = errors.orderBy("entity", "uid").limit(1).collect()[0]
@@ -113,28 +122,26 @@ def sync(
         for root in roots
         if push.DROP_LOCAL in to_push[root]
     }
-    tables = {}
+    tables = dict(local)
     for root in roots:
-        rows = local[root]
-        for pointer in _pointers(model, root, rows):
-            if model.root_of(pointer.target) in dropped:
-                rows = push.without_dropped(rows, [pointer.name], dropped[model.root_of(pointer.target)])
-        tables[root] = rows
+        for pointer in _pointers(model, root, local[root]):
+            gone = dropped.get(model.root_of(pointer.target))
+            if gone is not None:
+                tables[root] = push.without_dropped(tables[root], [pointer.name], gone)
+                pending[root] = push.without_dropped(pending[root], [pointer.name], gone)
 
     sent = {
         root: plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
         for root in roots
         if to_push[root] & set(push.SENDS)
     }
-    outgoing = [
-        references_of(tables[root].join(keys, list(KEY), "left_semi"), _relationships(model, root))
-        for root, keys in sent.items()
-    ]
+    outgoing = {root: push.outgoing_rows(pending[root], plans[root]) for root in roots}
+    leaving = [references_of(outgoing[root], _relationships(model, root)) for root in sent]
     unknown, found = _written_by_root(
         {
             root: push.placeholders_to_push(refs, local[root], plans[root])
             for root in roots
-            if (refs := _references_into(model, root, outgoing)) is not None
+            if (refs := _references_into(model, root, leaving)) is not None
         }
     )
     unknown = {root: keys for root, keys in unknown.items() if found[root]}
@@ -142,7 +149,12 @@ def sync(
     after_push, remote_after = dict(tables), dict(remote)
     for root in roots:
         if to_push[root] - set(push.ERRORS) or root in unknown:
-            result = push.apply_push(tables[root], remote[root], plans[root], at, unknown.get(root))
+            winners = remote[root].limit(0)
+            if push.OVERWRITE_LOCAL in to_push[root]:
+                winners = materialized(push.winning_rows(remote[root], plans[root]))
+            result = push.apply_push(
+                tables[root], remote[root], plans[root], at, unknown.get(root), outgoing[root], winners
+            )
             after_push[root], remote_after[root] = result.local, result.remote
     written = {
         root: _union([keys[root] for keys in (sent, unknown) if root in keys])
@@ -161,6 +173,8 @@ def sync(
         if settled:
             rows = rows.join(_union(settled), list(KEY), "left_anti")
         incoming[root] = pull.decode_rows(rows, model, root)
+        if watermarks and not full:
+            incoming[root] = materialized(incoming[root])
     pull_plans, to_pull = _written_by_root(
         {root: pull.pull_plan(after_push[root], incoming[root]) for root in roots}
     )
