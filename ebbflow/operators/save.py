@@ -128,6 +128,36 @@ def references_of(rows: DataFrame, relationships: Sequence[Relationship]) -> Dat
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
+def save(
+    model: EntityModel,
+    tables: Mapping[str, DataFrame],
+    inserts: Mapping[str, DataFrame] | None = None,
+    updates: Mapping[str, DataFrame] | None = None,
+    deletes: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """Tables by root after a batch: inserts and updates by root, deletes by entity as keys.
+
+    Rows that inserted and updated rows refer to and that do not exist get placeholders.
+    """
+    after = dict(tables)
+    references = []
+    for batches, write in ((inserts, insert_rows), (updates, update_rows)):
+        for root, batch in (batches or {}).items():
+            after[root] = write(after[root], batch)
+            references.append(references_of(batch, relationships_of(model, root)))
+    if deletes:
+        after = apply_gone(model, after, gone_keys(model, after, deletes))
+    held = [refs for refs in references if refs is not None]
+    if held:
+        wanted = reduce(DataFrame.unionByName, held)
+        for root in after:
+            if any(model.root_of(r.target) == root for r in _all_relationships(model)):
+                mine = wanted.filter(F.col("entity").isin(model.family(root)))
+                fresh = placeholders(mine, after[root], created_remotely=False)
+                after[root] = after[root].unionByName(fresh, allowMissingColumns=True)
+    return after
+
+
 # Deletes with the model's rules
 
 
@@ -142,7 +172,7 @@ def cascade_levels(
 
     def descend(name: str, gone: DataFrame, path: tuple[str, ...]) -> None:
         levels.append((name, gone))
-        for relationship in _of_family(model, name):
+        for relationship in relationships_of(model, name):
             if relationship.delete_rule is not DeleteRule.CASCADE:
                 continue
             if relationship.target in path:
@@ -162,7 +192,12 @@ def cascade_levels(
     return levels
 
 
-def _of_family(model: EntityModel, name: str) -> list[Relationship]:
+def _all_relationships(model: EntityModel) -> list[Relationship]:
+    return [r for root in model.roots for r in relationships_of(model, root)]
+
+
+def relationships_of(model: EntityModel, name: str) -> list[Relationship]:
+    """Relationships of an entity and of those below it, each once."""
     seen: dict[str, Relationship] = {}
     for member in model.family(name):
         for relationship in model.relationships(member):
@@ -225,7 +260,7 @@ def _after_delete(
         table = table.withColumn("_own", F.lit(False))
     table = table.withColumn("_bereft", F.lit(False))
 
-    for relationship in _of_family(model, root):
+    for relationship in relationships_of(model, root):
         name, target_root = relationship.name, model.root_of(relationship.target)
         if name not in columns or (target_root not in gone and root not in gone):
             continue

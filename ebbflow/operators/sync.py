@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ebbflow.model import KEY, EntityModel, Relationship, Stored
 from ebbflow.operators import changes, pull, push
-from ebbflow.operators.save import apply_gone, gone_keys, placeholders, references_of
+from ebbflow.operators.joins import join_unique
+from ebbflow.operators.relations import replace_edges
+from ebbflow.operators.save import apply_gone, gone_keys, placeholders, references_of, relationships_of
 from ebbflow.session import materialized
 
 Tables = Mapping[str, DataFrame]
@@ -35,16 +37,58 @@ class SyncResult:
     change_log: DataFrame
     errors: DataFrame
     counters: DataFrame
+    local_edges: dict[str, DataFrame]
+    remote_edges: dict[str, DataFrame]
 
 
-def _pointers(model: EntityModel, root: str, table: DataFrame) -> list[Relationship]:
-    found = {r.name: r for name in model.family(root) for r in model.relationships(name)}
-    return [r for r in found.values() if r.stored is Stored.POINTER and r.name in table.columns]
+def _edges_of(model: EntityModel, root: str, edges: Tables | None) -> list[str]:
+    """Names, as ``Entity.relationship``, of the edge tables whose sources are rows of a root."""
+    names = {
+        f"{entity}.{r.name}"
+        for entity in model.family(root)
+        for r in model[entity].relationships
+        if r.stored is Stored.RELATION
+    }
+    return sorted(names & set(edges or {}))
+
 
+def _edges_from(edges: DataFrame, keys: DataFrame) -> DataFrame:
+    """Edges of the given source rows."""
+    sources = keys.select(F.col("uid").alias("src_uid"))
+    return join_unique(edges, sources, "src_uid", "left_semi", spread_by="dst_uid")
 
-def _relationships(model: EntityModel, root: str) -> list[Relationship]:
-    found = {r.name: r for name in model.family(root) for r in model.relationships(name)}
-    return list(found.values())
+
+def _edge_references(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("dst_entity").alias("entity"), F.col("dst_uid").alias("uid"))
+
+
+def _take_edges(
+    model: EntityModel,
+    root: str,
+    keys: DataFrame,
+    remote_edges: Tables | None,
+    edges_here: dict[str, DataFrame],
+    arriving: list[DataFrame | None],
+) -> None:
+    """Replace the local edges of rows taken from the remote by its own, where this side reads them."""
+    for name in _edges_of(model, root, remote_edges):
+        entity, relationship = name.split(".")
+        if not model.read_from_remote(entity, model.relationship(entity, relationship)):
+            continue
+        read = _edges_from(remote_edges[name], keys)
+        arriving.append(_edge_references(read))
+        sources = keys.select(F.col("uid").alias("src_uid"))
+        edges_here[name] = replace_edges(edges_here.get(name, read.limit(0)), read, sources)
+
+
+def _without_gone(edges: DataFrame, gone: DataFrame) -> DataFrame:
+    """Edges with neither end among the given rows."""
+    left = join_unique(edges, gone.select(F.col("uid").alias("src_uid")), "src_uid", "left_anti", spread_by="dst_uid")
+    return join_unique(left, gone.select(F.col("uid").alias("dst_uid")), "dst_uid", "left_anti", spread_by="src_uid")
+
+
+def _pointers(model: EntityModel, root: str, table: DataFrame) -> list[Relationship]:
+    return [r for r in relationships_of(model, root) if r.stored is Stored.POINTER and r.name in table.columns]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -87,6 +131,8 @@ def sync(
     watermarks: pull.Watermarks | None = None,
     full: bool = False,
     on_error: str = "fail",
+    local_edges: Tables | None = None,
+    remote_edges: Tables | None = None,
 ) -> SyncResult:
     """Push dirty rows, then pull what changed, over tables by root entity.
 
@@ -94,6 +140,9 @@ def sync(
     given so that a repeated run does the same. Errors end the sync before anything is written
     (``on_error="fail"``) or come back as rows while the rest goes on (``"quarantine"``).
 
+    A to-many that is stored as a relation has an edge table on each side, by ``Entity.relationship``. A row
+    that is written takes its edges along, and they replace those it had.
+
     Dirty rows, increments and plans are written once and feed everything else; none is larger than what
     changed. Roots, and joins, that nothing happens in are left out.
     """
@@ -136,7 +185,18 @@ def sync(
         if to_push[root] & set(push.SENDS)
     }
     outgoing = {root: push.outgoing_rows(pending[root], plans[root]) for root in roots}
-    leaving = [references_of(outgoing[root], _relationships(model, root)) for root in sent]
+    leaving = [references_of(outgoing[root], relationships_of(model, root)) for root in sent]
+    edges_here, edges_there = dict(local_edges or {}), dict(remote_edges or {})
+    for name in edges_here:
+        for gone in dropped.values():
+            edges_here[name] = _without_gone(edges_here[name], gone)
+    for root, keys in sent.items():
+        for name in _edges_of(model, root, edges_here):
+            written_edges = _edges_from(edges_here[name], keys)
+            leaving.append(_edge_references(written_edges))
+            sources = keys.select(F.col("uid").alias("src_uid"))
+            old = edges_there.get(name, written_edges.limit(0))
+            edges_there[name] = replace_edges(old, written_edges, sources)
     unknown, found = _written_by_root(
         {
             root: push.placeholders_to_push(refs, local[root], plans[root])
@@ -191,13 +251,20 @@ def sync(
     if removed:
         gone, _ = _written_by_root(gone_keys(model, after_pull, removed))
         after_pull = apply_gone(model, after_pull, gone, remove=True)
+        for name in edges_here:
+            for keys in gone.values():
+                edges_here[name] = _without_gone(edges_here[name], keys)
 
     arriving = []
     for root in roots:
+        if push.OVERWRITE_LOCAL in to_push[root]:
+            overwritten = plans[root].filter(F.col("action") == push.OVERWRITE_LOCAL).select(*KEY)
+            _take_edges(model, root, overwritten, remote_edges, edges_here, arriving)
         if to_pull[root] & {pull.INSERT, pull.UPDATE}:
             applied = pull_plans[root].filter(F.col("action").isin(pull.INSERT, pull.UPDATE)).select(*KEY)
+            _take_edges(model, root, applied, remote_edges, edges_here, arriving)
             arriving.append(
-                references_of(incoming[root].join(applied, list(KEY), "left_semi"), _relationships(model, root))
+                references_of(incoming[root].join(applied, list(KEY), "left_semi"), relationships_of(model, root))
             )
     missing, found = _written_by_root(
         {
@@ -227,4 +294,6 @@ def sync(
         change_log=changes.change_log(pushed, pulled, _union(added) if added else None),
         errors=errors,
         counters=changes.sync_counters(pushed, pulled),
+        local_edges=edges_here,
+        remote_edges=edges_there,
     )

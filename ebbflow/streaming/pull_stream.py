@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ebbflow.model import KEY, EntityModel, Stored
+from ebbflow.model import KEY, EntityModel, Relationship, Stored
 from ebbflow.operators import pull
 from ebbflow.operators.fetch import any_in_objects, in_objects
 from ebbflow.operators.relations import edges_of_array
-from ebbflow.operators.save import cascade_levels, delete_rows, placeholders, references_of
+from ebbflow.operators.save import cascade_levels, delete_rows, placeholders, references_of, relationships_of
 from ebbflow.session import materialized
 from ebbflow.sources.snapshots import SnapshotStore
 
@@ -93,9 +93,9 @@ def apply_batch(store: SnapshotStore, root: str, batch: DataFrame, number: int,
     return True
 
 
-def _relationships(model: EntityModel, root: str):
-    found = {r.name: r for name in model.family(root) for r in model.relationships(name)}
-    return [r for r in found.values() if r.stored in (Stored.POINTER, Stored.ARRAY)]
+def _relationships(model: EntityModel, root: str) -> list[Relationship]:
+    """Those that a row holds itself."""
+    return [r for r in relationships_of(model, root) if r.stored in (Stored.POINTER, Stored.ARRAY)]
 
 
 def _depends_on(model: EntityModel, root: str) -> list[str]:

@@ -185,3 +185,17 @@ def test_batch_sizes(spark):
     sizes = {r["entity"]: r["n"] for r in save.batch_sizes(tables["Book"], tables["Page"]).collect()}
     assert sizes == {"Book": 2, "EBook": 1, "Page": 2}
     assert made_here(uid="x")["is_dirty"]
+
+
+def test_a_whole_batch(spark):
+    tables = library_tables(spark)
+    books = "entity string, uid string, name string, author struct<entity:string,uid:string>"
+    inserts = {"Book": batch(spark, books, ("Book", "b9", "New", ("Author", "a9")), ("EBook", "e9", "New", None))}
+    updates = {"Author": batch(spark, "entity string, uid string, name string, present array<string>", ("Author", "a2", "Ann", ["name"]))}
+    deletes = {"Book": spark.createDataFrame([("b1",)], "uid string")}
+    after = {root: by_uid(t) for root, t in save.save(LIBRARY, tables, inserts, updates, deletes).items()}
+    assert after["Book"]["b9"]["is_dirty"] and after["Book"]["e9"]["status"] == 2
+    assert (after["Author"]["a9"]["status"], after["Author"]["a9"]["created_remotely"]) == (1, False)
+    assert after["Author"]["a2"]["name"] == "Ann" and not after["Author"]["a1"]["is_dirty"]
+    assert after["Book"]["b1"]["status"] == 3 and after["Page"]["p1"]["status"] == 3
+    assert set(after["Author"]) == {"a1", "a2", "a9"}

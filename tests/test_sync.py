@@ -249,3 +249,40 @@ def test_many_rows(spark):
     result = run(here, there)
     assert result.remote["Author"].count() == result.local["Author"].count() == 1000
     assert push.dirty(result.local["Author"]).count() == 0
+
+
+def partners(spark, *pairs):
+    return spark.createDataFrame(
+        [(s, "Publisher", d) for s, d in pairs], "src_uid string, dst_entity string, dst_uid string"
+    )
+
+
+def pairs_of(edges):
+    return sorted((r["src_uid"], r["dst_uid"]) for r in edges.collect())
+
+
+def test_edges_of_a_relation_follow_their_rows(spark):
+    here, there = empty_tables(spark)
+    name = "Publisher.partners"
+    here["Publisher"] = local(
+        spark,
+        "Publisher",
+        {"uid": "p1", "is_dirty": True},
+        {"uid": "p2"},
+        {"uid": "p3", "last_modified": at(-1)},
+        made_here(uid="p4", status=3),
+    )
+    there["Publisher"] = remote(spark, "Publisher", {"uid": "p1"}, {"uid": "p2"}, {"uid": "p3"})
+    result = sync(
+        LIBRARY,
+        {"Publisher": here["Publisher"]},
+        {"Publisher": there["Publisher"]},
+        push_time=PUSH,
+        now=NOW,
+        local_edges={name: partners(spark, ("p1", "p2"), ("p1", "p4"), ("p2", "p3"), ("p3", "p1"))},
+        remote_edges={name: partners(spark, ("p1", "p3"), ("p2", "p1"), ("p3", "p2"), ("p3", "p9"))},
+    )
+    assert pairs_of(result.remote_edges[name]) == [("p1", "p2"), ("p2", "p1"), ("p3", "p2"), ("p3", "p9")]
+    assert pairs_of(result.local_edges[name]) == [("p1", "p2"), ("p2", "p3"), ("p3", "p2"), ("p3", "p9")]
+    publishers = by_uid(result.local["Publisher"])
+    assert publishers["p9"]["status"] == 1 and "p4" not in publishers
