@@ -15,10 +15,9 @@ SALTS = 64
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the plan, or None where the session cannot tell."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    if not hasattr(df, "_jdf"):
         return None
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:

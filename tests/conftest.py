@@ -16,7 +16,9 @@ def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("ebbflow-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.codegen.wholeStage", "false")  # small tables: compiling would take the longest
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.driver.bindAddress", "127.0.0.1")

@@ -27,7 +27,11 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
-    _, problems = compare(duck, entry.queries()[name](spark, SF_DIR), entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert slow not in plan
+    _, problems = compare(duck, df, entry.oracle_sql()[name])
     assert not problems
 
 
