@@ -35,6 +35,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
+def is_small_beside(batch: DataFrame, table: DataFrame) -> bool:
+    """Whether a batch can be broadcast and the table is so much larger that reading it again beats a shuffle."""
+    size, beside = estimated_bytes(batch), estimated_bytes(table)
+    return size is not None and size <= broadcast_limit(batch) and 4 * size <= beside
+
+
 def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """The at most HOT_KEYS most frequent keys that have ``hot_rows`` rows or more.
 
@@ -92,7 +98,7 @@ def join_unique(
 
 def narrowed(table: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows of a table that a small batch can meet, found without a shuffle; of a large batch, all."""
-    if not fits_broadcast(batch):
+    if not is_small_beside(batch.select(*key), table):
         return table
     return table.join(F.broadcast(batch.select(*key)), list(key), "left_semi")
 
@@ -106,11 +112,12 @@ def side_by_side(table: DataFrame, batch: DataFrame, key: Sequence[str], prefix:
     """Full outer join of a table with a batch, both unique on the key.
 
     The batch's columns carry ``prefix``; ``_old`` and ``_new`` tell which sides are there. A batch within
-    the broadcast threshold leaves the table where it is; a larger one shuffles both sides once.
+    the broadcast threshold, beside a much larger table, leaves the table where it is; any other shuffles
+    both sides once.
     """
     old = table.withColumn("_old", F.lit(True))
     new = prefixed(batch, prefix, key).withColumn("_new", F.lit(True))
-    if fits_broadcast(batch):
+    if is_small_beside(batch, table):
         touched = old.join(F.broadcast(new), list(key), "left")
         added = new.join(narrowed(table.select(*key), batch, key), list(key), "left_anti")
         both = touched.unionByName(added, allowMissingColumns=True)

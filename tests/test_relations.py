@@ -77,24 +77,25 @@ def test_salted_join_equals_the_plain_one(spark):
 
 
 def test_side_by_side_gives_the_same_in_both_ways(spark):
-    table = spark.createDataFrame([("Book", "b1", 1), ("Book", "b2", 2)], "entity string, uid string, v int")
-    batch = spark.createDataFrame([("Book", "b2", 20), ("Book", "b3", 30)], "entity string, uid string, v int")
+    book, key = F.lit("Book").alias("entity"), F.col("id")
+    table = spark.range(200).select(book, F.concat(F.lit("b"), key).alias("uid"), key.alias("v"))
+    uid = F.when(key == 0, "b2").otherwise("x").alias("uid")
+    batch = spark.range(2).select(book, uid, (key * 10 + 20).alias("v"))
+    columns = ["entity", "uid", "v", "_new_v", "_old", "_new"]
+    expected = {("Book", f"b{i}", i, 20 if i == 2 else None, True, i == 2) for i in range(200)}
+    expected.add(("Book", "x", None, 30, False, True))
+    assert joins.is_small_beside(batch, table) and not joins.is_small_beside(table, batch)
     small = joins.side_by_side(table, batch, ("entity", "uid"))
+    assert "FullOuter" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert set(map(tuple, small.select(columns).collect())) == expected
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert not joins.fits_broadcast(batch)
         large = joins.side_by_side(table, batch, ("entity", "uid"))
-        columns = ["entity", "uid", "v", "_new_v", "_old", "_new"]
-        expected = {
-            ("Book", "b1", 1, None, True, False),
-            ("Book", "b2", 2, 20, True, True),
-            ("Book", "b3", None, 30, False, True),
-        }
+        assert "FullOuter" in large._jdf.queryExecution().optimizedPlan().toString()
         assert set(map(tuple, large.select(columns).collect())) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert set(map(tuple, small.select(columns).collect())) == expected
 
 
 def test_inverses_and_counts(spark):
