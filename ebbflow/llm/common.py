@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.session import materialized, shared_dir
 
-__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table"]
+__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,3 +58,10 @@ def open_in(uri: str):
     """A seekable binary file of the shared store."""
     store, path = _located(uri)
     return store.open_input_file(path)
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

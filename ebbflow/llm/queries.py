@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import warc
-from ebbflow.llm.common import materialized, run_folder, table
+from ebbflow.llm import huffman, warc
+from ebbflow.llm.common import materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
 
@@ -28,3 +28,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = materialized(warc.normalise(files, f"{folder}/members"))
     view = warc.page_view(warc.read_records(index))
     return view.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op2_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written as Huffman codes in order of doc_id, and read back."""
+    docs = table(spark, sf_dir, "documents")
+    manifest = huffman.write_corpus(docs, run_folder(spark, "huffman"), tokenizer_file("byte_bpe_50k.json"))
+    return huffman.read_corpus(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
