@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbflow.session import materialized, shared_dir
 
-__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file"]
+__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file", "with_position"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,3 +65,20 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def with_position(rows: DataFrame, *keys: str) -> DataFrame:
+    """Each row's place in the order of the keys, nulls first, from 1: range partitions are sorted and written;
+    a row's place is that in its partition plus the sizes of the partitions before, one number each."""
+    order = [F.asc_nulls_first(k) for k in keys]
+    numbered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = materialized(numbered.withColumn("_slot", F.monotonically_increasing_id()))
+    slots = numbered.withColumns({"_part": F.shiftright("_slot", 33), "_slot": F.col("_slot").bitwiseAND((1 << 33) - 1)})
+    sizes = slots.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return (
+        slots.join(F.broadcast(starts), "_part")  # one row per partition
+        .withColumn("position", F.col("_start") + F.col("_slot") + 1)
+        .drop("_part", "_slot", "_start")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import huffman, warc
+from ebbflow.llm import huffman, quotes, warc
 from ebbflow.llm.common import materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
@@ -36,3 +36,69 @@ def op2_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = huffman.write_corpus(docs, run_folder(spark, "huffman"), tokenizer_file("byte_bpe_50k.json"))
     return huffman.read_corpus(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query(
+    r"""
+    WITH RECURSIVE m AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text,
+               row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST,
+                                  coalesce(text, '')) AS position
+        FROM conversations
+    ), l AS (
+        SELECT position, conv_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+        FROM m
+    ), v AS (
+        SELECT *, length(regexp_replace(regexp_extract(line, '^([ \t]*>)+[ \t]?'), '[^>]', '', 'g')) AS level,
+               lower(trim(regexp_replace(regexp_replace(line, '^([ \t]*>)+[ \t]?', ''),
+                                         '[\s[:punct:]]+', ' ', 'g'))) AS said
+        FROM l
+    ), w AS (
+        SELECT *, lag(level, 1, -1) OVER (PARTITION BY position ORDER BY line_no) AS last_level,
+               lead(level, 1, 0) OVER (PARTITION BY position ORDER BY line_no) AS next_level
+        FROM v
+    ), x AS (
+        SELECT *, sum((level <> last_level)::int) OVER (PARTITION BY position ORDER BY line_no) AS passage FROM w
+    ), own AS (
+        SELECT position, regexp_replace(string_agg(line, chr(10) ORDER BY line_no), '^\s+|\s+$', '', 'g') AS own_text
+        FROM x
+        WHERE level = 0 AND NOT (next_level > 0
+              AND regexp_matches(line, '^(On|Le|Am|El) .*(wrote|a écrit|schrieb|escribió) ?:[ \t]*$'))
+        GROUP BY position
+    ), written AS (
+        SELECT conv_id, said, min(position) AS original FROM x WHERE level = 0 AND said <> '' GROUP BY 1, 2
+    ), votes AS (
+        SELECT q.position, q.passage, q.level, o.original, count(*) AS n
+        FROM x q LEFT JOIN written o
+             ON q.conv_id = o.conv_id AND q.said = o.said AND o.original < q.position
+        WHERE q.level > 0 AND q.said <> '' GROUP BY 1, 2, 3, 4
+    ), passages AS (
+        SELECT position, passage, level,
+               arg_max(original, (n, -original)) FILTER (original IS NOT NULL) AS original
+        FROM votes GROUP BY 1, 2, 3
+    ), parents AS (
+        SELECT position, arg_max(original, (-level, original)) AS parent
+        FROM passages WHERE original IS NOT NULL GROUP BY 1
+    ), up AS (
+        SELECT position, parent AS root, 1 AS depth FROM parents
+        UNION ALL
+        SELECT up.position, p.parent, up.depth + 1 FROM up JOIN parents p ON p.position = up.root
+    ), roots AS (
+        SELECT position, min(root) AS root, max(depth) AS depth FROM up GROUP BY 1
+    ), counts AS (
+        SELECT position, count(*) AS passages, count(original) AS linked, max(level) AS max_level
+        FROM passages GROUP BY 1
+    )
+    SELECT m.conv_id, m.turn, m.role, coalesce(own.own_text, '') AS own_text, pm.turn AS parent_turn,
+           coalesce(r.depth, 0)::bigint AS depth, coalesce(c.passages, 0)::bigint AS passages,
+           coalesce(c.linked, 0)::bigint AS linked, coalesce(c.max_level, 0)::bigint AS max_level,
+           row_number() OVER (ORDER BY m.conv_id NULLS FIRST, coalesce(r.root, m.position), m.position) AS reply_order
+    FROM m LEFT JOIN own USING (position) LEFT JOIN parents USING (position)
+         LEFT JOIN m pm ON pm.position = parents.parent
+         LEFT JOIN roots r ON r.position = m.position LEFT JOIN counts c ON c.position = m.position
+    """
+)
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with what it answers and its place in reply order, quotations taken out."""
+    return quotes.link_conversations(table(spark, sf_dir, "conversations"))
