@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import open_in, open_out
+from ebbflow.llm.common import materialized, open_in, open_out
 
 CHUNK = 1 << 20
 GZIP = 31  # zlib's window bits for a gzip member
@@ -44,12 +44,13 @@ def with_roles(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     """page_id, url, payload, digest, record_type, refers_to: who is the response among equal payloads.
 
     Only digests that occur more than once are joined back. A digest that a third of all pages have is reduced
-    by partial aggregates, and the join's other side has one row per digest.
+    by partial aggregates, and the join's other side has one row per digest. That side is written first, so that
+    Spark knows its size: payloads are shuffled only where it is too large to be broadcast.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     large = F.length("payload") >= min_bytes
-    firsts = (
+    firsts = materialized(
         rows.filter(large)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("_n"))
