@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import huffman, quotes, warc
-from ebbflow.llm.common import materialized, run_folder, table, tokenizer_file
+from ebbflow.llm import huffman, langid, quality, quotes, warc
+from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
 
@@ -102,3 +102,25 @@ def op2_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message with what it answers and its place in reply order, quotations taken out."""
     return quotes.link_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = langid.fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "rejected")
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from two folds of three of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    featured = materialized(quality.with_statistics(docs))
+    marks = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    labelled = featured.join(marks, "doc_id").withColumn("tune", fold(F.col("doc_id"), 10) == 0)
+    model = quality.fit(labelled)
+    return quality.score(featured, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
