@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import huffman, langid, quality, quotes, warc
+from ebbflow.llm import huffman, langid, mixing, omh, permutation, quality, quotes, warc
 from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
@@ -124,3 +124,34 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = featured.join(marks, "doc_id").withColumn("tune", fold(F.col("doc_id"), 10) == 0)
     model = quality.fit(labelled)
     return quality.score(featured, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near duplicates and the first document with the same words."""
+    return omh.near_classes(table(spark, sf_dir, "documents"))
+
+
+@query(
+    f"SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability, selected FROM ({mixing.sql()})"
+)
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its calibrated probability, and whether the mix takes it."""
+    found = mixing.sample(table(spark, sf_dir, "documents"))
+    none = F.lit(mixing.NONE)
+    return found.select(
+        "doc_id",
+        F.coalesce("source", none).alias("source"),
+        F.coalesce("lang", none).alias("lang"),
+        "topic",
+        "tokens",
+        F.round("probability", 6).alias("probability"),
+        "selected",
+    )
+
+
+@query()
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors to every twentieth one, over all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return permutation.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
