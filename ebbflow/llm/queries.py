@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import huffman, langid, mixing, omh, permutation, quality, quotes, warc
+from ebbflow.llm import decontaminate, huffman, langid, mixing, omh, permutation, quality, quotes, warc
 from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
@@ -155,3 +155,9 @@ def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors to every twentieth one, over all vectors."""
     vectors = table(spark, sf_dir, "embeddings")
     return permutation.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@query()
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, as it is or with other parameters."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
