@@ -37,8 +37,12 @@ BLOCK = 1024
 REMEMBERED, SHORT = 1_000_000, 40
 
 # How the byte-level vocabulary splits a text before merging.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Beyond these characters Python's classes and the library's may differ: such texts are not split here.
+_LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_BLANKS = r"\t\n\v\f\r \xa0"
+PIECES = re.compile(
+    rf" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+)
+#: Beyond these characters the classes above do not hold: such texts are not split here.
 UNSURE = re.compile(
     "[^\x00-\x1b\x20-\x7f\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e\u20ac\u2122]"
 )
@@ -339,10 +343,11 @@ FILE = ["part", "first_row", "file", "docs", "tokens", "bytes"]
 
 
 def read_files(files: DataFrame) -> DataFrame:
-    """doc_id, file, position (tokens of the file before it), ids (binary, 4 bytes each): decoded documents."""
+    """doc_id, start (tokens of all documents before it), ids (binary, 4 bytes each) of the files' documents;
+    ``files`` has each file's path and its first document's ``start``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for path in (x for batch in batches for x in batch["file"]):
+        for path, start in (x for batch in batches for x in batch.itertuples(index=False, name=None)):
             with open_in(path) as file:
                 foot = read_footer(file)
                 code = Code(foot["lengths"])
@@ -369,13 +374,12 @@ def read_files(files: DataFrame) -> DataFrame:
                             "doc_id": pd.array(
                                 np.where(foot["missing"][low:high] == 1, None, foot["doc_ids"][low:high]), "Int64"
                             ),
-                            "file": path,
-                            "position": ends[low:high] - tokens[low:high],
+                            "start": start + ends[low:high] - tokens[low:high],
                             "ids": [got[a:b] for a, b in zip(stops - tokens[low:high] * 4, stops, strict=True)],
                         }
                     )
 
-    return files.select("file").mapInPandas(run, "doc_id long, file string, position long, ids binary")
+    return files.select("file", "start").mapInPandas(run, "doc_id long, start long, ids binary")
 
 
 def write_corpus(
@@ -410,9 +414,6 @@ def write_corpus(
 
 def read_corpus(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids of every document in the files."""
-    tasks = max(1, manifest.count())
-    read = read_files(manifest.select("file").repartition(tasks))
-    found = read.withColumn("ids_crc32", F.crc32("ids")).withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
-    return found.join(manifest.select("file", F.col("start").alias("_before")), "file").select(
-        "doc_id", (F.col("_before") + F.col("position")).alias("start"), "n_tokens", "ids_crc32", "ids"
-    )
+    read = read_files(manifest.repartition(max(1, manifest.count())))
+    n_tokens = (F.length("ids") / 4).cast("long")
+    return read.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"), "ids")
