@@ -67,7 +67,7 @@ class Settings:
     window: int = 8
     literals: int = 4
     share: float = 0.3
-    agree: float = 0.8
+    agree: float = 0.85
 
 
 def kind_of(token: str) -> int:
