@@ -35,7 +35,7 @@ class Settings:
     buckets: int = 1 << 16
     size: int = 16
     grams: tuple[int, int] = (2, 4)
-    max_docs: int = 6000
+    max_docs: int = 3000
     epochs: int = 4
     rate: float = 0.5
     batch: int = 16
@@ -90,16 +90,20 @@ def sample(labelled: DataFrame, settings: Settings) -> DataFrame:
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learn from doc_id, text and lang. The driver gets the sample as bucket weights, not as texts."""
+    """Learn from doc_id, text and lang. The driver gets the sample as bucket weights, at most
+    8 bytes times ``buckets`` a document, and not as texts."""
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(lang, *sparse(text, settings)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
+            rows = []
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                buckets, weights = sparse(text, settings)
+                rows.append((lang, buckets.astype("<i4").tobytes(), weights.astype("<f4").tobytes()))
             yield pd.DataFrame(rows, columns=["lang", "buckets", "weights"])
 
-    rows = sample(labelled, settings).mapInPandas(weigh, "lang string, buckets array<int>, weights array<float>")
+    rows = sample(labelled, settings).mapInPandas(weigh, "lang string, buckets binary, weights binary")
     found = [r for r in rows.toPandas().itertuples(index=False) if len(r.buckets)]
-    found.sort(key=lambda r: (r.lang, len(r.buckets), tuple(r.buckets[:20])))
+    found.sort(key=lambda r: (r.lang, r.buckets, r.weights))
     languages = tuple(sorted({r.lang for r in found}))
     if not languages:
         return Model((), np.zeros((settings.buckets, 0)), np.zeros(0), 1.0, 0.0)
@@ -110,7 +114,7 @@ def _descend(found: list, languages: tuple[str, ...], settings: Settings) -> Mod
     rng = np.random.default_rng(settings.seed)
     known = {x: i for i, x in enumerate(languages)}
     labels = np.asarray([known[r.lang] for r in found])
-    docs = [(np.asarray(r.buckets), np.asarray(r.weights)) for r in found]
+    docs = [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.weights, "<f4")) for r in found]
     order = rng.permutation(len(docs))
     cut = int(len(docs) * settings.held_back) if len(docs) > 8 * len(languages) else 0
     tuning, training = order[:cut], order[cut:]
