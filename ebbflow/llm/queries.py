@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import decontaminate, huffman, langid, mixing, omh, permutation, quality, quotes, warc
+from ebbflow.llm import decontaminate, huffman, katz, langid, mixing, omh, permutation, quality, quotes, warc
 from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file
 from ebbflow.llm.registry import query
 
@@ -161,3 +161,13 @@ def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, as it is or with other parameters."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document, learned from four folds of five."""
+    held_out = fold(F.col("doc_id"), 5) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~held_out).alias("train"))
+    found = katz.score(docs)
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", held_out.alias("held_out"), *columns)
