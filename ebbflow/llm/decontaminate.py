@@ -128,7 +128,7 @@ class Canon:
         kinds = np.where((kinds == UNIT) & (before != NUMBER) & ~signs, WORD, kinds)
         again = (kinds == NAME) & (np.concatenate([[END], kinds[:-1]]) == NAME)
         (at,) = np.nonzero((kinds != END) & ~again)
-        spans = np.column_stack([at, np.concatenate([at[1:], [len(tokens)]])])
+        spans = np.column_stack([at, np.append(at[1:], len(tokens))[: len(at)]])
         slot = kinds[at] != WORD
         return np.where(slot, _PLACE[kinds[at]], self.hashes[codes[at]]), slot, spans, tokens
 
