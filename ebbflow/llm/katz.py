@@ -9,8 +9,8 @@ Everything is counted over all rows. Documents are cut into batches (a batch end
 text is one batch); each keeps its distinct words and its tokens as places among them. Batches send distinct words
 and pairs to buckets, whose number grows with the tokens; buckets add up and answer each batch. Pairs of a frequent
 first word are spread over as many buckets as its count asks for; one row per batch stands for a repeated pair,
-so a hot word or pair is added up before it is shuffled. Three tables in the shared folder hold batches, word
-counts and pair counts.
+so a hot word or pair is added up before it is shuffled. Batches are files of the shared folder, read by whoever
+works on them and not shuffled; tables beside them hold word counts and pair counts.
 
 Words are known by 64-bit digests: two different words meet with a chance of about 3 in 10^8 per million words.
 
@@ -23,6 +23,7 @@ Columns other than those named are not read.
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import drop, scratch
+from ebbflow.llm.common import drop, open_in, open_out, run_folder, scratch
 
-BATCH = 2_000_000  # tokens
+BATCH = 1_000_000  # tokens
 BUCKET = 1_000_000  # tokens for each bucket
 SPLIT = 50_000  # pairs of a first word in one bucket
 COUNTED = 5  # counts up to this are discounted
@@ -120,8 +121,8 @@ def _home(rows: pa.Table) -> tuple[int, bytes]:
     )
 
 
-def batches(docs: DataFrame) -> DataFrame:
-    """batch, tokens and payload of the documents (doc_id, text, train)."""
+def batches(docs: DataFrame, folder: str) -> DataFrame:
+    """batch, tokens and file (below ``folder``) of the documents (doc_id, text, train)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -130,9 +131,10 @@ def batches(docs: DataFrame) -> DataFrame:
 
         def cut() -> pa.RecordBatch:
             n, payload = _home(pa.Table.from_batches(held))
-            return pa.RecordBatch.from_pydict(
-                {"batch": pa.array([number], pa.int64()), "tokens": pa.array([n], pa.int64()), "payload": [payload]}
-            )
+            file = f"{folder}/{uuid.uuid4().hex}"  # a task that is run again writes files of its own
+            with open_out(file) as out:
+                out.write(payload)
+            return pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int64()), "tokens": pa.array([n], pa.int64()), "file": [file]})
 
         for part in parts:
             sizes = pc.fill_null(pc.binary_length(part["text"]), 0).to_numpy(zero_copy_only=False)
@@ -146,12 +148,13 @@ def batches(docs: DataFrame) -> DataFrame:
         if sum(map(len, held)):
             yield cut()
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "train").mapInArrow(run, "batch long, tokens long, payload binary")
+    return docs.select(F.col("doc_id").cast("long"), "text", "train").mapInArrow(run, "batch long, tokens long, file string")
 
 
 class _Batch:
-    def __init__(self, payload: bytes):
-        self.ids, self.no_id, self.train, self.lengths, self.words, self.places = unpack(payload)
+    def __init__(self, file: str):
+        with open_in(file) as stored:
+            self.ids, self.no_id, self.train, self.lengths, self.words, self.places = unpack(stored.read())
         self.learns = np.repeat(self.train, self.lengths)
 
     def by_bucket(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,21 +287,22 @@ def _stats(answers: DataFrame) -> list[int]:
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score of every row of docs (doc_id, text, train)."""
     spark = docs.sparkSession
-    home, home_path = scratch(batches(docs), "katz-batches", "none")
+    folder = run_folder(spark, "katz")
+    home, home_path = scratch(batches(docs, folder), "katz-batches")
     tokens = home.agg(F.sum("tokens")).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET))
     letter = home.select(
         F.col("batch").alias("to"),
         F.lit(HOME).alias("kind"),
         F.lit(-1).cast("long").alias("sender"),
-        "payload",
+        F.col("file").cast("binary").alias("payload"),
         F.lit(None).cast("array<long>").alias("stats"),
     )
 
     def send_words(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for number, payload in zip(part["batch"], part["payload"]):
-                batch = _Batch(payload)
+            for number, file in zip(part["batch"], part["file"]):
+                batch = _Batch(file)
                 order, bucket = batch.by_bucket(buckets)
                 n = np.bincount(batch.places[batch.learns], minlength=len(batch.words))
                 yield _letters(order, bucket, WORDS, int(number), batch.words, n.astype(np.int32))
@@ -312,7 +316,7 @@ def score(docs: DataFrame) -> DataFrame:
     divisor = train_tokens if kept < train_tokens else train_tokens + 1
 
     def send_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        batch = _Batch(rows.loc[rows["kind"] == HOME, "payload"].iloc[0])
+        batch = _Batch(rows.loc[rows["kind"] == HOME, "payload"].iloc[0].decode())
         c = _ordered(batch.by_bucket(buckets)[0], _collected(rows, WORDS))
         first, second, place = batch.pairs()
         order, bucket = batch.pair_order(first, second, c, buckets)
@@ -334,7 +338,7 @@ def score(docs: DataFrame) -> DataFrame:
     contexts = asked.unionByName(pairs.filter(F.col("kind") == CONTEXTS)).groupBy("to").applyInPandas(answer_contexts, _LETTER)
 
     def evaluate(rows: pd.DataFrame) -> pd.DataFrame:
-        batch = _Batch(rows.loc[rows["kind"] == HOME, "payload"].iloc[0])
+        batch = _Batch(rows.loc[rows["kind"] == HOME, "payload"].iloc[0].decode())
         order = batch.by_bucket(buckets)[0]
         c = _ordered(order, _collected(rows, WORDS))
         first, second, place = batch.pairs()
@@ -360,7 +364,7 @@ def score(docs: DataFrame) -> DataFrame:
     told = told.unionByName(pairs.filter(F.col("kind") == PAIRS).filter("to >= 0")).unionByName(contexts)
     schema = "doc_id long, no_id boolean, train boolean, n_tokens long, n_known long, base_score double, score double"
     found, _ = scratch(letter.unionByName(told).groupBy("to").applyInPandas(evaluate, schema), "katz-scores")
-    for path in (home_path, words_path, pairs_path):
+    for path in (home_path, folder, words_path, pairs_path):
         drop(spark, path)
     return found.select(
         F.expr("if(no_id, null, doc_id)").alias("doc_id"),
