@@ -198,5 +198,5 @@ def advance(watermarks: DataFrame | None, pulled: DataFrame) -> DataFrame:
 
 def collect_watermarks(watermarks: DataFrame, model: EntityModel) -> dict[str, datetime]:
     """Watermarks on the driver: one per entity of the model, no more."""
-    rows = watermarks.filter(F.col("entity").isin(model.names)).limit(len(model.names)).collect()
-    return {row["entity"]: row["watermark"] for row in rows}
+    rows = watermarks.filter(F.col("entity").isin(model.names)).groupBy("entity").agg(F.max("watermark").alias("at"))
+    return {row["entity"]: row["at"] for row in rows.collect()}

@@ -22,10 +22,16 @@ from pyspark.sql import functions as F
 from ebbflow.model import EntityModel, relaxed
 
 
+#: Beside a root's table: keys of rows that the remote deleted, and when, for streams that see older rows later.
+GONE = ".gone"
+
+
 @dataclass
 class Manifest:
+    """``batches``: the last micro-batch applied, by root and stream."""
+
     number: int = 0
-    batch: int | None = None
+    batches: dict[str, int] = field(default_factory=dict)
     buckets: int = 0
     roots: dict[str, dict[int, str]] = field(default_factory=dict)
     watermarks: dict[str, datetime] = field(default_factory=dict)
@@ -34,7 +40,7 @@ class Manifest:
         return json.dumps(
             {
                 "number": self.number,
-                "batch": self.batch,
+                "batches": self.batches,
                 "buckets": self.buckets,
                 "roots": self.roots,
                 "watermarks": {e: at.isoformat(timespec="microseconds") for e, at in self.watermarks.items()},
@@ -46,7 +52,7 @@ class Manifest:
         raw = json.loads(text)
         return Manifest(
             number=raw["number"],
-            batch=raw["batch"],
+            batches=raw["batches"],
             buckets=raw["buckets"],
             roots={root: {int(b): g for b, g in at.items()} for root, at in raw["roots"].items()},
             watermarks={e: datetime.fromisoformat(at) for e, at in raw["watermarks"].items()},
@@ -119,7 +125,7 @@ class SnapshotStore:
         """A root's table, or some of its buckets; columns that older files lack are null."""
         at = self.manifest(number).roots.get(root, {})
         wanted = at if buckets is None else [b for b in buckets if b in at]
-        schema = relaxed(self.model.local_schema(root))
+        schema = relaxed(self.model.local_schema(root.removesuffix(GONE)))
         if not wanted:
             return self.spark.createDataFrame([], schema)
         base = f"{self.path}/data/{root}"
@@ -134,7 +140,7 @@ class SnapshotStore:
         tables: Mapping[str, DataFrame],
         touched: Mapping[str, Iterable[int]] | None = None,
         watermarks: Mapping[str, datetime] | None = None,
-        batch: int | None = None,
+        batches: Mapping[str, int] | None = None,
     ) -> int:
         """Write tables and make them current; the new version's number.
 
@@ -161,7 +167,7 @@ class SnapshotStore:
         self._publish(
             Manifest(
                 number=number,
-                batch=current.batch if batch is None else batch,
+                batches={**current.batches, **(batches or {})},
                 buckets=current.buckets,
                 roots=roots,
                 watermarks={**current.watermarks, **(watermarks or {})},
@@ -170,11 +176,12 @@ class SnapshotStore:
         return number
 
     def reset(self, keep_watermarks: bool = False) -> int:
-        """Start empty. The sync positions go too, or the next pull would miss all that was read before."""
+        """Start empty. The sync positions and the numbers of micro-batches go too, or the next pull would miss all
+        that was read before."""
         current = self.manifest()
         watermarks = current.watermarks if keep_watermarks else {}
         self._publish(
-            Manifest(current.number + 1, current.batch, current.buckets, roots={}, watermarks=watermarks)
+            Manifest(current.number + 1, buckets=current.buckets, watermarks=watermarks)
         )
         return current.number + 1
 
@@ -185,7 +192,7 @@ class SnapshotStore:
         fs = self._fs()
         for number in numbers[:-keep]:
             fs.delete(self._path(f"{self.path}/versions/{number:012d}.json"), False)
-        for root in self.model.roots:
+        for root in [name for top in self.model.roots for name in (top, top + GONE)]:
             used = {g for m in kept for g in m.roots.get(root, {}).values()}
             for name in self._names(f"{self.path}/data/{root}"):
                 if name.removeprefix("g=") not in used:

@@ -1,26 +1,32 @@
 """Continuous pull: a change feed applied to a snapshot store, one commit per micro-batch.
 
-A micro-batch may be delivered twice. Its number is stored with the version it made, so the second
-delivery is passed over; were it not, applying the same rows again would change nothing.
+A micro-batch may be delivered twice. Its number is stored, by root and stream, with the version it made, so the
+second delivery is passed over; were it not, applying the same rows again would change nothing. A stream is known
+by the id in its checkpoint: a new checkpoint is another stream, and starts with its first batch.
+
+Rows may come in any order, over any number of batches. A row is applied unless the store has a newer version of
+the same uid, or a newer deletion of it, whose key is kept beside the table; the result does not depend on how the
+feed is cut. Older versions go to ``<store>/late``, rows that no table can take (an unknown entity, no uid, no
+time) to ``<store>/errors``.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ebbflow.model import KEY, EntityModel, Relationship, Stored
+from ebbflow.model import KEY, EntityModel, Relationship, Status, Stored
 from ebbflow.operators import pull
 from ebbflow.operators.fetch import any_in_objects, in_objects
 from ebbflow.operators.relations import edges_of_array
 from ebbflow.operators.save import cascade_levels, delete_rows, placeholders, references_of, relationships_of
 from ebbflow.session import materialized
-from ebbflow.sources.snapshots import SnapshotStore
-
-FOREVER = datetime(9999, 1, 1)
+from ebbflow.sources.snapshots import GONE, SnapshotStore
 
 
 def start_pull(
@@ -34,29 +40,45 @@ def start_pull(
     """Follow the change feed of one root table. Stop and start again with the same ``checkpoint``."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        apply_batch(store, root, batch, number, tie_break)
+        apply_batch(store, root, batch, number, tie_break, stream=_stream_id(store, checkpoint))
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def apply_batch(store: SnapshotStore, root: str, batch: DataFrame, number: int, tie_break: str | None = None) -> bool:
-    """Apply one micro-batch and commit it; False when it had been committed before.
+def _stream_id(store: SnapshotStore, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint."""
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    opened = path.getFileSystem(store.spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(store.spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))["id"]
+    finally:
+        opened.close()
+
 
-    Late rows, at or below their entity's watermark, go to ``<store>/late`` instead: only a full pull of
-    the remote takes them in.
-    """
+def apply_batch(
+    store: SnapshotStore, root: str, batch: DataFrame, number: int, tie_break: str | None = None, stream: str = ""
+) -> bool:
+    """Apply one micro-batch and commit it; False when it had been committed before."""
     current = store.manifest()
-    if current.batch is not None and number <= current.batch:
+    delivery = f"{root}/{stream}"
+    if number <= current.batches.get(delivery, -1):
         return False
     model = store.model
-    known = batch.filter(F.col("entity").isin(model.family(root)))
-    late = pull.late_rows(known, current.watermarks)
-    late.write.mode("overwrite").parquet(f"{store.path}/late/{root}/batch={number}")
-
-    fresh = pull.increment(known, current.watermarks, FOREVER)
-    newest = materialized(pull.latest_version(fresh, tie_break))
-    marks = pull.collect_watermarks(pull.advance(None, newest), model)
+    folder = f"{root}/stream={stream}/batch={number}"
+    sound = F.col("entity").isin(model.family(root)) & F.col("uid").isNotNull() & F.col("updated_at").isNotNull()
+    sound = F.coalesce(sound, F.lit(False))
+    batch.filter(~sound).write.mode("overwrite").parquet(f"{store.path}/errors/{folder}")
+
+    versions = materialized(pull.latest_version(batch.filter(sound), tie_break))
+    buckets = store.touched(versions)
+    held = store.read(root, buckets).unionByName(store.read(root + GONE, buckets))
+    held = held.groupBy(*KEY).agg(F.max("last_modified").alias("_held"))
+    aged = materialized(versions.join(held, list(KEY), "left"))
+    late = F.coalesce(F.col("updated_at") < F.col("_held"), F.lit(False))
+    aged.filter(late).drop("_held").write.mode("overwrite").parquet(f"{store.path}/late/{folder}")
+    newest = aged.filter(~late).drop("_held")
+    marks = _raised(current.watermarks, pull.collect_watermarks(pull.advance(None, newest), model))
     schema = store.read(root, []).columns
     incoming = pull.decode_rows(newest, model, root)
     incoming = incoming.select(*[c for c in incoming.columns if c in schema])
@@ -89,10 +111,19 @@ def apply_batch(store: SnapshotStore, root: str, batch: DataFrame, number: int,
         tables = delete_rows(model, tables, root, removed, remove=True).tables
     for target, rows in missing.items():
         tables[target] = tables[target].unionByName(rows, allowMissingColumns=True)
-    store.commit(tables, touched, watermarks=marks, batch=number)
+    before = store.read(root + GONE, touched[root])
+    gone = incoming.filter(F.col("status") == int(Status.DELETED)).select(*KEY, "last_modified")
+    tables[root + GONE] = before.join(incoming.select(*KEY), list(KEY), "left_anti").unionByName(gone, allowMissingColumns=True)
+    touched[root + GONE] = touched[root]
+    store.commit(tables, touched, watermarks=marks, batches={delivery: number})
     return True
 
 
+def _raised(old: Mapping[str, datetime], new: Mapping[str, datetime]) -> dict[str, datetime]:
+    """Watermarks never fall back."""
+    return {entity: max(at, old.get(entity, at)) for entity, at in new.items()}
+
+
 def _relationships(model: EntityModel, root: str) -> list[Relationship]:
     """Those that a row holds itself."""
     return [r for r in relationships_of(model, root) if r.stored in (Stored.POINTER, Stored.ARRAY)]

@@ -62,12 +62,12 @@ def test_two_writers_cannot_make_the_same_version(spark, store):
 
 
 def test_reset_forgets_rows_and_positions(spark, store):
-    store.commit({"Book": books(spark, 1)}, watermarks={"Book": at(5)}, batch=3)
+    store.commit({"Book": books(spark, 1)}, watermarks={"Book": at(5)}, batches={"Book/": 3})
     assert store.manifest().watermarks == {"Book": at(5)}
     store.reset(keep_watermarks=True)
     assert store.read("Book").count() == 0 and store.manifest().watermarks == {"Book": at(5)}
     store.reset()
-    assert store.manifest().watermarks == {} and store.manifest().batch == 3
+    assert store.manifest().watermarks == {} and store.manifest().batches == {}
 
 
 def test_expired_versions_leave_used_folders(spark, store):
@@ -126,7 +126,7 @@ def test_a_stream_of_batches_ends_like_one_pull(spark, store, tmp_path):
         incoming = pull.decode_rows(pull.latest_version(remote(spark, "Book", *rows)), LIBRARY, "Book")
         expected = materialized(pull.apply_pull(expected, incoming).local)
     assert by_uid(store.read("Book")) == by_uid(expected)
-    assert store.manifest().batch == len(batches) - 1 and store.manifest().watermarks == {"Book": at(clock)}
+    assert list(store.manifest().batches.values()) == [len(batches) - 1] and store.manifest().watermarks == {"Book": at(clock)}
     assert len(store.versions()) == 1 + len(batches)
 
     again = start_pull(feed_files_again(spark, tmp_path / "feed"), store, "Book", str(tmp_path / "checkpoint"))
@@ -144,12 +144,32 @@ def test_a_batch_delivered_twice_is_applied_once(spark, store):
     assert store.versions() == [1]
 
 
-def test_late_rows_are_set_aside(spark, store):
-    apply_batch(store, "Book", remote(spark, "Book", {"uid": "b1", "updated_at": at(5)}), 0)
-    late = remote(spark, "Book", {"uid": "b2", "updated_at": at(5)}, {"uid": "b3", "updated_at": at(6)}, {"uid": "x", "entity": "Ghost"})
-    apply_batch(store, "Book", late, 1)
-    assert sorted(uids(store.read("Book"))) == ["b1", "b3"]
-    assert uids(spark.read.parquet(f"{store.path}/late/Book/batch=1")) == ["b2"]
+def test_rows_in_mixed_order_end_the_same(spark, store):
+    book = lambda uid, n, status=2: remote(spark, "Book", {"uid": uid, "status": status, "updated_at": at(n), "name": f"v{n}"})
+    for number, (uid, n, status) in enumerate([("b1", 9, 2), ("b2", 3, 2), ("b1", 4, 2), ("b2", 8, 3), ("b2", 5, 2), ("b3", 7, 3), ("b3", 6, 2)]):
+        assert apply_batch(store, "Book", book(uid, n, status), number)
+    assert {u: r["name"] for u, r in by_uid(store.read("Book")).items()} == {"b1": "v9"}
+    assert uids(spark.read.parquet(f"{store.path}/late/Book/stream=/batch=2")) == ["b1"]
+    assert store.manifest().watermarks == {"Book": at(9)}
+    apply_batch(store, "Book", book("b2", 10), 7)
+    assert sorted(uids(store.read("Book"))) == ["b1", "b2"]
+
+
+def test_rows_that_no_table_can_take_are_errors(spark, store):
+    rows = remote(spark, "Book", {"uid": "b1", "updated_at": at(1)}, {"uid": "x", "entity": "Ghost"}, {"uid": "b2", "updated_at": at(1)})
+    rows = rows.withColumn("updated_at", F.when(F.col("uid") != "b2", F.col("updated_at")))
+    apply_batch(store, "Book", rows, 0)
+    assert uids(store.read("Book")) == ["b1"]
+    assert sorted(uids(spark.read.parquet(f"{store.path}/errors/Book/stream=/batch=0"))) == ["b2", "x"]
+
+
+def test_streams_count_their_batches_apart(spark, store):
+    one = remote(spark, "Book", {"uid": "b1", "updated_at": at(1)})
+    assert apply_batch(store, "Author", remote(spark, "Author", {"uid": "a1", "updated_at": at(1)}), 0)
+    assert apply_batch(store, "Book", one, 0) and apply_batch(store, "Book", one, 0, stream="other")
+    assert not apply_batch(store, "Book", one, 0)
+    store.reset()
+    assert apply_batch(store, "Book", one, 0) and uids(store.read("Book")) == ["b1"]
 
 
 def test_a_stream_follows_references_and_delete_rules(spark, store):
@@ -164,7 +184,7 @@ def test_a_stream_follows_references_and_delete_rules(spark, store):
     apply_batch(store, "Book", remote(spark, "Book", {"uid": "n1", "author": ref("Author", "a7"), "updated_at": at(1)}), 0)
     authors = by_uid(store.read("Author"))
     assert (authors["a7"]["status"], authors["a7"]["created_remotely"]) == (1, True) and "a1" in authors
-    apply_batch(store, "Author", remote(spark, "Author", {"uid": "a1", "status": 3, "updated_at": at(2)}), 1)
+    apply_batch(store, "Author", remote(spark, "Author", {"uid": "a1", "status": 3, "updated_at": at(2)}), 0)
     assert sorted(uids(store.read("Book"))) == ["n1", "z"] and uids(store.read("Page")) == ["p2"]
     assert by_uid(store.read("Magazine"))["m1"]["authors"] == [ref("Author", "a9")]
     assert uids(store.read("Author")) == ["a7"]
