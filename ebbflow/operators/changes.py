@@ -35,16 +35,24 @@ def steps(plan: DataFrame, order: int) -> DataFrame:
     return changed.filter(F.col("change").isNotNull())
 
 
-def change_log(push_plan: DataFrame | None, pull_plan: DataFrame, added: DataFrame | None = None) -> DataFrame:
+def change_log(
+    push_plan: DataFrame | None,
+    pull_plan: DataFrame,
+    added: DataFrame | None = None,
+    cascaded: DataFrame | None = None,
+    cleared: DataFrame | None = None,
+) -> DataFrame:
     """``(entity, change, uid)``, each uid once per entity with its first change.
 
-    ``added`` are keys of placeholders, which count as inserted.
+    Further changes are given by their keys: ``cascaded`` rows went with a deleted one, ``cleared`` rows lost a
+    reference and count as updated, ``added`` are placeholders and count as inserted.
     """
     all_steps = steps(pull_plan, 1)
     if push_plan is not None:
         all_steps = all_steps.unionByName(steps(push_plan, 0))
-    if added is not None:
-        all_steps = all_steps.unionByName(added.select(*KEY, F.lit(INSERTED).alias("change"), F.lit(2).alias("step")))
+    for step, (keys, change) in enumerate(((cascaded, DELETED), (cleared, UPDATED), (added, INSERTED)), 2):
+        if keys is not None:
+            all_steps = all_steps.unionByName(keys.select(*KEY, F.lit(change).alias("change"), F.lit(step).alias("step")))
     first = all_steps.groupBy(*KEY).agg(F.min_by("change", "step").alias("change"))
     return first.select("entity", "change", "uid")
 

@@ -242,6 +242,24 @@ def gone_keys(
     return {root: rows.distinct() for root, rows in gone.items()}
 
 
+def bereft_keys(
+    model: EntityModel, tables: Mapping[str, DataFrame], gone: Mapping[str, DataFrame]
+) -> DataFrame | None:
+    """Keys of rows that stay and lose a reference to a gone row, each once; None where no column can refer to one."""
+    parts = []
+    for root, table in tables.items():
+        for relationship in relationships_of(model, root):
+            lost, name = gone.get(model.root_of(relationship.target)), relationship.name
+            if lost is None or name not in table.columns:
+                continue
+            held = F.col(name) if relationship.stored is Stored.ARRAY else F.array(name)
+            held = table.select(*KEY, F.explode(held).alias("_ref")).select(*KEY, F.col("_ref.uid").alias("_lost"))
+            lost = lost.select(F.col("uid").alias("_lost"))
+            hit = join_unique(held.filter("_lost is not null"), lost, "_lost", "left_semi", spread_by="uid").select(*KEY)
+            parts.append(hit.join(gone[root], "uid", "left_anti").select(*KEY) if root in gone else hit)
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct() if parts else None
+
+
 def apply_gone(
     model: EntityModel, tables: Mapping[str, DataFrame], gone: Mapping[str, DataFrame], remove: bool = False
 ) -> dict[str, DataFrame]:

@@ -10,21 +10,28 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.model import KEY, EntityModel, Relationship, Stored
+from ebbflow.model import KEY, EntityModel, Relationship, Stored, relaxed
 from ebbflow.operators import changes, pull, push
 from ebbflow.operators.joins import join_unique
-from ebbflow.operators.relations import replace_edges
-from ebbflow.operators.save import apply_gone, gone_keys, placeholders, references_of, relationships_of
+from ebbflow.operators.relations import remove_from_arrays, replace_edges
+from ebbflow.operators.save import (
+    apply_gone,
+    bereft_keys,
+    gone_keys,
+    placeholders,
+    references_of,
+    relationships_of,
+)
 from ebbflow.session import materialized
 
 Tables = Mapping[str, DataFrame]
 
 
 class SyncError(RuntimeError):
-    """A push met a row it could not place; ``code`` is one of the codes of ``operators.push``."""
+    """A row that cannot be pushed or pulled; ``code`` is one of the codes of ``operators.push``, or None."""
 
-    def __init__(self, code: int, uid: str) -> None:
-        super().__init__(f"push stopped with error {code} at {uid}")
+    def __init__(self, code: int | None, uid: str | None, action: str) -> None:
+        super().__init__(f"sync stopped with {action} ({code}) at {uid}")
         self.code = code
         self.uid = uid
 
@@ -81,14 +88,28 @@ def _take_edges(
         edges_here[name] = replace_edges(edges_here.get(name, read.limit(0)), read, sources)
 
 
-def _without_gone(edges: DataFrame, gone: DataFrame) -> DataFrame:
-    """Edges with neither end among the given rows."""
-    left = join_unique(edges, gone.select(F.col("uid").alias("src_uid")), "src_uid", "left_anti", spread_by="dst_uid")
-    return join_unique(left, gone.select(F.col("uid").alias("dst_uid")), "dst_uid", "left_anti", spread_by="src_uid")
+def _without_gone(model: EntityModel, name: str, edges: DataFrame, gone: Tables) -> DataFrame:
+    """Edges of one relationship with neither end among the gone rows of that end's root: a uid is unique
+    within its root only."""
+    entity, relationship = name.split(".")
+    ends = (("src_uid", entity, "dst_uid"), ("dst_uid", model.relationship(entity, relationship).target, "src_uid"))
+    for end, of, other in ends:
+        keys = gone.get(model.root_of(of))
+        if keys is not None:
+            lost = keys.select(F.col("uid").alias(end))
+            edges = join_unique(edges, lost, end, "left_anti", spread_by=other).select(*edges.columns)
+    return edges
 
 
-def _pointers(model: EntityModel, root: str, table: DataFrame) -> list[Relationship]:
-    return [r for r in relationships_of(model, root) if r.stored is Stored.POINTER and r.name in table.columns]
+def _stored_as(model: EntityModel, root: str, table: DataFrame, stored: Stored) -> list[Relationship]:
+    return [r for r in relationships_of(model, root) if r.stored is stored and r.name in table.columns]
+
+
+def _with_all_roots(tables: Tables, others: Tables, model: EntityModel, schema) -> dict[str, DataFrame]:
+    """The tables, and an empty one for each root that only the other side has."""
+    spark = next(iter({**tables, **others}.values())).sparkSession
+    missing = [root for root in model.roots if root in others and root not in tables]
+    return {**tables, **{root: spark.createDataFrame([], relaxed(schema(root))) for root in missing}}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -137,8 +158,9 @@ def sync(
     """Push dirty rows, then pull what changed, over tables by root entity.
 
     ``push_time`` is the remote's time for written rows, ``now`` the upper bound of the pull; both are
-    given so that a repeated run does the same. Errors end the sync before anything is written
-    (``on_error="fail"``) or come back as rows while the rest goes on (``"quarantine"``).
+    given so that a repeated run does the same. Errors of the push, and remote rows that no table can take,
+    end the sync before anything is written (``on_error="fail"``) or come back as rows while the rest goes on
+    (``"quarantine"``). A root that one side has only is empty on the other.
 
     A to-many that is stored as a relation has an edge table on each side, by ``Entity.relationship``. A row
     that is written takes its edges along, and they replace those it had.
@@ -148,6 +170,10 @@ def sync(
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error is 'fail' or 'quarantine'")
+    local, remote = (
+        _with_all_roots(local, remote, model, model.local_schema),
+        _with_all_roots(remote, local, model, model.remote_schema),
+    )
     roots = [root for root in model.roots if root in local]
     at = pull.ntz(push_time)
 
@@ -163,7 +189,7 @@ def sync(
     errors = _union([push.push_errors(plan) for plan in plans.values()])
     if on_error == "fail" and any(actions & set(push.ERRORS) for actions in to_push.values()):
         first = errors.orderBy("entity", "uid").limit(1).collect()[0]
-        raise SyncError(first["code"], first["uid"])
+        raise SyncError(first["code"], first["uid"], first["action"])
 
     # A row that was deleted before the remote heard of it cannot be referred to any more.
     dropped = {
@@ -173,11 +199,16 @@ def sync(
     }
     tables = dict(local)
     for root in roots:
-        for pointer in _pointers(model, root, local[root]):
+        for pointer in _stored_as(model, root, local[root], Stored.POINTER):
             gone = dropped.get(model.root_of(pointer.target))
             if gone is not None:
                 tables[root] = push.without_dropped(tables[root], [pointer.name], gone)
                 pending[root] = push.without_dropped(pending[root], [pointer.name], gone)
+        for array in _stored_as(model, root, local[root], Stored.ARRAY):
+            gone = dropped.get(model.root_of(array.target))
+            if gone is not None:
+                tables[root] = remove_from_arrays(tables[root], array.name, gone).select(*tables[root].columns)
+                pending[root] = remove_from_arrays(pending[root], array.name, gone).select(*pending[root].columns)
 
     sent = {
         root: plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
@@ -188,8 +219,7 @@ def sync(
     leaving = [references_of(outgoing[root], relationships_of(model, root)) for root in sent]
     edges_here, edges_there = dict(local_edges or {}), dict(remote_edges or {})
     for name in edges_here:
-        for gone in dropped.values():
-            edges_here[name] = _without_gone(edges_here[name], gone)
+        edges_here[name] = _without_gone(model, name, edges_here[name], dropped)
     for root, keys in sent.items():
         for name in _edges_of(model, root, edges_here):
             written_edges = _edges_from(edges_here[name], keys)
@@ -206,12 +236,12 @@ def sync(
     )
     unknown = {root: keys for root, keys in unknown.items() if found[root]}
 
-    after_push, remote_after = dict(tables), dict(remote)
+    after_push, remote_after, won = dict(tables), dict(remote), {}
     for root in roots:
         if to_push[root] - set(push.ERRORS) or root in unknown:
             winners = remote[root].limit(0)
             if push.OVERWRITE_LOCAL in to_push[root]:
-                winners = materialized(push.winning_rows(remote[root], plans[root]))
+                won[root] = winners = materialized(push.winning_rows(remote[root], plans[root]))
             result = push.apply_push(
                 tables[root], remote[root], plans[root], at, unknown.get(root), outgoing[root], winners
             )
@@ -224,7 +254,7 @@ def sync(
 
     # Rows just written are known here and rows in error stay as they are; all others come from the
     # remote as it was, so that the bounds reach its scan.
-    incoming = {}
+    incoming, faults = {}, {}
     for root in roots:
         rows = pull.increment(remote[root], watermarks, now, full, model.family(root))
         settled = [written[root]] if root in written else []
@@ -232,9 +262,24 @@ def sync(
             settled.append(push.push_errors(plans[root]).select(*KEY))
         if settled:
             rows = rows.join(_union(settled), list(KEY), "left_anti")
-        incoming[root] = pull.decode_rows(rows, model, root)
         if watermarks and not full:
-            incoming[root] = materialized(incoming[root])
+            rows = materialized(rows)
+        untimed = remote[root].filter(F.col("updated_at").isNull())
+        faults[root] = pull.pull_errors(rows.unionByName(untimed), model, root)
+        incoming[root] = rows
+    faults, wrong = _written_by_root(faults)
+    if any(wrong.values()):
+        errors = errors.unionByName(_union(list(faults.values())))
+        if on_error == "fail":
+            first = errors.orderBy("entity", "uid", "action").limit(1).collect()[0]
+            raise SyncError(first["code"], first["uid"], first["action"])
+    for root, rows in incoming.items():
+        if wrong[root]:
+            rows = pull.without_errors(rows, model, root)
+        if push.DUPLICATE_UID in wrong[root]:
+            twice = faults[root].filter(F.col("action") == push.DUPLICATE_UID).select(*KEY)
+            rows = rows.join(twice, list(KEY), "left_anti")
+        incoming[root] = pull.decode_rows(rows, model, root)
     pull_plans, to_pull = _written_by_root(
         {root: pull.pull_plan(after_push[root], incoming[root]) for root in roots}
     )
@@ -248,18 +293,23 @@ def sync(
         for root in roots
         if pull.DELETE_LOCAL in to_pull[root]
     }
+    cascaded = cleared = None
     if removed:
         gone, _ = _written_by_root(gone_keys(model, after_pull, removed))
+        # The deleted rows themselves are out already: what is found here went with them.
+        cascaded = materialized(
+            _union([after_pull[root].select(*KEY).join(keys, "uid", "left_semi") for root, keys in gone.items()])
+        )
+        cleared = bereft_keys(model, after_pull, gone)
         after_pull = apply_gone(model, after_pull, gone, remove=True)
-        for name in edges_here:
-            for keys in gone.values():
-                edges_here[name] = _without_gone(edges_here[name], keys)
+        edges_here = {name: _without_gone(model, name, edges, gone) for name, edges in edges_here.items()}
 
     arriving = []
     for root in roots:
         if push.OVERWRITE_LOCAL in to_push[root]:
             overwritten = plans[root].filter(F.col("action") == push.OVERWRITE_LOCAL).select(*KEY)
             _take_edges(model, root, overwritten, remote_edges, edges_here, arriving)
+            arriving.append(references_of(pull.decode_rows(won[root], model, root), relationships_of(model, root)))
         if to_pull[root] & {pull.INSERT, pull.UPDATE}:
             applied = pull_plans[root].filter(F.col("action").isin(pull.INSERT, pull.UPDATE)).select(*KEY)
             _take_edges(model, root, applied, remote_edges, edges_here, arriving)
@@ -281,9 +331,9 @@ def sync(
     pushed = _union([plan.select(*KEY, "action") for plan in plans.values()])
     pulled = _union([plan.select(*KEY, "updated_at", "action") for plan in pull_plans.values()])
     spark = pulled.sparkSession
-    seen = _union([pulled.select("entity", "updated_at")] + [
-        keys.select("entity", at.alias("updated_at")) for keys in written.values()
-    ])
+    # Own writes at or above the bound of this pull must not lift a watermark over rows it did not read.
+    own = [keys.select("entity", at.alias("updated_at")) for keys in written.values()] if push_time < now else []
+    seen = _union([pulled.select("entity", "updated_at"), *own])
     old = None
     if watermarks:
         old = spark.createDataFrame(list(watermarks.items()), "entity string, watermark timestamp_ntz")
@@ -291,7 +341,7 @@ def sync(
         local=after_pull,
         remote=remote_after,
         watermarks=pull.advance(old, seen),
-        change_log=changes.change_log(pushed, pulled, _union(added) if added else None),
+        change_log=changes.change_log(pushed, pulled, _union(added) if added else None, cascaded, cleared),
         errors=errors,
         counters=changes.sync_counters(pushed, pulled),
         local_edges=edges_here,

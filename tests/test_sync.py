@@ -5,14 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ebbflow.model import Attribute, Entity, EntityModel
+from ebbflow.model import Attribute, Entity, EntityModel, relaxed
 from ebbflow.operators import fetch, push
 from ebbflow.operators.pull import collect_watermarks
 from ebbflow.operators.push import Policy
 from ebbflow.operators.relations import inverse_of_array, inverse_of_to_one, member_maps, resolve_to_many
 from ebbflow.operators.save import delete_rows
 from ebbflow.operators.sync import SyncError, sync
-from tests.library import LIBRARY, TEXT, at, by_uid, empty_tables, local, made_here, ref, remote, uids
+from tests.library import LIBRARY, TEXT, at, by_uid, empty_tables, local, made_here, ref, remote, table, uids
 from tests.rowwise import sync_rows
 
 PUSH, NOW = at(1000), at(2000)
@@ -286,3 +286,101 @@ def test_edges_of_a_relation_follow_their_rows(spark):
     assert pairs_of(result.local_edges[name]) == [("p1", "p2"), ("p2", "p3"), ("p3", "p2"), ("p3", "p9")]
     publishers = by_uid(result.local["Publisher"])
     assert publishers["p9"]["status"] == 1 and "p4" not in publishers
+
+
+def marks_of(result):
+    return collect_watermarks(result.watermarks, LIBRARY)
+
+
+@pytest.mark.parametrize("pushed, expected", [(1999, 1999), (2000, 5), (3000, 5)])
+def test_own_writes_lift_the_watermark_only_below_the_bound(spark, pushed, expected):
+    here, there = empty_tables(spark)
+    here["Author"] = local(spark, "Author", made_here(uid="a1", name="new"))
+    there["Author"] = remote(spark, "Author", {"uid": "a2", "updated_at": at(5)})
+    assert marks_of(run(here, there, push_time=at(pushed)))["Author"] == at(expected)
+
+
+def test_a_key_that_comes_twice_is_an_error_and_never_two_rows(spark):
+    here, there = empty_tables(spark)
+    there["Author"] = remote(
+        spark, "Author", {"uid": "a1", "updated_at": at(1)}, {"uid": "a1", "updated_at": at(2)}, {"uid": "a2"}
+    )
+    with pytest.raises(SyncError) as stopped:
+        run(here, there)
+    assert (stopped.value.code, stopped.value.uid) == (push.ERROR_DUPLICATE_UID, "a1")
+    result = run(here, there, on_error="quarantine")
+    assert uids(result.local["Author"]) == ["a2"]
+    assert [(r["uid"], r["code"], r["remote_rows"]) for r in result.errors.collect()] == [("a1", 200, 2)]
+
+
+def test_rows_no_table_can_take_are_errors(spark):
+    here, there = empty_tables(spark)
+    rows = [
+        {"uid": "b1", "author": ref("Author", "a1")},
+        {"uid": "b2", "author": {"entity": None, "uid": "a1"}},
+        {"uid": "b3", "entity": "Nowhere"},
+        {"uid": "b4", "updated_at": None},
+        {"uid": "b5", "status": None},
+    ]
+    base = {"entity": "Book", "status": 2, "updated_at": at(0)}
+    there["Book"] = table(spark, relaxed(LIBRARY.remote_schema("Book")), [{**base, **row} for row in rows])
+    result = run(here, there, on_error="quarantine")
+    assert {r["uid"]: (r["action"], r["code"]) for r in result.errors.collect()} == {
+        "b2": ("error_malformed_reference", 3),
+        "b3": ("error_unknown_entity", None),
+        "b4": ("error_missing_value", None),
+        "b5": ("error_missing_value", None),
+    }
+    assert uids(result.local["Book"]) == ["b1"]
+    with pytest.raises(SyncError):
+        run(here, there)
+
+
+def test_what_a_winning_row_refers_to_gets_a_placeholder(spark):
+    here, there = empty_tables(spark)
+    here["Book"] = local(spark, "Book", {"uid": "b1", "name": "C", "is_dirty": True})
+    there["Book"] = remote(spark, "Book", {"uid": "b1", "name": "D", "author": ref("Author", "a5"), "updated_at": at(9)})
+    result = run(here, there)
+    found = by_uid(result.local["Author"])
+    assert found["a5"]["status"] == 1 and log_of(result)["Author", "a5"] == "inserted"
+
+
+def test_a_dropped_row_leaves_arrays_on_both_sides(spark):
+    here, there = empty_tables(spark)
+    here["Author"] = local(spark, "Author", made_here(uid="a1", status=3), {"uid": "a2"})
+    there["Author"] = remote(spark, "Author", {"uid": "a2"})
+    both = [ref("Author", "a1"), ref("Author", "a2")]
+    here["Magazine"] = local(spark, "Magazine", made_here(uid="m1", authors=both))
+    result = run(here, there)
+    for side in (result.local, result.remote):
+        assert by_uid(side["Magazine"])["m1"]["authors"] == [ref("Author", "a2")]
+
+
+def test_the_log_tells_cascades_and_cleared_references(spark):
+    here, there = empty_tables(spark)
+    here["Author"] = local(spark, "Author", {"uid": "a1"})
+    here["Book"] = local(spark, "Book", {"uid": "b1", "author": ref("Author", "a1")})
+    here["Magazine"] = local(spark, "Magazine", {"uid": "m1", "authors": [ref("Author", "a1")]}, {"uid": "m2"})
+    there["Author"] = remote(spark, "Author", {"uid": "a1", "status": 3, "updated_at": at(9)})
+    result = run(here, there)
+    assert log_of(result) == {("Author", "a1"): "deleted", ("Book", "b1"): "deleted", ("Magazine", "m1"): "updated"}
+    assert not uids(result.local["Book"])
+
+
+def test_edges_go_with_rows_of_their_own_root_only(spark):
+    here, there = empty_tables(spark)
+    here["Book"] = local(spark, "Book", {"uid": "x1"})
+    here["Publisher"] = local(spark, "Publisher", {"uid": "x1"}, {"uid": "x2"}, {"uid": "x3"})
+    there["Book"] = remote(spark, "Book", {"uid": "x1", "status": 3, "updated_at": at(9)})
+    there["Publisher"] = remote(spark, "Publisher", {"uid": "x3", "status": 3, "updated_at": at(9)})
+    edges = spark.createDataFrame(
+        [("x1", "Publisher", "x2"), ("x2", "Publisher", "x3")], "src_uid string, dst_entity string, dst_uid string"
+    )
+    result = run(here, there, local_edges={"Publisher.partners": edges})
+    assert [tuple(r) for r in result.local_edges["Publisher.partners"].collect()] == [("x1", "Publisher", "x2")]
+
+
+def test_a_root_that_one_side_lacks_is_empty_there(spark):
+    here, there = seeded(spark)
+    del here["Book"], there["Page"]
+    assert set(uids(run(here, there).local["Book"])) == {"b1", "b2"}
