@@ -5,14 +5,16 @@ the smallest doc_id. A node's k-mers (five words), each labelled with how many e
 hashed; each of ``bands`` hash functions picks the ``picks`` smallest and keeps them in text order, so that the
 sketch depends on order, as edit distance does. Nodes that share a sketch meet in a bucket.
 
-In a bucket nobody is paired with everybody: each node is compared with the bucket's smallest node, by the edit
-distance of their words in a band that widens until it holds the distance or passes the bound. Nodes found unlike
-the leader stay in the bucket, parted by one more of their sketches, and choose a new leader among themselves,
-until no bucket has two nodes of different classes. Classes are the components of the links.
+In a bucket each node is first compared with the bucket's smallest node, by the edit distance of their words in a
+band that widens until it holds the distance or passes the bound. Nodes found unlike the leader stay together and
+choose a new leader, as long as a tenth of the comparisons link. Classes are the components of the links.
 
-Two texts are near when 1 - distance / length of the longer is at least ``similarity``. Sketches can miss a pair:
-with 24 bands of 2 picks one whose changed words are spread evenly is met with probability 0.99 at similarity
-0.9, 0.6 at 0.8; texts under ten words are met only where five words in a row agree.
+Buckets that then still hold nodes of different classes are parted by an exact rule. Near texts share all but a
+fifth of the longer one's words, so in any one order of all words the first fifth of each, and ``common`` words
+more, have ``common`` words in common. All nodes of such buckets, those of the leader's class as well, meet in
+these words, rare ones first; whoever shares enough of them, is of another class and not too long is compared.
+
+Two texts are near when 1 - distance / length of the longer is at least ``similarity``.
 
 Defined results: null texts and texts without a word are copies of each other. Rows that repeat a doc_id are one
 document. Rows with a null doc_id get the class of their copies, or null. Other columns stay out.
@@ -37,6 +39,7 @@ from ebbflow.llm.graph import components
 
 WORDS = re.compile(r"\w+")
 REMEMBERED = 500_000
+COUNTERS = 1 << 19  # of words, for an order of them
 
 
 @dataclass(frozen=True)
@@ -45,6 +48,7 @@ class Settings:
     bands: int = 24
     picks: int = 2
     similarity: float = 0.8
+    common: int = 3
 
 
 def words_of(text: str | None) -> list[str]:
@@ -71,6 +75,8 @@ def kmers(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def labelled(found: np.ndarray) -> np.ndarray:
     """K-mer hashes mixed with the number of equal ones before."""
+    if not len(found):
+        return found
     order = np.argsort(found, kind="stable")
     run = found[order]
     first = np.concatenate([[True], run[1:] != run[:-1]])
@@ -107,6 +113,15 @@ def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def hashed(words: list[str], known: dict[str, int]) -> np.ndarray:
+    """Hashes of words; ``known`` remembers them."""
+    if len(known) > REMEMBERED:
+        known.clear()
+    for word in set(words).difference(known):
+        known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+    return np.fromiter((known[w] for w in words), np.uint64, len(words))
+
+
 def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, digest (of the word sequence), n_words, sketch."""
 
@@ -116,11 +131,7 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 words = words_of(text)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for word in set(words).difference(known):
-                    known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                hashes = np.fromiter((known[w] for w in words), np.uint64, len(words))
+                hashes = hashed(words, known)
                 digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
                 rows.append((doc_id, digest, len(words), sketch(hashes, settings)))
             out = pd.DataFrame(rows, columns=["doc_id", "digest", "n_words", "sketch"])
@@ -248,6 +259,62 @@ def _classed(rows: DataFrame, classes: DataFrame | None, node: str) -> DataFrame
     return rows.join(found, node, "left").withColumn(f"{node}_class", F.coalesce("_class", node)).drop("_class")
 
 
+def _apart(a: str, b: str, settings: Settings):
+    """Whether two lengths differ by too much for any similar pair."""
+    longer = F.greatest(a, b)
+    return F.abs(F.col(a) - F.col(b)) > longer * (1 - settings.similarity) + 1e-9
+
+
+def word_counts(texts: DataFrame) -> np.ndarray:
+    """How often words fall to each of COUNTERS counters: rows of counts by tasks, added up by Spark."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                at = labelled(hashed(words_of(text), known)) & np.uint64(COUNTERS - 1)
+                np.add.at(total, at.astype(np.int64), 1)
+        (at,) = np.nonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    found = texts.select("text").mapInPandas(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)  # at most COUNTERS rows
+    return out
+
+
+def prefixes(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """node, class, n_words, word: of each text (node, class, text) the rarest words, as many as any near text must
+    share ``common`` of. The order is by counts, then by hash; any order of all words is exact."""
+    counts = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            for node, group, text in batch.itertuples(index=False, name=None):
+                words = labelled(hashed(words_of(text), known))
+                rank = np.lexsort((words, counts.value[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                most = int(len(words) * (1 - settings.similarity) + 1e-9)
+                first = words[rank[: most + settings.common]].view(np.int64)
+                yield pd.DataFrame({"node": node, "class": group, "n_words": len(words), "word": first})
+
+    return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words long, word long")
+
+
+def by_words(members: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """a, b: all pairs of different classes among texts (node, class, text) that can be similar enough."""
+    words = materialized(prefixes(members, settings))
+    # Words of one class alone link nothing.
+    several = words.groupBy("word").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    words = materialized(words.join(several.filter("_low < _high").select("word"), "word", "left_semi"))
+    left = words.select("word", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("n_words").alias("a_words"))
+    right = words.select("word", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("n_words").alias("b_words"))
+    met = (F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class")) & ~_apart("a_words", "b_words", settings)
+    pairs = left.join(right, (left["word"] == right["word"]) & met)
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.common).select("a", "b")
+
+
 def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), copy_of (the smallest doc_id with the same words)."""
     found = materialized(sketches(docs, settings))
@@ -255,39 +322,48 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     nodes = found.join(first.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nodes = materialized(nodes.filter("size(sketch) > 0").select(F.col("doc_id").alias("node"), "n_words", "sketch"))
     buckets = nodes.select("node", "n_words", F.explode("sketch").alias("bucket"))
-    links = seen = classes = None
-    band = 0
+    links = seen = classes = shared = None
     while True:
         leaders = buckets.groupBy("bucket").agg(
             F.min(F.struct("node", "n_words")).alias("_first"), F.count(F.lit(1)).alias("_n")
         )
         leaders = leaders.filter("_n > 1").select(
-            "bucket", F.col("_first.node").alias("leader"), F.col("_first.n_words").alias("leader_words")
+            "bucket", F.col("_first.node").alias("leader"), F.col("_first.n_words").alias("leader_words"), "_n"
         )
-        rows = materialized(buckets.join(leaders, "bucket").filter("node <> leader"))
+        rows = materialized(buckets.join(leaders, "bucket"))
+        shared = rows if shared is None else shared
+        rows = rows.filter("node <> leader")
         met = _classed(_classed(rows.select("node", "n_words", "leader", "leader_words").distinct(), classes, "node"), classes, "leader")
-        longer = F.greatest("n_words", "leader_words")
-        close = F.abs(F.col("n_words") - F.col("leader_words")) <= longer * (1 - settings.similarity) + 1e-9
-        pairs = met.filter("node_class <> leader_class").filter(close)
+        pairs = met.filter("node_class <> leader_class").filter(~_apart("n_words", "leader_words", settings))
         pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = materialized(pairs)
-        if not pairs.isEmpty():
-            fresh = materialized(align(pairs, docs, settings).select("a", "b"))
-            links = fresh if links is None else links.unionByName(fresh)
-            seen = pairs if seen is None else seen.unionByName(pairs)
-            classes = components(links)
-        # Who is not in the leader's class stays, parted by one more sketch.
-        left = _classed(_classed(rows.select("bucket", "node", "n_words", "leader"), classes, "node"), classes, "leader")
-        left = left.filter("node_class <> leader_class").select("bucket", "node", "n_words")
-        if band < settings.bands:
-            own = nodes.select("node", F.element_at("sketch", band + 1).alias("_more"))
-            left = left.join(own, "node").withColumn("bucket", F.xxhash64("bucket", "_more")).drop("_more")
-        buckets = materialized(left.select("node", "n_words", "bucket"))
-        band += 1
-        if buckets.isEmpty():
+        n = pairs.count()
+        if not n:
             break
+        fresh = materialized(align(pairs, docs, settings).select("a", "b"))
+        links = fresh if links is None else links.unionByName(fresh)
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        classes = components(links)
+        if fresh.count() * 10 < n:
+            break
+        # Who is not in the leader's class stays for the next leader.
+        left = _classed(_classed(rows.select("bucket", "node", "n_words", "leader"), classes, "node"), classes, "leader")
+        buckets = materialized(left.filter("node_class <> leader_class").select("node", "n_words", "bucket"))
+    # All nodes of buckets in which some pair may not have been compared. Two nodes were.
+    many = _classed(shared.filter("_n > 2").select("bucket", "node"), classes, "node")
+    mixed = many.groupBy("bucket").agg(F.min("node_class").alias("_low"), F.max("node_class").alias("_high")).filter("_low < _high")
+    members = many.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "node_class")
+    members = materialized(members.distinct().withColumnRenamed("node_class", "class"))
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(members, "node").dropDuplicates(["node"])
+    texts = materialized(texts)
+    pairs = by_words(texts, settings)
+    pairs = materialized(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
+    if not pairs.isEmpty():
+        fresh = align(pairs, texts.withColumnRenamed("node", "doc_id"), settings).select("a", "b")
+        fresh = materialized(fresh)
+        classes = components(fresh if links is None else links.unionByName(fresh))
     members = found.select("doc_id", "digest").join(first, "digest").select("doc_id", "copy_of").distinct()
     classed = _classed(members, classes, "copy_of")
     return classed.select("doc_id", F.col("copy_of_class").alias("class_id"), "copy_of")

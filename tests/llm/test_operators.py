@@ -192,6 +192,37 @@ def test_op10_banded_distance(a, b):
     assert omh.distance_within(list(a), list(b), 7) == table[-1]
 
 
+def near_pairs(texts):
+    """All pairs at the bound or above, by brute force."""
+    most = lambda a, b: int(max(len(a), len(b)) * 0.2 + 1e-9)
+    return [(i, j) for i, a in texts.items() for j, b in texts.items() if i < j and omh.distance_within(a, b, most(a, b)) is not None]
+
+
+def linked(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in omh.near_classes(docs).collect()}
+    pairs = near_pairs(texts)
+    return sum(found[i] == found[j] for i, j in pairs) / len(pairs)
+
+
+def changed(rng, words, share):
+    """Words with a share of them replaced, at random places."""
+    out = list(words)
+    for at in rng.choice(len(out), round(share * len(out)), replace=False):
+        out[at] = f"new{rng.integers(1 << 40)}"
+    return out
+
+
+def test_op10_pairs_in_a_crowd(spark):
+    rng = np.random.default_rng(3)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 1 << 20, n)]
+    passage, texts = word(90), {}
+    for i in range(0, 120, 2):  # passage and pairs that differ in 0.15 of all words, all in their own part
+        own = word(40)
+        texts[i], texts[i + 1] = passage + own, passage + changed(rng, own, 0.5)
+    assert linked(spark, texts) >= 0.98
+
+
 def test_pipeline_stages_follow_each_other(spark, tables):
     seen = spark.read.parquet(f"{tables}/documents.parquet")
     kept = []
