@@ -3,7 +3,7 @@
 A text is its words (runs of letters and digits in lower case). Equal word sequences are one node, whoever has
 the smallest doc_id. A node's k-mers (five words), each labelled with how many equal ones came before it, are
 hashed; each of ``bands`` hash functions picks the ``picks`` smallest and keeps them in text order, so that the
-sketch depends on order, as edit distance does. Nodes that share a sketch meet in a bucket.
+sketch depends on order, as edit distance does; ``singles`` more pick one. Nodes that share a sketch meet in a bucket.
 
 In a bucket each node is first compared with the bucket's smallest node, by the edit distance of their words in a
 band that widens until it holds the distance or passes the bound. Nodes found unlike the leader stay together and
@@ -47,6 +47,7 @@ class Settings:
     k: int = 5
     bands: int = 24
     picks: int = 2
+    singles: int = 20  # more bands, of one pick
     similarity: float = 0.8
     common: int = 3
 
@@ -94,22 +95,25 @@ def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
         return np.empty(0, np.int64)
     plain = kmers(hashes, settings.k)
     ranked = labelled(plain)
-    factors = _mixed(np.arange(1, settings.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    bands = settings.bands + settings.singles
+    factors = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     step = max(1, (1 << 21) // len(ranked))  # bands at once, so that very long texts take bounded memory
     out = []
-    for low in range(0, settings.bands, step):
-        keys = ranked[None, :] * factors[low : low + step, None]
-        rows = np.arange(len(keys))
-        picked = []
-        for _ in range(min(settings.picks, len(ranked))):
-            at = keys.argmin(1)
-            picked.append(at)
-            keys[rows, at] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        chosen = plain[np.sort(np.stack(picked, 1), axis=1)]
-        value = factors[low : low + step].copy()
-        for i in range(chosen.shape[1]):
-            value = _mixed(value * np.uint64(31) + chosen[:, i])
-        out.append(value)
+    for start, stop, picks in ((0, settings.bands, settings.picks), (settings.bands, bands, 1)):
+        for low in range(start, stop, step):
+            some = factors[low : min(low + step, stop)]
+            keys = ranked[None, :] * some[:, None]
+            rows = np.arange(len(keys))
+            picked = []
+            for _ in range(min(picks, len(ranked))):
+                at = keys.argmin(1)
+                picked.append(at)
+                keys[rows, at] = np.uint64(0xFFFFFFFFFFFFFFFF)
+            chosen = plain[np.sort(np.stack(picked, 1), axis=1)]
+            value = some.copy()
+            for i in range(chosen.shape[1]):
+                value = _mixed(value * np.uint64(31) + chosen[:, i])
+            out.append(value)
     return np.concatenate(out).view(np.int64)
 
 

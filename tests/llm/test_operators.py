@@ -198,10 +198,10 @@ def near_pairs(texts):
     return [(i, j) for i, a in texts.items() for j, b in texts.items() if i < j and omh.distance_within(a, b, most(a, b)) is not None]
 
 
-def linked(spark, texts):
+def linked(spark, texts, pairs=None):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(3)
     found = {r["doc_id"]: r["class_id"] for r in omh.near_classes(docs).collect()}
-    pairs = near_pairs(texts)
+    pairs = pairs or near_pairs(texts)
     return sum(found[i] == found[j] for i, j in pairs) / len(pairs)
 
 
@@ -223,6 +223,15 @@ def test_op10_pairs_in_a_crowd(spark):
     assert linked(spark, texts) >= 0.98
 
 
+def test_op10_recall_at_the_bound(spark):
+    rng = np.random.default_rng(4)
+    texts = {}
+    for i in range(0, 400, 2):  # 100 words, a fifth changed at random places: similarity 0.8
+        texts[i] = [f"{i}w{j}" for j in rng.integers(0, 1 << 20, 100)]
+        texts[i + 1] = changed(rng, texts[i], 0.2)
+    assert linked(spark, texts, [(i, i + 1) for i in range(0, 400, 2)]) >= 0.95
+
+
 def test_pipeline_stages_follow_each_other(spark, tables):
     seen = spark.read.parquet(f"{tables}/documents.parquet")
     kept = []
