@@ -12,7 +12,8 @@ choose a new leader, as long as a tenth of the comparisons link. Classes are the
 Buckets that then still hold nodes of different classes are parted by an exact rule. Near texts share all but a
 fifth of the longer one's words, so in any one order of all words the first fifth of each, and ``common`` words
 more, have ``common`` words in common. All nodes of such buckets, those of the leader's class as well, meet in
-these words, rare ones first; whoever shares enough of them, is of another class and not too long is compared.
+these words, rare ones first; whoever shares enough of them, is of another class and not too long is compared. So
+do all texts of up to ``short`` words, whose sketches rarely agree, and the longer ones that may be near these.
 
 Two texts are near when 1 - distance / length of the longer is at least ``similarity``.
 
@@ -49,6 +50,7 @@ class Settings:
     picks: int = 2
     singles: int = 20  # more bands, of one pick
     similarity: float = 0.8
+    short: int = 20
     common: int = 3
 
 
@@ -359,7 +361,9 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     many = _classed(shared.filter("_n > 2").select("bucket", "node"), classes, "node")
     mixed = many.groupBy("bucket").agg(F.min("node_class").alias("_low"), F.max("node_class").alias("_high")).filter("_low < _high")
     members = many.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "node_class")
-    members = materialized(members.distinct().withColumnRenamed("node_class", "class"))
+    # Short texts meet in their words, whether or not a sketch agrees; so do the longest that can be near them.
+    few = _classed(nodes.filter(F.col("n_words") <= settings.short / settings.similarity).select("node"), classes, "node")
+    members = materialized(members.unionByName(few).distinct().withColumnRenamed("node_class", "class"))
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(members, "node").dropDuplicates(["node"])
     texts = materialized(texts)
     pairs = by_words(texts, settings)

@@ -232,6 +232,17 @@ def test_op10_recall_at_the_bound(spark):
     assert linked(spark, texts, [(i, i + 1) for i in range(0, 400, 2)]) >= 0.95
 
 
+def test_op10_short_texts(spark):
+    rng = np.random.default_rng(5)
+    texts, i = {}, 0
+    for n in range(4, 24):
+        for _ in range(3):  # one word changed, and one more
+            texts[i] = [f"w{j}" for j in rng.integers(0, 2000, n)]
+            texts[i + 1], texts[i + 2] = changed(rng, texts[i], 1 / n), [*texts[i][: n // 2], f"more{i}", *texts[i][n // 2 :]]
+            i += 3
+    assert linked(spark, texts) == 1
+
+
 def test_pipeline_stages_follow_each_other(spark, tables):
     seen = spark.read.parquet(f"{tables}/documents.parquet")
     kept = []
