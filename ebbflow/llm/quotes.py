@@ -1,11 +1,11 @@
 """Quotation linking: who answers whom, from what messages quote; conversations in reply order without quotes.
 
 A line that starts with ``>`` marks is quoted, its level is their number. Neighbouring quoted lines of one level
-are a passage. Each line of a passage is normalised (case, blanks and marks of punctuation) and hashed; its
-original is the earliest message of the same conversation that wrote that line itself. A passage belongs to the
-earlier message that wrote most of its lines (the earliest among equals), a message answers the original of its
-shallowest linked passage (the latest among equals). Everything is an expression of Spark; there is no group of
-unbounded size: a line that thousands of messages share is reduced to its earliest writer before the join, and
+are a passage. Each line of a passage is normalised (case, blanks and marks of punctuation) and hashed, and votes
+for every earlier message of the same conversation that wrote it itself. A passage belongs to the message with
+most votes, so one that holds all lines goes first (the earliest among equals); a message answers the original of
+its shallowest linked passage (the latest among equals). Everything is an expression of Spark; there is no group of
+unbounded size: of messages that wrote the same of the quoted lines the earliest stands for all before the join, and
 positions come from sorted range partitions.
 
 Defined results: a null text is empty. A message with a null conversation is kept and links to nothing. Messages
@@ -63,20 +63,21 @@ def link_passages(messages: DataFrame) -> DataFrame:
     quoted = lines.filter("level > 0")
     # Only what somebody quotes is looked for, and each such line once.
     wanted = quoted.select("conv_id", "hash").distinct()
-    written = (
-        lines.filter("level = 0")
-        .join(wanted, ["conv_id", "hash"], "left_semi")
-        .groupBy("conv_id", "hash")
-        .agg(F.min("position").alias("original"))
-    )
+    written = lines.filter("level = 0").join(wanted, ["conv_id", "hash"], "left_semi").select("conv_id", "hash", "position").distinct()
+    # Of messages that wrote the same of these lines the earliest beats the others wherever they are candidates.
+    held = written.groupBy("conv_id", "position").agg(F.sha2(F.array_join(F.sort_array(F.collect_set("hash")), " "), 256).alias("_held"))
+    earliest = held.groupBy("conv_id", "_held").agg(F.min("position").alias("position"))
+    written = written.join(earliest.select("position"), "position", "left_semi").withColumnRenamed("position", "original")
     votes = (
-        quoted.join(written, ["conv_id", "hash"], "left")
-        .withColumn("original", F.when(F.col("original") < F.col("position"), F.col("original")))
-        .groupBy("position", "passage", "level", "original")
+        quoted.join(written, ["conv_id", "hash"])
+        .filter("original < position")
+        .groupBy("position", "passage", "original")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = F.max(F.when(F.col("original").isNotNull(), F.struct("n", (-F.col("original")).alias("at"))))
-    return votes.groupBy("position", "passage", "level").agg(F.sum("n").alias("lines"), (-best["at"]).alias("original"))
+    best = F.max(F.struct("n", (-F.col("original")).alias("at")))
+    found = votes.groupBy("position", "passage").agg((-best["at"]).alias("original"))
+    passages = quoted.groupBy("position", "passage", "level").agg(F.count(F.lit(1)).alias("lines"))
+    return passages.join(found, ["position", "passage"], "left")
 
 
 def roots_of(links: DataFrame) -> DataFrame:

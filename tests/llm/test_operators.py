@@ -14,7 +14,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ebbflow.llm import decontaminate, katz, omh
+from ebbflow.llm import decontaminate, katz, omh, quotes
 from ebbflow.llm.common import tokenizer_file
 from tests.oracle import compare
 
@@ -243,6 +243,14 @@ def test_op10_short_texts(spark):
     assert linked(spark, texts) == 1
 
 
+def test_op8_a_passage_belongs_to_who_wrote_all_of_it(spark):
+    said = ["Hello\nFirst thing", "Hello\nSecond thing", "Hello\nThird\nBest\nwishes", "Fourth\nBest\nwishes"]
+    said += ["> Hello\n> Second thing\nyes", "> Fourth\n> Best\n> wishes\nno", "> Hello\nhi"]
+    talk = spark.createDataFrame([("c", i, "user", t) for i, t in enumerate(said)], "conv_id string, turn int, role string, text string")
+    found = {r["turn"]: r["parent_turn"] for r in quotes.link_conversations(talk).collect()}
+    assert found == {0: None, 1: None, 2: None, 3: None, 4: 1, 5: 3, 6: 0}
+
+
 def test_pipeline_stages_follow_each_other(spark, tables):
     seen = spark.read.parquet(f"{tables}/documents.parquet")
     kept = []
