@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.session import materialized, shared_dir
 
-__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file", "with_position"]
+__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file", "tokenizer_pattern", "with_position"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_pattern() -> str:
+    """The pattern that cuts texts before the merges of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def with_position(rows: DataFrame, *keys: str) -> DataFrame:
     """Each row's place in the order of the keys, nulls first, from 1: range partitions are sorted and written;
     a row's place is that in its partition plus the sizes of the partitions before, one number each."""

@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbflow.llm import decontaminate, huffman, katz, langid, mixing, omh, permutation, quality, quotes, warc
-from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file
+from ebbflow.llm import (
+    bpe,
+    decontaminate,
+    huffman,
+    katz,
+    langid,
+    merkle,
+    mixing,
+    omh,
+    permutation,
+    quality,
+    quotes,
+    warc,
+    whitening,
+)
+from ebbflow.llm.common import fold, materialized, run_folder, table, tokenizer_file, tokenizer_pattern
 from ebbflow.llm.registry import query
 
 
@@ -171,3 +185,108 @@ def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = katz.score(docs)
     columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     return found.select("doc_id", held_out.alias("held_out"), *columns)
+
+
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT *, n_chars + 1 AS claimed,
+               list_reduce(list_prepend(4294967295::BIGINT,
+                   list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda acc, byte: list_reduce(
+                       [xor(acc, byte), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT],
+                       lambda crc, _: CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384::BIGINT) ELSE crc >> 1 END)) AS crc
+        FROM documents
+    ), e AS (
+        SELECT doc_id, lang, xor(crc, 4294967295::BIGINT) % 7 = 0 AS doubted,
+               coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+               coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS told,
+               coalesce(strlen(claimed::VARCHAR) || ':' || claimed, '-') AS claim,
+               coalesce(strlen(text) || ':' || text, '-') AS body
+        FROM d
+    ), h AS (
+        SELECT doc_id, lang, sha256(head || told || body) AS leaf,
+               CASE WHEN doubted THEN sha256(head || claim || body) ELSE sha256(head || told || body) END AS claimed
+        FROM e
+    ), leaves AS (
+        SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+               count(*) OVER (PARTITION BY lang) AS n
+        FROM h
+    ), nodes AS (
+        SELECT tree, 0 AS level, idx, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT tree, any_value(level) + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+        FROM nodes WHERE n > 1 GROUP BY tree, idx // 2
+    ), subroots AS (
+        SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n
+        FROM nodes WHERE n = 1
+    ), over_nodes AS (
+        SELECT 0 AS level, idx, n, subroot AS digest FROM subroots
+        UNION ALL
+        SELECT any_value(level) + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+        FROM over_nodes WHERE n > 1 GROUP BY idx // 2
+    ), steps AS (
+        SELECT l.doc_id, l.tree, l.idx AS leaf_idx, s.level, xor(l.idx >> s.level, 1) < (l.idx >> s.level) AS left_side,
+               s.digest
+        FROM leaves l JOIN nodes s ON s.tree = l.tree AND s.n > 1 AND s.idx = xor(l.idx >> s.level, 1)
+        UNION ALL
+        SELECT l.doc_id, l.tree, l.idx, 100 + s.level, xor(t.idx >> s.level, 1) < (t.idx >> s.level), s.digest
+        FROM leaves l JOIN subroots t ON t.tree = l.tree
+             JOIN over_nodes s ON s.n > 1 AND s.idx = xor(t.idx >> s.level, 1)
+    ), heights AS (
+        SELECT tree, max(level) AS height FROM nodes GROUP BY tree
+    ), rounds AS (
+        SELECT l.tree, l.idx, l.level, left_side, digest
+        FROM (SELECT tree, idx, height, unnest(range(0, height)) AS level FROM leaves JOIN heights USING (tree)) l
+             LEFT JOIN steps s ON s.tree = l.tree AND s.leaf_idx = l.idx AND s.level = l.level
+        UNION ALL
+        SELECT l.tree, l.idx, l.level, left_side, digest
+        FROM (SELECT tree, idx, unnest(range(100, 100 + (SELECT max(level) FROM over_nodes))) AS level FROM leaves) l
+             LEFT JOIN steps s ON s.tree = l.tree AND s.leaf_idx = l.idx AND s.level = l.level
+    ), numbered AS (
+        SELECT tree, idx, row_number() OVER (PARTITION BY tree, idx ORDER BY level) AS step, left_side, digest FROM rounds
+    ), folding AS (
+        SELECT tree, idx, 0 AS step, claimed AS digest FROM leaves
+        UNION ALL
+        SELECT f.tree, f.idx, n.step, sha256(CASE WHEN n.digest IS NULL THEN f.digest WHEN n.left_side
+                                             THEN n.digest || f.digest ELSE f.digest || n.digest END)
+        FROM folding f JOIN numbered n ON n.tree = f.tree AND n.idx = f.idx AND n.step = f.step + 1
+    ), folded AS (
+        SELECT tree, idx, arg_max(digest, step) AS folded_root FROM folding GROUP BY 1, 2
+    ), proofs AS (
+        SELECT tree, idx, sha256(coalesce(string_agg(digest, '' ORDER BY step), '')) AS proof_sha256
+        FROM numbered GROUP BY 1, 2
+    ), top AS (SELECT digest AS root FROM over_nodes WHERE n = 1)
+    SELECT l.doc_id, l.leaf, s.subroot, t.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.folded_root,
+           f.folded_root = t.root AS verified
+    FROM leaves l JOIN subroots s USING (tree) CROSS JOIN top t
+         LEFT JOIN proofs p ON p.tree = l.tree AND p.idx = l.idx JOIN folded f ON f.tree = l.tree AND f.idx = l.idx
+    """
+)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's digest, its proof, and whether the document as claimed still leads to the root."""
+    docs = table(spark, sf_dir, "documents")
+    claimed = [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text")]
+    tampered = F.when(fold(F.col("doc_id"), 7) == 0, merkle.leaf_digest(claimed))
+    return merkle.manifest(docs, tampered=tampered)
+
+
+@query()
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and the bytes that they stand for."""
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path, tokenizer_pattern())
+    return bpe.decode(ids, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened components, the directions learned from all vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
