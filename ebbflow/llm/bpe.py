@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of words and ids that a task remembers, roughly.
-KNOWN = 64 << 20
+KNOWN = 96 << 20
 #: Words of texts that are looked up and put together at a time.
-SPAN = 200_000
+SPAN = 500_000
+#: No token, no position.
+NOTHING = -1
 #: Texts up to this length are cut in one call; longer ones word by word.
 LONG = 1 << 20
 
@@ -47,13 +49,16 @@ class Ranks:
         self.bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, number in ranks.items():
             self.bytes[number] = token
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self.made: dict[int, int] = {}
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
+        #: By left token: what it makes with a right one.
+        self.made: list[dict[int, int]] = [{} for _ in self.bytes]
         for token, number in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.made[left << 32 | right] = number
+                    self.made[left][right] = number
+        #: The same for pairs of bytes, NOTHING where a pair makes no token.
+        self.of_bytes = np.array([[self.made[left].get(right, NOTHING) for right in self.single.tolist()] for left in self.single.tolist()])
 
     @staticmethod
     @lru_cache(2)
@@ -65,70 +70,96 @@ class Ranks:
 
 def replay(words: list[bytes], ranks: Ranks) -> list[list[int]]:
     """The ids of each word, all merges of one rank over all words before the next rank's."""
-    token: list[int] = []  # at the first byte of each token, else -1
-    after: list[int] = []  # position of the next token of the word, -1 at its end
-    before: list[int] = []
-    word: list[int] = []
+    if not any(words):
+        return [[] for _ in words]
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    lengths = np.array([len(w) for w in words])
+    ends = np.cumsum(lengths)
+    pairs = np.full(len(raw), NOTHING)
+    pairs[:-1] = ranks.of_bytes[raw[:-1], raw[1:]]
+    pairs[ends[lengths > 0] - 1] = NOTHING  # the last byte of a word starts no pair
+
+    # The inverted index: what a pair makes, to the positions of such pairs, falling behind as tokens merge.
+    order = np.argsort(pairs, kind="stable")
+    order = order[np.searchsorted(pairs[order], NOTHING, "right") :].tolist()
+    made = pairs.tolist()  # at each token's first byte: what it makes with the next one
     index: dict[int, list[int]] = {}
-    made, single = ranks.made, ranks.single
-    starts = []
-    for number, text in enumerate(words):
-        start, end = len(token), len(token) + len(text)
-        starts.append(start)
-        token.extend([single[b] for b in text])
-        after.extend(range(start + 1, end + 1))
-        before.extend(range(start - 1, end - 1))
-        word.extend([number] * len(text))
-        if text:
-            after[-1] = before[start] = -1
-            for at in range(start, end - 1):
-                rank = made.get(token[at] << 32 | token[at + 1])
-                if rank is not None:
-                    index.setdefault(rank, []).append(at)
-
-    waiting = list(index)
-    heapq.heapify(waiting)
+    for at in order:
+        if made[at] in index:
+            index[made[at]].append(at)
+        else:
+            index[made[at]] = [at]
+    waiting = list(index)  # in rank order, which is that of a heap
+    token = ranks.single[raw].tolist()
+    after = list(range(1, len(raw) + 1))
+    before = list(range(-1, len(raw) - 1))
+    for end in ends[lengths > 0].tolist():
+        after[end - 1] = NOTHING
+    for start in (ends - lengths)[lengths > 0].tolist():
+        before[start] = NOTHING
+
+    follow = ranks.made
+    push, pop = heapq.heappush, heapq.heappop
     while waiting:
-        rank = heapq.heappop(waiting)
+        rank = pop(waiting)
         places = index.pop(rank, None)
         if places is None:
             continue
         places.sort()
+        makes = follow[rank]
         held: set[int] = set()  # words in which a lower rank has come up meanwhile
         for at in places:
-            right = after[at]
-            if right < 0 or token[at] < 0 or made.get(token[at] << 32 | token[right]) != rank:
+            if made[at] != rank:
                 continue
-            if held and word[at] in held:
-                _enter(index, waiting, rank, at)
+            if held and int(np.searchsorted(ends, at, "right")) in held:
+                if rank in index:
+                    index[rank].append(at)
+                else:
+                    index[rank] = [at]
+                    push(waiting, rank)
                 continue
-            token[at], token[right] = rank, -1
-            beyond = after[at] = after[right]
+            right = after[at]
+            beyond = after[right]
+            token[at] = rank
+            token[right] = made[right] = NOTHING
+            after[at] = beyond
+            lowest = rank
+            new = NOTHING
             if beyond >= 0:
                 before[beyond] = at
-                new = made.get(rank << 32 | token[beyond])
-                if new is not None:
-                    _enter(index, waiting, new, at)
+                new = makes.get(token[beyond], NOTHING)
+                if new >= 0:
+                    if new in index:
+                        index[new].append(at)
+                    else:
+                        index[new] = [at]
+                        push(waiting, new)
                     if new < rank:
-                        held.add(word[at])
+                        lowest = new
+            made[at] = new
             ahead = before[at]
             if ahead >= 0:
-                new = made.get(token[ahead] << 32 | rank)
-                if new is not None:
-                    _enter(index, waiting, new, ahead)
+                new = made[ahead] = follow[token[ahead]].get(rank, NOTHING)
+                if new >= 0:
+                    if new in index:
+                        index[new].append(ahead)
+                    else:
+                        index[new] = [ahead]
+                        push(waiting, new)
                     if new < rank:
-                        held.add(word[at])
-
-    return [[t for t in token[start : start + len(text)] if t >= 0] for start, text in zip(starts, words)]
-
-
-def _enter(index: dict[int, list[int]], waiting: list[int], rank: int, at: int) -> None:
-    places = index.get(rank)
-    if places is None:
-        index[rank] = [at]
-        heapq.heappush(waiting, rank)
-    else:
-        places.append(at)
+                        lowest = new
+            if lowest < rank:
+                held.add(int(np.searchsorted(ends, at, "right")))
+
+    kept = np.array(token)
+    ids = kept[kept >= 0].tolist()
+    sizes = np.add.reduceat(np.append(kept >= 0, False), np.minimum(ends - lengths, len(kept))).tolist()
+    out, start = [], 0
+    for length, size in zip(lengths.tolist(), sizes):
+        size = size if length else 0
+        out.append(ids[start : start + size])
+        start += size
+    return out
 
 
 class Encoder:

@@ -32,7 +32,7 @@ def fold(key, n):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in NAMES if n != "pipeline"} == set(range(1, 11)) and "pipeline" in NAMES
+    assert {int(n[2:].split("_")[0]) for n in NAMES if n != "pipeline"} == set(range(1, 14)) and "pipeline" in NAMES
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -40,7 +40,7 @@ def test_an_empty_table_gives_no_row(spark, no_rows, name):
     assert rows(spark, no_rows, name) == []
 
 
-@pytest.mark.parametrize("name", ["op1_warc", "op4_mixing", "op8_quotes"])
+@pytest.mark.parametrize("name", ["op1_warc", "op4_mixing", "op8_quotes", "op11_merkle"])
 def test_by_sql(spark, tables, name):
     duck = duckdb.connect()
     for table in ("documents", "pages", "conversations"):
