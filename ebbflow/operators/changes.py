@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbflow.model import KEY
 from ebbflow.operators import pull, push
+from ebbflow.operators.relations import PAGE_SIZE, group_size, paged
 
 INSERTED = "inserted"
 UPDATED = "updated"
@@ -64,6 +65,15 @@ def by_kind(log: DataFrame) -> DataFrame:
     )
 
 
+def uids_by_kind(log: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The uids of each entity and kind of change, in pages of about ``page_size``: ``(entity, change, page, n, uids)``.
+
+    A kind with few uids is one page; of a large one no task or value holds more than a page.
+    """
+    pages = paged(log, ["entity", "change"], "uid", page_size).groupBy("entity", "change", "page")
+    return pages.agg(group_size(), F.array_sort(F.collect_list("uid")).alias("uids"))
+
+
 def sync_counters(push_plan: DataFrame, pull_plan: DataFrame) -> DataFrame:
     """Rows synced by side and entity; rows in error and rows skipped are not counted."""
     sent = push_plan.filter(~F.col("action").isin(list(push.ERRORS))).select(F.lit("local").alias("side"), "entity")

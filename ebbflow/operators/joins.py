@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key outside the HOT_KEYS largest ones holds less than 1/HOT_KEYS of all rows, whatever the data.
-HOT_KEYS = 1000
+# A key is hot from this many rows on, if it also holds more than a piece of all rows.
 HOT_ROWS = 1_000_000
-SALTS = 64
+# Pieces of the rows that fall to one shuffle partition on average: a hot key gets as many salts as it fills pieces.
+PIECES = 8
+# Pieces that all rows are cut in at most, which bounds the sketch; keys below one piece are left to AQE's skewed joins.
+MOST_PIECES = 2048
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -41,20 +45,28 @@ def is_small_beside(batch: DataFrame, table: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(batch) and 4 * size <= beside
 
 
-def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The at most HOT_KEYS most frequent keys that have ``hot_rows`` rows or more.
+def pieces(rows: DataFrame) -> int:
+    return min(PIECES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_PIECES)
 
-    The counts are combined before the shuffle, so a hot key costs one partial row per task.
-    """
-    return largest(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")), key, hot_rows)
+
+def _has_key(key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(name).isNotNull() for name in key])
 
 
-def largest(counted: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    """The hot keys among keys that are counted already, in ``_rows``."""
-    present = counted.filter(F.col("_rows") >= (HOT_ROWS if hot_rows is None else hot_rows))
-    for name in key:
-        present = present.filter(F.col(name).isNotNull())
-    return present.orderBy(F.desc("_rows"), *key).limit(HOT_KEYS).select(*key, F.lit(True).alias("_hot"))
+def heavy_keys(rows: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """``_item``, the hash of a hot key, and ``_salts``, in proportion to its rows.
+
+    One pass with a sketch of frequent items, a bounded one from each task; the keys themselves are not shuffled. A
+    key is hot if it fills more than one of the ``pieces`` of all rows, so there are no more than that many.
+    """
+    n = pieces(rows)
+    items = rows.filter(_has_key(key)).select(F.xxhash64(*key).alias("_item"))
+    top = F.expr(f"approx_top_k(_item, {n}, {4 * n})").alias("_top")
+    sketch = items.agg(F.count(F.lit(1)).alias("_all"), top)
+    found = sketch.select("_all", F.explode("_top").alias("_found"))
+    share = F.col("_found.count") * F.lit(n) / F.col("_all")
+    hot = (F.col("_found.count") >= (HOT_ROWS if hot_rows is None else hot_rows)) & (share > 1)
+    return found.filter(hot).select(F.col("_found.item").alias("_item"), F.ceil(share).cast("int").alias("_salts"))
 
 
 def join_unique(
@@ -64,35 +76,33 @@ def join_unique(
     how: str,
     spread_by: str | Sequence[str],
     *,
-    salts: int = SALTS,
     hot_rows: int | None = None,
-    hot: DataFrame | None = None,
     force_salting: bool = False,
 ) -> DataFrame:
     """Join many rows to targets that have at most one row per key (left, inner, semi or anti).
 
-    Small targets are left to Spark, which broadcasts them. Otherwise both sides are shuffled, and rows
-    of a hot key, or with no key at all, are spread over ``salts`` partitions by ``spread_by``, a column
-    of ``rows`` with many values; only the targets of hot keys are copied, once per salt. A caller that
-    knows the ``largest`` keys passes them as ``hot`` and saves counting them.
+    Small targets are left to Spark, which broadcasts them. Otherwise both sides are shuffled, and rows of a hot
+    key, or with no key at all, are spread by ``spread_by``, a column of ``rows`` with many values, over as many
+    salts as their share of all rows asks for; only the targets of hot keys are copied, once per salt.
     """
     key = [key] if isinstance(key, str) else list(key)
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
     if not force_salting and fits_broadcast(targets):
         return rows.join(targets, key, how)
 
-    hot = F.broadcast(hot_keys(rows.select(*key), key, hot_rows) if hot is None else hot)
-    no_key = F.lit(False)
-    for name in key:
-        no_key = no_key | F.col(name).isNull()
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    hot = F.broadcast(heavy_keys(rows, key, hot_rows))  # a row for each piece at most
+    item = F.xxhash64(*key)
+    salts = F.when(_has_key(key), F.coalesce("_salts", F.lit(1))).otherwise(F.lit(pieces(rows)))
     salted_rows = (
-        rows.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0)))
-        .drop("_hot")
+        rows.withColumn("_item", item)
+        .join(hot, "_item", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
+        .drop("_item", "_salts")
+    )
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_targets = (
+        targets.withColumn("_item", item).join(hot, "_item", "left").withColumn("_salt", F.explode(copies)).drop("_item", "_salts")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_targets = targets.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted_rows.join(salted_targets, [*key, "_salt"], how).drop("_salt")
 
 

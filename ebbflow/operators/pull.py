@@ -23,6 +23,7 @@ DELETE_LOCAL = "delete_local"
 MISSING_VALUE = "error_missing_value"
 UNKNOWN_ENTITY = "error_unknown_entity"
 MALFORMED_REFERENCE = "error_malformed_reference"
+UNKNOWN_TARGET = "error_unknown_target"
 
 CHANGES = (INSERT, UPDATE, DELETE_LOCAL)
 
@@ -111,31 +112,40 @@ def latest_version(feed: DataFrame, tie_break: str | None = None) -> DataFrame:
     return newest.select(*KEY, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*feed.columns)
 
 
-def _row_fault(rows: DataFrame, model: EntityModel, root: str) -> Column:
+def row_fault(rows: DataFrame, model: EntityModel, root: str) -> Column:
     """Why no table can take a remote row, null where one can; the first reason of several."""
-    malformed = F.lit(False)
+    malformed, unknown = F.lit(False), F.lit(False)
     for relationship in {r.name: r for name in model.family(root) for r in model.relationships(name)}.values():
         if relationship.name not in rows.columns:
             continue
         if relationship.stored is Stored.POINTER:
-            malformed = malformed | F.coalesce(is_malformed(F.col(relationship.name)), F.lit(False))
+            held = F.col(relationship.name)
+            malformed = malformed | F.coalesce(is_malformed(held), F.lit(False))
+            unknown = unknown | F.coalesce(~held["entity"].isin(model.names), F.lit(False))
         elif relationship.stored is Stored.ARRAY:
-            malformed = malformed | F.coalesce(has_malformed(F.col(relationship.name)), F.lit(False))
+            held = F.col(relationship.name)
+            malformed = malformed | F.coalesce(has_malformed(held), F.lit(False))
+            unknown = unknown | F.coalesce(F.exists(held, lambda r: ~r["entity"].isin(model.names)), F.lit(False))
     missing = F.col("uid").isNull() | F.col("entity").isNull() | F.col("updated_at").isNull() | F.col("status").isNull()
     return (
         F.when(missing, F.lit(MISSING_VALUE))
         .when(~F.col("entity").isin(model.family(root)), F.lit(UNKNOWN_ENTITY))
         .when(malformed, F.lit(MALFORMED_REFERENCE))
+        .when(unknown, F.lit(UNKNOWN_TARGET))
     )
 
 
-def pull_errors(rows: DataFrame, model: EntityModel, root: str) -> DataFrame:
+def pull_errors(rows: DataFrame, model: EntityModel, root: str, remote: DataFrame | None = None) -> DataFrame:
     """entity, uid, action, code, remote_rows of remote rows that a pull cannot take, in the form of push errors:
-    without a mandatory value, of an entity the root's table does not hold, with a reference that lacks a part,
-    or with a key that comes more than once. Counted on keys, before the shuffle."""
-    faulty = rows.withColumn("action", _row_fault(rows, model, root)).filter(F.col("action").isNotNull())
+    without a mandatory value, of an entity the root's table does not hold, with a reference that lacks a part or
+    names an entity outside the model, or with a key that comes more than once: among the rows, or, where ``remote`` is given, in the whole remote table.
+    Counted on keys, before the shuffle."""
+    faulty = rows.withColumn("action", row_fault(rows, model, root)).filter(F.col("action").isNotNull())
     faulty = faulty.select(*KEY, "action").withColumn("remote_rows", F.lit(1).cast("long"))
-    twice = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("remote_rows")).filter("remote_rows > 1")
+    counted = rows.select(*KEY)
+    if remote is not None:
+        counted = narrowed(remote.select(*KEY), counted, KEY).join(counted.distinct(), list(KEY), "left_semi")
+    twice = counted.groupBy(*KEY).agg(F.count(F.lit(1)).alias("remote_rows")).filter("remote_rows > 1")
     twice = twice.filter("uid is not null and entity is not null").withColumn("action", F.lit(push.DUPLICATE_UID))
     code = F.when(F.col("action") == push.DUPLICATE_UID, F.lit(push.ERROR_DUPLICATE_UID)).when(
         F.col("action") == MALFORMED_REFERENCE, F.lit(push.ERROR_MALFORMED_REFERENCE)
@@ -145,7 +155,7 @@ def pull_errors(rows: DataFrame, model: EntityModel, root: str) -> DataFrame:
 
 def without_errors(rows: DataFrame, model: EntityModel, root: str) -> DataFrame:
     """The rows without a fault of their own; those whose key comes twice are still there."""
-    return rows.filter(_row_fault(rows, model, root).isNull())
+    return rows.filter(row_fault(rows, model, root).isNull())
 
 
 def decode_rows(remote: DataFrame, model: EntityModel | None = None, root: str | None = None) -> DataFrame:

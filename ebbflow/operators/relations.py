@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.functions.refs import clean_references, reference
 from ebbflow.model import Status
-from ebbflow.operators.joins import join_unique, largest
+from ebbflow.operators.joins import join_unique
 
 PAGE_SIZE = 1000
 
@@ -48,40 +48,45 @@ def resolve_to_many(edges: DataFrame, targets: DataFrame) -> DataFrame:
 def paged(
     edges: DataFrame, group: Sequence[str], member: str, page_size: int = PAGE_SIZE, force_salting: bool = False
 ) -> DataFrame:
-    """Add ``n``, the size of the group, and ``page``, which splits groups above ``page_size``.
+    """Add ``page``, which splits groups above ``page_size``, and ``n``, the size of such a group, null for others.
 
     A group of n members gets 16**d pages, d hex digits of the member's digest, the fewest that bring the
-    expected page to ``page_size`` or below. A small group is one page, named by the empty text.
+    expected page to ``page_size`` or below. A small group is one page, named by the empty text. Only the oversized
+    groups are joined to their members, which are spread; the others' members stay where they are.
     """
-    counts = edges.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    hot = largest(counts.withColumnRenamed("n", "_rows"), group)
-    joined = join_unique(edges, counts, group, "inner", spread_by=member, hot=hot, force_salting=force_salting)
+    counts = edges.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_size)
+    joined = join_unique(edges, counts, group, "left", spread_by=member, force_salting=force_salting)
     excess = F.floor((F.col("n") - 1) / F.lit(page_size)).cast("bigint")
-    digits = F.when(excess == 0, F.lit(0)).otherwise(F.length(F.hex(excess)))
-    page = F.when(digits == 0, F.lit("")).otherwise(F.substring(F.md5(F.col(member)), F.lit(1), digits))
+    page = F.when(F.col("n").isNull(), F.lit("")).otherwise(F.substring(F.md5(F.col(member)), F.lit(1), F.length(F.hex(excess))))
     return joined.withColumn("page", page)
 
 
+def group_size() -> Column:
+    """The size of a group beside its page: that of a small group is its one page's."""
+    return F.coalesce(F.first("n"), F.count(F.lit(1))).alias("n")
+
+
 def member_pages(edges: DataFrame, page_size: int = PAGE_SIZE, **options) -> DataFrame:
     """Members of each to-many by target entity: ``(src_uid, dst_entity, page, n, members)``."""
     pages = paged(edges, ["src_uid", "dst_entity"], "dst_uid", page_size, **options)
     return pages.groupBy("src_uid", "dst_entity", "page").agg(
-        F.first("n").alias("n"), F.array_sort(F.collect_list("dst_uid")).alias("members")
+        group_size(), F.array_sort(F.collect_list("dst_uid")).alias("members")
     )
 
 
 def member_maps(sources: DataFrame, edges: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``{entity: [uid, ...]}`` per source and page; a source without members has one empty map."""
+    """``{entity: [uid, ...]}`` per source and page; a source without members has one empty map.
+
+    The pages of one source with very many members are as many rows, and spread like any hot key.
+    """
     pages = member_pages(edges, page_size).groupBy("src_uid", "page").agg(
         F.map_from_entries(F.collect_list(F.struct("dst_entity", "members"))).alias("members")
     )
     empty = F.create_map().cast("map<string,array<string>>")
-    joined = sources.select(F.col("uid").alias("src_uid")).join(pages, "src_uid", "left")
-    return joined.select(
-        F.col("src_uid").alias("uid"),
-        F.coalesce("page", F.lit("")).alias("page"),
-        F.coalesce("members", empty).alias("members"),
-    )
+    held = join_unique(pages, sources.select(F.col("uid").alias("src_uid")), "src_uid", "left_semi", spread_by="page")
+    without = sources.select(F.col("uid").alias("src_uid")).join(edges.select("src_uid"), "src_uid", "left_anti")
+    bare = without.select("src_uid", F.lit("").alias("page"), empty.alias("members"))
+    return held.select("src_uid", "page", "members").unionByName(bare).withColumnRenamed("src_uid", "uid")
 
 
 def inverse_of_to_one(rows: DataFrame, ref: str) -> DataFrame:
@@ -123,7 +128,7 @@ def encode_array(edges: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """
     pages = paged(edges, ["src_uid"], "dst_uid", page_size)
     return pages.groupBy("src_uid", "page").agg(
-        F.first("n").alias("n"),
+        group_size(),
         F.array_sort(
             F.collect_list(F.struct(F.col("dst_entity").alias("entity"), F.col("dst_uid").alias("uid")))
         ).alias("refs"),

@@ -22,8 +22,9 @@ from ebbflow.model import (
     Stored,
     user_columns,
 )
+from ebbflow.operators.cascades import edges_without, ends, sources_of_lost_edges, taken_along
 from ebbflow.operators.joins import join_unique, side_by_side
-from ebbflow.operators.relations import clear_references, remove_from_arrays
+from ebbflow.operators.relations import clear_references, remove_from_arrays, replace_edges
 
 _CONTROL_TYPES = {name: dtype for name, dtype, *_ in LOCAL_CONTROL}
 
@@ -128,6 +129,23 @@ def references_of(rows: DataFrame, relationships: Sequence[Relationship]) -> Dat
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
+@dataclass
+class SaveResult:
+    """Root tables and edge tables after a batch."""
+
+    tables: dict[str, DataFrame]
+    edges: dict[str, DataFrame] = field(default_factory=dict)
+
+
+@dataclass
+class Members:
+    """New members of a to-many stored as a relation: ``sources`` has the ``uid`` of every row whose members are
+    given, ``edges`` its members (src_uid, dst_entity, dst_uid); a source without an edge has none any more."""
+
+    sources: DataFrame
+    edges: DataFrame
+
+
 def save(
     model: EntityModel,
     tables: Mapping[str, DataFrame],
@@ -135,18 +153,44 @@ def save(
     updates: Mapping[str, DataFrame] | None = None,
     deletes: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables by root after a batch: inserts and updates by root, deletes by entity as keys.
+    """Tables by root after a batch that touches no edge table; see ``save_batch``."""
+    return save_batch(model, tables, inserts, updates, deletes).tables
+
 
-    Rows that inserted and updated rows refer to and that do not exist get placeholders.
+def save_batch(
+    model: EntityModel,
+    tables: Mapping[str, DataFrame],
+    inserts: Mapping[str, DataFrame] | None = None,
+    updates: Mapping[str, DataFrame] | None = None,
+    deletes: Mapping[str, DataFrame] | None = None,
+    edges: Mapping[str, DataFrame] | None = None,
+    members: Mapping[str, Members] | None = None,
+) -> SaveResult:
+    """Tables by root and edge tables after a batch: inserts and updates by root, deletes by entity as keys, edges
+    and members by ``Entity.relationship``.
+
+    Rows that inserted and updated rows and new edges refer to and that do not exist get placeholders. Given members
+    replace those a row had, and make it dirty. Deletes come last: they take along what the rules say over the
+    edges as they are then, and edges with a gone end go too.
     """
-    after = dict(tables)
+    after, kept = dict(tables), dict(edges or {})
     references = []
     for batches, write in ((inserts, insert_rows), (updates, update_rows)):
         for root, batch in (batches or {}).items():
             after[root] = write(after[root], batch)
             references.append(references_of(batch, relationships_of(model, root)))
+    for name, given in (members or {}).items():
+        if name not in kept:
+            kept[name] = given.edges.limit(0)
+        sources = given.sources.select(F.col("uid").alias("src_uid")).distinct()
+        kept[name] = replace_edges(kept[name], given.edges.join(sources, "src_uid", "left_semi").select(*kept[name].columns), sources)
+        root = ends(model, name)[0]
+        after[root] = mark_dirty(after[root], given.sources)
+        references.append(given.edges.select(F.col("dst_entity").alias("entity"), F.col("dst_uid").alias("uid")))
     if deletes:
-        after = apply_gone(model, after, gone_keys(model, after, deletes))
+        gone = gone_keys(model, after, deletes, kept)
+        after = apply_gone(model, after, gone, edges=kept)
+        kept = {name: edges_without(model, name, table, gone) for name, table in kept.items()}
     held = [refs for refs in references if refs is not None]
     if held:
         wanted = reduce(DataFrame.unionByName, held)
@@ -155,41 +199,17 @@ def save(
                 mine = wanted.filter(F.col("entity").isin(model.family(root)))
                 fresh = placeholders(mine, after[root], created_remotely=False)
                 after[root] = after[root].unionByName(fresh, allowMissingColumns=True)
-    return after
-
-
-# Deletes with the model's rules
+    return SaveResult(after, kept)
 
 
-def cascade_levels(
-    model: EntityModel, tables: Mapping[str, DataFrame], entity: str, keys: DataFrame
-) -> list[tuple[str, DataFrame]]:
-    """Keys deleted with an entity's ``keys``, by level: the entity itself, then each cascade's targets.
+def mark_dirty(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of some uids are to be pushed."""
+    marked = keys.select("uid").distinct().withColumn("_mark", F.lit(True))
+    joined = table.join(marked, "uid", "left")
+    return joined.withColumn("is_dirty", F.coalesce("_mark", F.lit(False)) | F.col("is_dirty")).select(*table.columns)
 
-    The levels follow the model, not the data, so their number is known before the job starts.
-    """
-    levels: list[tuple[str, DataFrame]] = []
-
-    def descend(name: str, gone: DataFrame, path: tuple[str, ...]) -> None:
-        levels.append((name, gone))
-        for relationship in relationships_of(model, name):
-            if relationship.delete_rule is not DeleteRule.CASCADE:
-                continue
-            if relationship.target in path:
-                raise ValueError(f"cascade from {entity} comes back to {relationship.target}")
-            inverse = model.inverse_of(relationship)
-            table = tables.get(model.root_of(relationship.target))
-            if inverse is None or inverse.to_many or table is None:
-                continue
-            children = table.filter(F.col(inverse.name).isNotNull()).select(
-                "uid", F.col(f"{inverse.name}.uid").alias("_owner")
-            )
-            owners = gone.select(F.col("uid").alias("_owner"))
-            hit = join_unique(children, owners, "_owner", "left_semi", spread_by="uid").select("uid")
-            descend(relationship.target, hit, (*path, relationship.target))
 
-    descend(entity, keys.select("uid").distinct(), (entity,))
-    return levels
+# Deletes with the model's rules
 
 
 def _all_relationships(model: EntityModel) -> list[Relationship]:
@@ -207,10 +227,11 @@ def relationships_of(model: EntityModel, name: str) -> list[Relationship]:
 
 @dataclass
 class DeleteResult:
-    """Tables after a delete, and the deleted uids by root."""
+    """Tables and edge tables after a delete, and the deleted uids by root."""
 
     tables: dict[str, DataFrame]
     gone: dict[str, DataFrame] = field(default_factory=dict)
+    edges: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def delete_rows(
@@ -219,27 +240,27 @@ def delete_rows(
     entity: str,
     keys: DataFrame,
     remove: bool = False,
+    edges: Mapping[str, DataFrame] | None = None,
 ) -> DeleteResult:
     """Delete rows with the model's rules: cascades follow, references of other rows to them are cleared.
 
-    By default the rows become tombstones to be pushed, rows that lose a reference become dirty, and a
+    By default the rows become tombstones to be pushed, rows that lose a reference or a member become dirty, and a
     tombstone lets go of owners that live on. ``remove`` takes the rows away as a pull does and leaves
-    the dirty flags alone.
+    the dirty flags alone. ``edges`` has the tables of relationships stored as relations.
     """
-    gone = gone_keys(model, tables, {entity: keys})
-    return DeleteResult(apply_gone(model, tables, gone, remove), gone)
+    gone = gone_keys(model, tables, {entity: keys}, edges)
+    kept = {name: edges_without(model, name, table, gone) for name, table in (edges or {}).items()}
+    return DeleteResult(apply_gone(model, tables, gone, remove, edges), gone, kept)
 
 
 def gone_keys(
-    model: EntityModel, tables: Mapping[str, DataFrame], keys: Mapping[str, DataFrame]
+    model: EntityModel,
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, DataFrame],
+    edges: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Uids by root that go when the given uids, by entity, are deleted: those and their cascades."""
-    gone: dict[str, DataFrame] = {}
-    for entity, own in keys.items():
-        for name, level in cascade_levels(model, tables, entity, own):
-            root = model.root_of(name)
-            gone[root] = level if root not in gone else gone[root].unionByName(level)
-    return {root: rows.distinct() for root, rows in gone.items()}
+    """Uids by root, each once, that go when the given uids, by entity, are deleted: those and their cascades."""
+    return taken_along(model, tables, keys, edges)
 
 
 def bereft_keys(
@@ -261,10 +282,19 @@ def bereft_keys(
 
 
 def apply_gone(
-    model: EntityModel, tables: Mapping[str, DataFrame], gone: Mapping[str, DataFrame], remove: bool = False
+    model: EntityModel,
+    tables: Mapping[str, DataFrame],
+    gone: Mapping[str, DataFrame],
+    remove: bool = False,
+    edges: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables after the rows of ``gone`` were deleted and references to them cleared."""
-    return {root: _after_delete(model, root, table, gone, remove) for root, table in tables.items()}
+    """Tables after the rows of ``gone`` were deleted and references to them cleared. ``edges`` are those before."""
+    after = {root: _after_delete(model, root, table, gone, remove) for root, table in tables.items()}
+    if not remove:
+        for root, rows in sources_of_lost_edges(model, edges or {}, gone).items():
+            if root in after:
+                after[root] = mark_dirty(after[root], rows)
+    return after
 
 
 def _after_delete(

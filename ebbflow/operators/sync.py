@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.model import KEY, EntityModel, Relationship, Stored, relaxed
 from ebbflow.operators import changes, pull, push
+from ebbflow.operators.cascades import edges_without
 from ebbflow.operators.joins import join_unique
 from ebbflow.operators.relations import remove_from_arrays, replace_edges
 from ebbflow.operators.save import (
@@ -22,10 +24,14 @@ from ebbflow.operators.save import (
     references_of,
     relationships_of,
 )
-from ebbflow.session import materialized
+from ebbflow.session import materialized, materialized_all
 
 Tables = Mapping[str, DataFrame]
 
+PUSH_ACTIONS = (*push.SENDS, push.DROP_LOCAL, push.OVERWRITE_LOCAL, *push.ERRORS)
+PULL_ACTIONS = (pull.SKIP, pull.IGNORE, *pull.CHANGES)
+FAULTS = (pull.MISSING_VALUE, pull.UNKNOWN_ENTITY, pull.MALFORMED_REFERENCE, pull.UNKNOWN_TARGET, push.DUPLICATE_UID)
+
 
 class SyncError(RuntimeError):
     """A row that cannot be pushed or pulled; ``code`` is one of the codes of ``operators.push``, or None."""
@@ -88,19 +94,6 @@ def _take_edges(
         edges_here[name] = replace_edges(edges_here.get(name, read.limit(0)), read, sources)
 
 
-def _without_gone(model: EntityModel, name: str, edges: DataFrame, gone: Tables) -> DataFrame:
-    """Edges of one relationship with neither end among the gone rows of that end's root: a uid is unique
-    within its root only."""
-    entity, relationship = name.split(".")
-    ends = (("src_uid", entity, "dst_uid"), ("dst_uid", model.relationship(entity, relationship).target, "src_uid"))
-    for end, of, other in ends:
-        keys = gone.get(model.root_of(of))
-        if keys is not None:
-            lost = keys.select(F.col("uid").alias(end))
-            edges = join_unique(edges, lost, end, "left_anti", spread_by=other).select(*edges.columns)
-    return edges
-
-
 def _stored_as(model: EntityModel, root: str, table: DataFrame, stored: Stored) -> list[Relationship]:
     return [r for r in relationships_of(model, root) if r.stored is stored and r.name in table.columns]
 
@@ -116,21 +109,53 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _written_by_root(parts: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, set[str]]]:
+def _written_by_root(
+    parts: Mapping[str, DataFrame], kinds: tuple[str, ...] = (), model: EntityModel | None = None
+) -> tuple[dict[str, DataFrame], dict[str, Counter]]:
     """One write, and so one job, for tables of the same columns; each is read back by its folder.
 
-    Also tells which actions occur in each table: at most roots times actions, read by the driver to
-    leave out joins that would change nothing.
+    Also tells how often each of the actions ``kinds`` occurs in each table, which leaves out joins that would change
+    nothing, or, with the model, each pair of entity and action; without ``kinds``, rows. The write itself counts
+    them: no row is read again for that.
     """
     if not parts:
         return {}, {}
     together = _union([part.withColumn("root", F.lit(root)) for root, part in parts.items()])
-    written = materialized(together, partition_by="root")
-    kinds = F.col("action") if "action" in written.columns else F.lit("row")
-    actions: dict[str, set[str]] = {root: set() for root in parts}
-    for row in written.select("root", kinds.alias("action")).distinct().collect():
-        actions[row["root"]].add(row["action"])
-    return {root: written.filter(F.col("root") == root).drop("root") for root in parts}, actions
+    of = {root: [*model.family(root), None] if model is not None else [None] for root in parts}
+    wanted = {f"n{i}": key for i, key in enumerate((r, e, k) for r in parts for e in of[r] for k in kinds or ("row",))}
+    counts = []
+    for name, (root, entity, kind) in wanted.items():
+        hit = F.col("root") == root
+        if kinds:
+            hit = hit & (F.col("action") == kind)
+        if entity is not None:
+            hit = hit & (F.col("entity") == entity)
+        elif model is not None:
+            hit = hit & ~F.coalesce(F.col("entity").isin(model.family(root)), F.lit(False))
+        counts.append(F.count_if(hit).alias(name))
+    seen = Observation()
+    written = materialized(together.observe(seen, *counts), partition_by="root")
+    told: dict[str, Counter] = {root: Counter() for root in parts}
+    for name, n in seen.get.items():
+        root, entity, kind = wanted[name]
+        if n:
+            told[root][kind if model is None else (entity, kind)] += n
+    return {root: written.filter(F.col("root") == root).drop("root") for root in parts}, told
+
+
+def _by_action(counts: Mapping[str, Counter]) -> dict[str, set[str]]:
+    return {root: {kind for _, kind in found} for root, found in counts.items()}
+
+
+def _counters(spark: SparkSession, pushed: Mapping[str, Counter], pulled: Mapping[str, Counter]) -> DataFrame:
+    """Rows synced by side and entity, from what the writes of the plans counted; see ``changes.sync_counters``."""
+    total: Counter = Counter()
+    for side, plans, left_out in (("local", pushed, set(push.ERRORS)), ("remote", pulled, {pull.SKIP})):
+        for found in plans.values():
+            for (entity, kind), n in found.items():
+                if kind not in left_out:
+                    total[side, entity] += n
+    return spark.createDataFrame([(*key, n) for key, n in sorted(total.items(), key=str)], "side string, entity string, n long")
 
 
 def _references_into(model: EntityModel, root: str, parts: list[DataFrame | None]) -> DataFrame | None:
@@ -154,6 +179,7 @@ def sync(
     on_error: str = "fail",
     local_edges: Tables | None = None,
     remote_edges: Tables | None = None,
+    written: bool = False,
 ) -> SyncResult:
     """Push dirty rows, then pull what changed, over tables by root entity.
 
@@ -165,6 +191,8 @@ def sync(
     A to-many that is stored as a relation has an edge table on each side, by ``Entity.relationship``. A row
     that is written takes its edges along, and they replace those it had.
 
+    ``written`` says that the tables are small and stand in files: their parts are then not written again.
+
     Dirty rows, increments and plans are written once and feed everything else; none is larger than what
     changed. Roots, and joins, that nothing happens in are left out.
     """
@@ -179,15 +207,20 @@ def sync(
 
     # Dirty rows are written first: few as a rule, and then known to be, so that the joins with them leave
     # the large tables where they are.
-    pending = {root: materialized(push.dirty(local[root])) for root in roots}
-    plans, to_push = _written_by_root(
+    pending = {root: push.dirty(local[root]) for root in roots}
+    if not written:
+        pending = materialized_all(pending)
+    plans, pushed_rows = _written_by_root(
         {
             root: push.push_plan(rows, remote[root] if rows.limit(1).collect() else remote[root].limit(0), policy)
             for root, rows in pending.items()
-        }
+        },
+        PUSH_ACTIONS,
+        model,
     )
+    to_push = _by_action(pushed_rows)
     errors = _union([push.push_errors(plan) for plan in plans.values()])
-    if on_error == "fail" and any(actions & set(push.ERRORS) for actions in to_push.values()):
+    if on_error == "fail" and any(kinds & set(push.ERRORS) for kinds in to_push.values()):
         first = errors.orderBy("entity", "uid").limit(1).collect()[0]
         raise SyncError(first["code"], first["uid"], first["action"])
 
@@ -210,6 +243,8 @@ def sync(
                 tables[root] = remove_from_arrays(tables[root], array.name, gone).select(*tables[root].columns)
                 pending[root] = remove_from_arrays(pending[root], array.name, gone).select(*pending[root].columns)
 
+    let_go = bereft_keys(model, local, dropped) if dropped else None
+
     sent = {
         root: plans[root].filter(F.col("action").isin(*push.SENDS)).select(*KEY)
         for root in roots
@@ -219,7 +254,7 @@ def sync(
     leaving = [references_of(outgoing[root], relationships_of(model, root)) for root in sent]
     edges_here, edges_there = dict(local_edges or {}), dict(remote_edges or {})
     for name in edges_here:
-        edges_here[name] = _without_gone(model, name, edges_here[name], dropped)
+        edges_here[name] = edges_without(model, name, edges_here[name], dropped)
     for root, keys in sent.items():
         for name in _edges_of(model, root, edges_here):
             written_edges = _edges_from(edges_here[name], keys)
@@ -246,7 +281,7 @@ def sync(
                 tables[root], remote[root], plans[root], at, unknown.get(root), outgoing[root], winners
             )
             after_push[root], remote_after[root] = result.local, result.remote
-    written = {
+    told = {
         root: _union([keys[root] for keys in (sent, unknown) if root in keys])
         for root in roots
         if root in sent or root in unknown
@@ -257,17 +292,20 @@ def sync(
     incoming, faults = {}, {}
     for root in roots:
         rows = pull.increment(remote[root], watermarks, now, full, model.family(root))
-        settled = [written[root]] if root in written else []
+        settled = [told[root]] if root in told else []
         if to_push[root] & set(push.ERRORS):
             settled.append(push.push_errors(plans[root]).select(*KEY))
         if settled:
             rows = rows.join(_union(settled), list(KEY), "left_anti")
-        if watermarks and not full:
-            rows = materialized(rows)
-        untimed = remote[root].filter(F.col("updated_at").isNull())
-        faults[root] = pull.pull_errors(rows.unionByName(untimed), model, root)
         incoming[root] = rows
-    faults, wrong = _written_by_root(faults)
+    if watermarks and not full and not written:
+        incoming = materialized_all(incoming)
+    for root, rows in incoming.items():
+        untimed = remote[root].filter(F.col("updated_at").isNull())
+        # A key may come twice with one of its rows below the watermark: all rows of the increment's keys count.
+        whole = remote[root] if watermarks and not full else None
+        faults[root] = pull.pull_errors(rows.unionByName(untimed), model, root, whole)
+    faults, wrong = _written_by_root(faults, FAULTS)
     if any(wrong.values()):
         errors = errors.unionByName(_union(list(faults.values())))
         if on_error == "fail":
@@ -280,9 +318,10 @@ def sync(
             twice = faults[root].filter(F.col("action") == push.DUPLICATE_UID).select(*KEY)
             rows = rows.join(twice, list(KEY), "left_anti")
         incoming[root] = pull.decode_rows(rows, model, root)
-    pull_plans, to_pull = _written_by_root(
-        {root: pull.pull_plan(after_push[root], incoming[root]) for root in roots}
+    pull_plans, pulled_rows = _written_by_root(
+        {root: pull.pull_plan(after_push[root], incoming[root]) for root in roots}, PULL_ACTIONS, model
     )
+    to_pull = _by_action(pulled_rows)
 
     after_pull = {
         root: pull.apply_pull(table, incoming[root]).local if to_pull[root] & set(pull.CHANGES) else table
@@ -293,16 +332,22 @@ def sync(
         for root in roots
         if pull.DELETE_LOCAL in to_pull[root]
     }
-    cascaded = cleared = None
+    cascaded, cleared = None, let_go
     if removed:
-        gone, _ = _written_by_root(gone_keys(model, after_pull, removed))
+        # What a removed row held, and not only who holds it, takes part in the walk.
+        walked = {
+            root: table.unionByName(after_push[root].join(removed[root], "uid", "left_semi")) if root in removed else table
+            for root, table in after_pull.items()
+        }
+        gone, _ = _written_by_root(gone_keys(model, walked, removed, edges_here))
         # The deleted rows themselves are out already: what is found here went with them.
         cascaded = materialized(
             _union([after_pull[root].select(*KEY).join(keys, "uid", "left_semi") for root, keys in gone.items()])
         )
-        cleared = bereft_keys(model, after_pull, gone)
+        bereft = [keys for keys in (cleared, bereft_keys(model, after_pull, gone)) if keys is not None]
+        cleared = _union(bereft) if bereft else None
         after_pull = apply_gone(model, after_pull, gone, remove=True)
-        edges_here = {name: _without_gone(model, name, edges, gone) for name, edges in edges_here.items()}
+        edges_here = {name: edges_without(model, name, edges, gone) for name, edges in edges_here.items()}
 
     arriving = []
     for root in roots:
@@ -332,7 +377,7 @@ def sync(
     pulled = _union([plan.select(*KEY, "updated_at", "action") for plan in pull_plans.values()])
     spark = pulled.sparkSession
     # Own writes at or above the bound of this pull must not lift a watermark over rows it did not read.
-    own = [keys.select("entity", at.alias("updated_at")) for keys in written.values()] if push_time < now else []
+    own = [keys.select("entity", at.alias("updated_at")) for keys in told.values()] if push_time < now else []
     seen = _union([pulled.select("entity", "updated_at"), *own])
     old = None
     if watermarks:
@@ -343,7 +388,7 @@ def sync(
         watermarks=pull.advance(old, seen),
         change_log=changes.change_log(pushed, pulled, _union(added) if added else None, cascaded, cleared),
         errors=errors,
-        counters=changes.sync_counters(pushed, pulled),
+        counters=_counters(spark, pushed_rows, pulled_rows),
         local_edges=edges_here,
         remote_edges=edges_there,
     )

@@ -144,10 +144,8 @@ UNION ALL SELECT 'Line', uid FROM lines WHERE order_uid IN (SELECT uid FROM gone
 def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {"Customer": cust(spark, sf_dir), "Order": loc(spark, sf_dir), "Line": lines(spark, sf_dir)}
     keys = tables["Customer"].filter("key % 10 = 3")
-    levels = [
-        level.select(F.lit(name).alias("entity"), "uid")
-        for name, level in save.cascade_levels(MODEL, tables, "Customer", keys)
-    ]
+    gone = save.gone_keys(MODEL, tables, {"Customer": keys})
+    levels = [rows.select(F.lit(root).alias("entity"), "uid") for root, rows in gone.items()]
     return levels[0].unionByName(levels[1]).unionByName(levels[2])
 
 

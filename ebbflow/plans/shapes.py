@@ -275,5 +275,24 @@ FEED_MODEL = EntityModel(
     (
         Entity("Event", attributes=(Attribute("event_id", _LONG), Attribute("value", _DOUBLE))),
         *[Entity(kind, parent="Event") for kind in ("click", "error", "purchase", "signup", "view")],
+        Entity("Buyer", attributes=(Attribute("order_key", _LONG), Attribute("price", _DOUBLE))),
     )
 )
+
+
+def as_buyers(orders: DataFrame) -> DataFrame:
+    """A change feed of customers, a version per order; orders of one day tie."""
+    return orders.select(
+        _text_uid("c", F.col("o_custkey")).alias("uid"),
+        F.lit("Buyer").alias("entity"),
+        F.when(F.col("o_orderstatus") == "P", 3).otherwise(2).cast("short").alias("status"),
+        F.col("o_orderdate").alias("updated_at"),
+        F.col("o_orderkey").alias("order_key"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
+BUYERS = """buyers AS (SELECT 'c' || o_custkey AS uid, 'Buyer' AS entity,
+    CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 2 END AS status, o_orderdate AS updated_at, o_orderkey AS order_key,
+    o_totalprice AS price
+  FROM orders)"""

@@ -1,4 +1,4 @@
-"""The query of the stream: the whole feed pulled into an empty store."""
+"""The query of the stream: two feeds, each in files of mixed order, pulled into an empty store."""
 
 from __future__ import annotations
 
@@ -8,25 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbflow.plans.registry import query
-from ebbflow.plans.shapes import FEED, FEED_MODEL, as_feed, table, with_ctes
+from ebbflow.plans.shapes import BUYERS, FEED, FEED_MODEL, as_buyers, as_feed, table, with_ctes
 from ebbflow.session import shared_dir
 from ebbflow.sources.snapshots import SnapshotStore
 from ebbflow.streaming.pull_stream import start_pull
 
+#: Files that a feed is dealt out over, each a micro-batch.
+FILES = 3
+
 
 @query(
     with_ctes(
         FEED,
+        BUYERS,
         body="""SELECT uid, entity, updated_at AS last_modified, event_id, value FROM (SELECT * FROM feed
     QUALIFY row_number() OVER (PARTITION BY entity, uid ORDER BY updated_at DESC, event_id DESC) = 1)
+WHERE status <> 3
+UNION ALL SELECT uid, entity, updated_at, order_key, price FROM (SELECT * FROM buyers
+    QUALIFY row_number() OVER (PARTITION BY uid ORDER BY updated_at DESC, order_key DESC) = 1)
 WHERE status <> 3""",
     )
 )
 def stream_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     store = SnapshotStore(spark, f"{home}/store", FEED_MODEL, buckets=8)
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    pulling = start_pull(as_feed(events), store, "Event", f"{home}/checkpoint", tie_break="event_id")
-    pulling.awaitTermination()
-    return store.read("Event").select("uid", "entity", "last_modified", "event_id", F.col("value"))
+    feeds = {"Event": (as_feed(table(spark, sf_dir, "events")), "event_id"), "Buyer": (as_buyers(table(spark, sf_dir, "orders")), "order_key")}
+    for root, (rows, tie) in feeds.items():
+        # Dealt out by a digest, so that versions of a row lie in several files and in no order of time.
+        rows.repartition(FILES, F.xxhash64(tie)).write.parquet(f"{home}/{root}")
+        feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/{root}")
+        start_pull(feed, store, root, f"{home}/checkpoint-{root}", tie_break=tie).awaitTermination()
+    events = store.read("Event").select("uid", "entity", "last_modified", "event_id", "value")
+    buyers = store.read("Buyer").select("uid", "entity", "last_modified", F.col("order_key").alias("event_id"), F.col("price").alias("value"))
+    return events.unionByName(buyers)

@@ -417,6 +417,23 @@ def change_log_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.by_kind(changes.change_log(*_sync_plans(spark, sf_dir)))
 
 
+@query(
+    with_ctes(
+        *_AFTER_PUSH,
+        _PULL_AFTER_PUSH,
+        _LOG,
+        """paged AS (SELECT *, (count(*) OVER (PARTITION BY entity, change) - 1) // 1000 AS excess,
+    count(*) OVER (PARTITION BY entity, change) AS n FROM log)""",
+        body="""SELECT entity, change, page, n, string_agg(uid, ',' ORDER BY uid) AS uids FROM (
+    SELECT *, CASE WHEN excess = 0 THEN '' ELSE substr(md5(uid), 1, length(printf('%x', excess))) END AS page FROM paged)
+GROUP BY entity, change, page, n""",
+    )
+)
+def change_log_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = changes.uids_by_kind(changes.change_log(*_sync_plans(spark, sf_dir)))
+    return pages.withColumn("uids", F.array_join("uids", ","))
+
+
 @query(
     with_ctes(
         *_AFTER_PUSH,

@@ -4,29 +4,38 @@ A micro-batch may be delivered twice. Its number is stored, by root and stream,
 second delivery is passed over; were it not, applying the same rows again would change nothing. A stream is known
 by the id in its checkpoint: a new checkpoint is another stream, and starts with its first batch.
 
-Rows may come in any order, over any number of batches. A row is applied unless the store has a newer version of
-the same uid, or a newer deletion of it, whose key is kept beside the table; the result does not depend on how the
-feed is cut. Older versions go to ``<store>/late``, rows that no table can take (an unknown entity, no uid, no
-time) to ``<store>/errors``.
+Every row is a register whose last writer wins. The clock of a version is its time, then the tie break, then a digest
+of the row, so that no two different versions are equal; it is stored with the row, or with the key of a deleted
+one. A version is applied if its clock is above the one held, whatever came before it, so the store ends the same
+however the feed is cut and in whatever order its parts come. A row that another writer put there has a time only:
+versions of that very time are taken for the same one.
+
+Keys of deleted rows are kept for ever, or, with ``keep_deleted``, till the slowest stream of the root has passed
+them by that long. A version older than that is late unless its row is there: its deletion may be forgotten.
+
+Older versions go to ``<store>/late``. Rows that no table can take go to ``<store>/errors`` with the reason: a
+mandatory value is missing, the entity is not one of the root's, a reference lacks a part, or it names an entity
+that the model does not have.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ebbflow.model import KEY, EntityModel, Relationship, Status, Stored
 from ebbflow.operators import pull
-from ebbflow.operators.fetch import any_in_objects, in_objects
-from ebbflow.operators.relations import edges_of_array
-from ebbflow.operators.save import cascade_levels, delete_rows, placeholders, references_of, relationships_of
+from ebbflow.operators.cascades import edges_without, ends
+from ebbflow.operators.joins import join_unique
+from ebbflow.operators.save import apply_gone, bereft_keys, gone_keys, placeholders, references_of, relationships_of
 from ebbflow.session import materialized
-from ebbflow.sources.snapshots import GONE, SnapshotStore
+from ebbflow.sources.snapshots import CLOCK, GONE, Manifest, SnapshotStore
 
 
 def start_pull(
@@ -36,11 +45,12 @@ def start_pull(
     checkpoint: str,
     tie_break: str | None = None,
     trigger: dict | None = None,
+    keep_deleted: timedelta | None = None,
 ) -> StreamingQuery:
     """Follow the change feed of one root table. Stop and start again with the same ``checkpoint``."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        apply_batch(store, root, batch, number, tie_break, stream=_stream_id(store, checkpoint))
+        apply_batch(store, root, batch, number, tie_break, _stream_id(store, checkpoint), keep_deleted)
 
     writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -56,8 +66,31 @@ def _stream_id(store: SnapshotStore, checkpoint: str) -> str:
         opened.close()
 
 
+def with_clock(feed: DataFrame, tie_break: str | None = None) -> DataFrame:
+    """The columns of a version's clock beside ``updated_at``: the tie break, as a number or a text, and a digest."""
+    number, text = F.lit(None), F.lit(None)
+    if tie_break is not None:
+        if isinstance(feed.schema[tie_break].dataType, T.NumericType):
+            number = F.col(tie_break)
+        else:
+            text = F.col(tie_break)
+    row = F.to_json(F.struct(*sorted(feed.columns)))
+    values = {"_tie_number": number, "_tie_text": text, "_digest": F.sha2(row, 256)}
+    return feed.withColumns({f.name: values[f.name].cast(f.dataType) for f in CLOCK})
+
+
+def _clock(time: str) -> Column:
+    return F.struct(F.col(time).alias("time"), *[f.name for f in CLOCK])
+
+
 def apply_batch(
-    store: SnapshotStore, root: str, batch: DataFrame, number: int, tie_break: str | None = None, stream: str = ""
+    store: SnapshotStore,
+    root: str,
+    batch: DataFrame,
+    number: int,
+    tie_break: str | None = None,
+    stream: str = "",
+    keep_deleted: timedelta | None = None,
 ) -> bool:
     """Apply one micro-batch and commit it; False when it had been committed before."""
     current = store.manifest()
@@ -66,59 +99,115 @@ def apply_batch(
         return False
     model = store.model
     folder = f"{root}/stream={stream}/batch={number}"
-    sound = F.col("entity").isin(model.family(root)) & F.col("uid").isNotNull() & F.col("updated_at").isNotNull()
-    sound = F.coalesce(sound, F.lit(False))
-    batch.filter(~sound).write.mode("overwrite").parquet(f"{store.path}/errors/{folder}")
-
-    versions = materialized(pull.latest_version(batch.filter(sound), tie_break))
+    judged = batch.withColumn("_fault", pull.row_fault(batch, model, root))
+    faulty = judged.filter(F.col("_fault").isNotNull()).withColumnRenamed("_fault", "fault")
+    faulty.write.mode("overwrite").parquet(f"{store.path}/errors/{folder}")
+
+    clocked = with_clock(judged.filter(F.col("_fault").isNull()).drop("_fault"), tie_break)
+    rest = [c for c in clocked.columns if c not in KEY]
+    newest = clocked.groupBy(*KEY).agg(F.max_by(F.struct(*rest), _clock("updated_at")).alias("_row"))
+    versions = materialized(newest.select(*KEY, "_row.*"))
+    position = versions.agg(F.max("updated_at")).first()[0]
     buckets = store.touched(versions)
-    held = store.read(root, buckets).unionByName(store.read(root + GONE, buckets))
-    held = held.groupBy(*KEY).agg(F.max("last_modified").alias("_held"))
-    aged = materialized(versions.join(held, list(KEY), "left"))
-    late = F.coalesce(F.col("updated_at") < F.col("_held"), F.lit(False))
-    aged.filter(late).drop("_held").write.mode("overwrite").parquet(f"{store.path}/late/{folder}")
-    newest = aged.filter(~late).drop("_held")
-    marks = _raised(current.watermarks, pull.collect_watermarks(pull.advance(None, newest), model))
-    schema = store.read(root, []).columns
-    incoming = pull.decode_rows(newest, model, root)
-    incoming = incoming.select(*[c for c in incoming.columns if c in schema])
+    before = store.read(root, buckets, clock=True)
+    tombstones = store.read(root + GONE, buckets, clock=True)
+    held = before.select(*KEY, _clock("last_modified").alias("_held"), F.lit(True).alias("_there")).unionByName(
+        tombstones.select(*KEY, _clock("last_modified").alias("_held"), F.lit(False).alias("_there"))
+    )
+    held = held.groupBy(*KEY).agg(F.max("_held").alias("_held"), F.max("_there").alias("_there"))
+    forgotten = _forgotten_before(current, root, keep_deleted)
+    aged = materialized(_aged(versions.join(held, list(KEY), "left"), forgotten))
+    extra = [c for c in aged.columns if c not in batch.columns]
+    aged.filter("_age = 'late'").drop(*extra).write.mode("overwrite").parquet(f"{store.path}/late/{folder}")
+    fresh = aged.filter("_age = 'new'")
+    marks = _raised(current.watermarks, pull.collect_watermarks(pull.advance(None, fresh), model))
+
+    kinds = [f.name for f in CLOCK]
+    schema = store.schema(root).names
+    incoming = pull.decode_rows(fresh.drop("_held", "_age", *kinds), model, root)
+    wanted = [c for c in incoming.columns if c in schema]
+    incoming = materialized(incoming.select(*wanted).join(fresh.select(*KEY, "_there", *kinds), list(KEY)))
+    deleted = F.col("status") == int(Status.DELETED)
+    removed = incoming.filter(deleted & F.col("_there")).select("uid")
+    arrived = incoming.filter(~deleted).drop("_there")
 
     touched: dict[str, set[int]] = {root: store.touched(incoming)}
-    plan = materialized(pull.pull_plan(store.read(root, touched[root]), incoming))
-    removed = plan.filter(F.col("action") == pull.DELETE_LOCAL).select("uid")
-    dependents = _depends_on(model, root)
-    removes = bool(dependents) and bool(removed.limit(1).collect())
+    removes = _is_related(model, root) and bool(removed.limit(1).collect())
     if removes:
-        for other, keys in _affected(store, root, removed).items():
+        for other, keys in _affected(store, root, removed, arrived.drop(*kinds)).items():
             touched[other] = touched.get(other, set()) | store.touched(keys)
 
     missing: dict[str, DataFrame] = {}
-    applied = plan.filter(F.col("action").isin(pull.INSERT, pull.UPDATE)).select(*KEY)
-    refs = references_of(incoming.join(applied, list(KEY), "left_semi"), _relationships(model, root))
+    refs = references_of(arrived, _relationships(model, root))
     if refs is not None:
-        arriving = applied.select("uid")
         for target in {model.root_of(r.target) for r in _relationships(model, root)}:
-            wanted = refs.filter(F.col("entity").isin(model.family(target)))
-            there = store.read(target).select("uid")
+            named = materialized(refs.filter(F.col("entity").isin(model.family(target)) & F.col("uid").isNotNull()).distinct())
+            there = store.lookup(target, named).select("uid")
             if target == root:
-                there = there.unionByName(arriving)
-            missing[target] = materialized(placeholders(wanted, there, created_remotely=True))
+                there = there.unionByName(arrived.select("uid"))
+            missing[target] = materialized(placeholders(named, there, created_remotely=True))
             touched[target] = touched.get(target, set()) | store.touched(missing[target])
 
-    tables = {name: store.read(name, buckets) for name, buckets in touched.items()}
-    tables[root] = pull.apply_pull(tables[root], incoming).local
+    edges = {name: store.read(name) for name in store.edge_names() if name in current.roots}
+    tables = {name: store.read(name, at, clock=not store.is_edges(name)) for name, at in touched.items()}
+    old = tables[root]
+    tables[root] = _written_over(old, arrived, incoming)
     if removes:
-        tables = delete_rows(model, tables, root, removed, remove=True).tables
+        rows = {name: table for name, table in tables.items() if not store.is_edges(name)}
+        walked = rows | {root: rows[root].unionByName(old.join(removed, "uid", "left_semi"))}
+        gone = gone_keys(model, walked, {root: removed}, edges)
+        tables |= apply_gone(model, rows, gone, remove=True)
+        for name in tables:
+            if store.is_edges(name):
+                tables[name] = edges_without(model, name, tables[name], gone)
     for target, rows in missing.items():
         tables[target] = tables[target].unionByName(rows, allowMissingColumns=True)
-    before = store.read(root + GONE, touched[root])
-    gone = incoming.filter(F.col("status") == int(Status.DELETED)).select(*KEY, "last_modified")
-    tables[root + GONE] = before.join(incoming.select(*KEY), list(KEY), "left_anti").unionByName(gone, allowMissingColumns=True)
+    kept = store.read(root + GONE, touched[root], clock=True).join(incoming.select(*KEY), list(KEY), "left_anti")
+    if forgotten is not None:
+        kept = kept.filter(F.col("last_modified") >= pull.ntz(forgotten))
+    gone_now = incoming.filter(deleted).select(*KEY, "last_modified", *kinds)
+    tables[root + GONE] = kept.unionByName(gone_now, allowMissingColumns=True)
     touched[root + GONE] = touched[root]
-    store.commit(tables, touched, watermarks=marks, batches={delivery: number})
+    positions = {} if position is None else {delivery: max(position, current.positions.get(delivery, position))}
+    store.commit(tables, touched, watermarks=marks, batches={delivery: number}, positions=positions)
     return True
 
 
+def _aged(versions: DataFrame, forgotten: datetime | None) -> DataFrame:
+    """``_age`` of each version beside the clock held: new, late, or again for one that is there already."""
+    clock, held = _clock("updated_at"), F.col("_held")
+    unclocked = held["_digest"].isNull() & (held["time"] == F.col("updated_at"))
+    age = F.when(held.isNotNull() & F.coalesce(unclocked, F.lit(False)), F.lit("again"))
+    age = age.when(held.isNotNull() & (clock < held), F.lit("late")).when(clock.eqNullSafe(held), F.lit("again"))
+    there = F.coalesce("_there", F.lit(False))
+    if forgotten is not None:
+        age = age.when(~there & (F.col("updated_at") < pull.ntz(forgotten)), F.lit("late"))
+    return versions.withColumns({"_age": age.otherwise(F.lit("new")), "_there": there})
+
+
+def _forgotten_before(manifest: Manifest, root: str, keep_deleted: timedelta | None) -> datetime | None:
+    """The low-water mark of a root: what every stream of it has passed, less the time that deletions are kept."""
+    passed = [at for delivery, at in manifest.positions.items() if delivery.startswith(f"{root}/")]
+    return None if keep_deleted is None or not passed else min(passed) - keep_deleted
+
+
+def _written_over(table: DataFrame, arrived: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The table with arrived rows written over it and other rows of ``incoming`` taken out.
+
+    Given columns overwrite and the dirty flag is left alone; a new row is known to the remote.
+    """
+    old = table.join(incoming.select(*KEY), list(KEY), "left_anti")
+    kept = table.select(*KEY, *[c for c in table.columns if c not in KEY and c not in arrived.columns])
+    merged = arrived.join(kept.withColumn("_old", F.lit(True)), list(KEY), "left")
+    merged = merged.withColumns(
+        {
+            "is_dirty": F.coalesce("is_dirty", F.lit(False)),
+            "created_remotely": F.when(F.col("_old"), F.col("created_remotely")).otherwise(F.lit(True)),
+        }
+    )
+    return old.unionByName(merged.select(*table.columns))
+
+
 def _raised(old: Mapping[str, datetime], new: Mapping[str, datetime]) -> dict[str, datetime]:
     """Watermarks never fall back."""
     return {entity: max(at, old.get(entity, at)) for entity, at in new.items()}
@@ -129,33 +218,30 @@ def _relationships(model: EntityModel, root: str) -> list[Relationship]:
     return [r for r in relationships_of(model, root) if r.stored in (Stored.POINTER, Stored.ARRAY)]
 
 
-def _depends_on(model: EntityModel, root: str) -> list[str]:
-    """Roots whose rows hold references into a root's table."""
-    return [
-        other
-        for other in model.roots
-        if any(model.root_of(r.target) == root for r in _relationships(model, other))
-    ]
+def _is_related(model: EntityModel, root: str) -> bool:
+    """Whether rows of a root refer to others, or others to them."""
+    own = any(relationships_of(model, root))
+    return own or any(model.root_of(r.target) == root for other in model.roots for r in relationships_of(model, other))
 
 
-def _affected(store: SnapshotStore, root: str, removed: DataFrame) -> dict[str, DataFrame]:
-    """Keys of rows that a removal takes along or that lose a reference by it."""
+def _affected(store: SnapshotStore, root: str, removed: DataFrame, arrived: DataFrame) -> dict[str, DataFrame]:
+    """Keys, by table, of rows that a removal can take along or that can lose a reference or an edge by it, as the
+    store is or as it will be."""
     model, tables = store.model, store.tables()
-    gone: dict[str, DataFrame] = {}
-    for name, level in cascade_levels(model, tables, root, removed):
-        top = model.root_of(name)
-        gone[top] = level if top not in gone else gone[top].unionByName(level)
-    affected = dict(gone)
-    for other, table in tables.items():
-        for relationship in _relationships(model, other):
-            targets = gone.get(model.root_of(relationship.target))
-            if targets is None:
-                continue
-            if relationship.stored is Stored.POINTER:
-                hit = in_objects(table.select("uid", relationship.name), relationship.name, targets)
-            else:
-                edges = edges_of_array(table, relationship.name)
-                hit = any_in_objects(table.select("uid"), edges, targets)
-            keys = hit.select("uid")
-            affected[other] = keys if other not in affected else affected[other].unionByName(keys)
+    edges = {name: store.read(name) for name in store.edge_names()}
+    walked = tables | {root: tables[root].unionByName(arrived, allowMissingColumns=True)}
+    gone = gone_keys(model, walked, {root: removed}, edges)
+    affected: dict[str, DataFrame] = dict(gone)
+    bereft = bereft_keys(model, walked, gone)
+    if bereft is not None:
+        for other in model.roots:
+            keys = bereft.filter(F.col("entity").isin(model.family(other))).select("uid")
+            affected[other] = affected[other].unionByName(keys) if other in affected else keys
+    for name, table in edges.items():
+        source, target = ends(model, name)
+        for end, at in (("src_uid", source), ("dst_uid", target)):
+            if at in gone:
+                lost = gone[at].select(F.col("uid").alias(end))
+                keys = join_unique(table, lost, end, "left_semi", spread_by="dst_uid").select(F.col("src_uid").alias("uid"))
+                affected[name] = affected[name].unionByName(keys) if name in affected else keys
     return affected

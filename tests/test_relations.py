@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -68,12 +69,39 @@ def test_salted_join_equals_the_plain_one(spark):
     )
     targets = spark.range(0, 90, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     for how in ("left", "inner", "left_semi", "left_anti"):
-        salted = joins.join_unique(rows, targets, "k", how, "row", hot_rows=500, salts=7, force_salting=True)
+        salted = joins.join_unique(rows, targets, "k", how, "row", hot_rows=500, force_salting=True)
         plain = rows.join(targets, "k", how)
         columns = plain.columns
         assert Counter(map(tuple, salted.select(columns).collect())) == Counter(map(tuple, plain.collect())), how
-    spread = joins.hot_keys(rows, ["k"], hot_rows=500).collect()
-    assert [r["k"] for r in spread] == [0]
+    found = joins.heavy_keys(rows, ["k"], hot_rows=500).collect()
+    assert [r["_item"] for r in found] == [spark.sql("SELECT xxhash64(0L)").first()[0]]
+    assert found[0]["_salts"] == math.ceil(1000 / 2960 * joins.pieces(rows))  # 40 rows have no key
+
+
+def test_no_task_gets_more_than_twice_the_mean(spark):
+    """One key holds a third of the rows, another a tenth; a twentieth has no key."""
+    ids = F.col("id")
+    key = F.when(ids % 3 == 0, F.lit(-1)).when(ids % 10 == 1, F.lit(-2)).when(ids % 20 == 2, F.lit(None)).otherwise(ids)
+    rows = spark.range(240_000).select(ids.alias("row"), key.alias("k"))
+    targets = spark.range(-2, 240_000).select(ids.alias("k"), (ids * 10).alias("v"))
+    settings = {
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        for how in ("left", "left_semi"):
+            joined = joins.join_unique(rows, targets, "k", how, "row", hot_rows=1000)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == (240_000 if how == "left" else rows.filter("k is not null").count())
+            assert len(sizes) == 24 and max(sizes) <= 2 * sum(sizes) / 24
+            assert "_salt" in joined._jdf.queryExecution().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_side_by_side_gives_the_same_in_both_ways(spark):

@@ -5,7 +5,7 @@ import pytest
 from ebbflow.model import Entity, EntityModel, Relationship, Stored
 from ebbflow.model import DeleteRule
 from ebbflow.operators import save
-from tests.library import LIBRARY, at, by_uid, local, made_here, ref, uids
+from tests.library import LIBRARY, at, by_uid, local, made_here, ref, table, uids
 
 
 def batch(spark, schema, *rows):
@@ -122,12 +122,12 @@ def library_tables(spark):
 def test_cascade_reaches_every_level(spark):
     tables = library_tables(spark)
     keys = spark.createDataFrame([("a1",)], "uid string")
-    levels = save.cascade_levels(LIBRARY, tables, "Author", keys)
-    assert [(name, sorted(uids(level))) for name, level in levels] == [
-        ("Author", ["a1"]),
-        ("Book", ["b1", "e1"]),
-        ("Page", ["p1"]),
-    ]
+    found = save.gone_keys(LIBRARY, tables, {"Author": keys})
+    assert {root: sorted(uids(rows)) for root, rows in found.items()} == {
+        "Author": ["a1"],
+        "Book": ["b1", "e1"],
+        "Page": ["p1"],
+    }
     after = {root: by_uid(t) for root, t in save.delete_rows(LIBRARY, tables, "Author", keys).tables.items()}
     gone = [u for rows in after.values() for u, r in rows.items() if r["status"] == 3]
     assert sorted(gone) == ["a1", "b1", "e1", "p1"]
@@ -163,21 +163,118 @@ def test_removal_takes_rows_away_and_leaves_others_clean(spark):
     assert magazines["m1"]["authors"] == [ref("Author", "a2")] and not magazines["m1"]["is_dirty"]
 
 
-def test_a_cascade_that_comes_back_is_refused(spark):
-    model = EntityModel(
-        (
-            Entity(
-                "Node",
-                relationships=(
-                    Relationship("children", "Node", True, "parent", DeleteRule.CASCADE, Stored.DERIVED),
-                    Relationship("parent", "Node", inverse="children"),
-                ),
+GRAPH = EntityModel(
+    (
+        Entity(
+            "Node",
+            relationships=(
+                Relationship("children", "Node", True, "parent", DeleteRule.CASCADE, Stored.DERIVED),
+                Relationship("parent", "Node", inverse="children"),
+                Relationship("links", "Node", True, "linked", DeleteRule.CASCADE, Stored.RELATION),
+                Relationship("linked", "Node", True, "links", stored=Stored.DERIVED),
+                Relationship("owns", "Leaf", True, "owners", DeleteRule.CASCADE, Stored.ARRAY),
+            ),
+        ),
+        Entity(
+            "Leaf",
+            relationships=(
+                Relationship("owners", "Node", True, "owns", stored=Stored.DERIVED),
+                Relationship("cover", "Cover", inverse="leaf", delete_rule=DeleteRule.CASCADE),
             ),
-        )
+        ),
+        Entity(
+            "Cover",
+            relationships=(
+                Relationship("leaf", "Leaf", inverse="cover"),
+                Relationship("tags", "Tag", True, "covers", DeleteRule.CASCADE, Stored.DERIVED),
+            ),
+        ),
+        Entity("Tag", relationships=(Relationship("covers", "Cover", True, "tags", stored=Stored.RELATION),)),
     )
-    nodes = spark.createDataFrame([], model.local_schema("Node"))
-    with pytest.raises(ValueError, match="comes back"):
-        save.cascade_levels(model, {"Node": nodes}, "Node", nodes.select("uid"))
+)
+
+
+def graph_rows(spark, entity, *rows):
+    base = {"entity": entity, "status": 2, "is_dirty": False, "created_remotely": True}
+    return table(spark, GRAPH.local_schema(entity), [{**base, **r} for r in rows])
+
+
+def graph_edges(spark, entity, *pairs):
+    return spark.createDataFrame([(a, entity, b) for a, b in pairs], "src_uid string, dst_entity string, dst_uid string")
+
+
+def graph(spark):
+    to = lambda uid, entity="Node": ref(entity, uid)
+    tables = {
+        "Node": graph_rows(
+            spark,
+            "Node",
+            {"uid": "n0"},
+            {"uid": "n1", "parent": to("n0"), "owns": [to("l1", "Leaf"), to("ghost", "Leaf"), None]},
+            {"uid": "n2", "parent": to("n1")},
+            {"uid": "n3"},  # n2 -> n3 -> n4 -> n2 by links
+            {"uid": "n4", "owns": [to("l2", "Leaf")]},
+            {"uid": "n5", "parent": to("n5")},
+            {"uid": "n6", "owns": [to("l3", "Leaf"), to("l1", "Leaf")]},
+        ),
+        "Leaf": graph_rows(spark, "Leaf", {"uid": "l1", "cover": to("c1", "Cover")}, {"uid": "l2"}, {"uid": "l3", "cover": to("c2", "Cover")}),
+        "Cover": graph_rows(spark, "Cover", {"uid": "c1"}, {"uid": "c2"}),
+        "Tag": graph_rows(spark, "Tag", {"uid": "t1"}, {"uid": "t2"}, {"uid": "n0"}),
+    }
+    edges = {
+        "Node.links": graph_edges(spark, "Node", ("n2", "n3"), ("n3", "n4"), ("n4", "n2"), ("n4", "nowhere"), ("n6", "n3"), ("n6", "n5")),
+        "Tag.covers": graph_edges(spark, "Cover", ("t1", "c1"), ("t2", "c2"), ("t2", "c1")),
+    }
+    return tables, edges
+
+
+def one(spark, *keys):
+    return spark.createDataFrame([(k,) for k in keys], "uid string")
+
+
+def test_cascades_over_any_stored_form_and_in_circles(spark):
+    tables, edges = graph(spark)
+    found = save.gone_keys(GRAPH, tables, {"Node": one(spark, "n0", "n0")}, edges)
+    assert {root: sorted(uids(rows)) for root, rows in found.items()} == {
+        "Node": ["n0", "n1", "n2", "n3", "n4"],
+        "Leaf": ["l1", "l2"],
+        "Cover": ["c1"],
+        "Tag": ["t1", "t2"],
+    }
+    itself = save.gone_keys(GRAPH, tables, {"Node": one(spark, "n5")}, edges)
+    assert {root: uids(rows) for root, rows in itself.items()} == {"Node": ["n5"]}
+
+
+def test_deletes_over_edges_leave_no_edge_behind(spark):
+    tables, edges = graph(spark)
+    after = save.delete_rows(GRAPH, tables, "Node", one(spark, "n0"), edges=edges)
+    assert [tuple(r) for r in after.edges["Node.links"].collect()] == [("n6", "Node", "n5")]
+    assert after.edges["Tag.covers"].count() == 0
+    nodes = by_uid(after.tables["Node"])
+    assert {u for u, r in nodes.items() if r["status"] == 3} == {"n0", "n1", "n2", "n3", "n4"}
+    assert nodes["n6"]["is_dirty"] and nodes["n6"]["owns"] == [ref("Leaf", "l3")] and not nodes["n5"]["is_dirty"]
+    removed = save.delete_rows(GRAPH, tables, "Node", one(spark, "n0"), remove=True, edges=edges)
+    assert sorted(uids(removed.tables["Node"])) == ["n5", "n6"] and not by_uid(removed.tables["Node"])["n6"]["is_dirty"]
+
+
+def test_a_long_chain_goes_whole(spark):
+    rows = [{"uid": f"n{i}", **({"parent": ref("Node", f"n{i - 1}")} if i else {})} for i in range(40)]
+    tables = {"Node": graph_rows(spark, "Node", *rows)}
+    found = save.gone_keys(GRAPH, tables, {"Node": one(spark, "n7")})
+    assert sorted(uids(found["Node"])) == sorted(f"n{i}" for i in range(7, 40))
+
+
+def test_a_batch_with_members(spark):
+    tables, edges = graph(spark)
+    given = save.Members(one(spark, "n6", "n5"), graph_edges(spark, "Node", ("n6", "n4"), ("n6", "fresh"), ("other", "n1")))
+    after = save.save_batch(GRAPH, tables, deletes={"Cover": one(spark, "c2")}, edges=edges, members={"Node.links": given})
+    links = sorted((r["src_uid"], r["dst_uid"]) for r in after.edges["Node.links"].collect())
+    assert links == [("n2", "n3"), ("n3", "n4"), ("n4", "n2"), ("n4", "nowhere"), ("n6", "fresh"), ("n6", "n4")]
+    nodes = by_uid(after.tables["Node"])
+    assert (nodes["fresh"]["status"], nodes["fresh"]["created_remotely"]) == (1, False)
+    assert {u for u, r in nodes.items() if r["is_dirty"]} == {"n5", "n6"}
+    assert [(r["src_uid"], r["dst_uid"]) for r in after.edges["Tag.covers"].collect()] == [("t1", "c1")]
+    assert {u: r["status"] for u, r in by_uid(after.tables["Tag"]).items()} == {"t1": 2, "t2": 3, "n0": 2}
 
 
 def test_batch_sizes(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,95 @@ def test_rows_in_mixed_order_end_the_same(spark, store):
     assert sorted(uids(store.read("Book"))) == ["b1", "b2"]
 
 
+def final(store):
+    rows = store.read("Book", clock=True).drop("is_dirty", "created_remotely")
+    gone = store.read("Book.gone", clock=True).select("uid", "last_modified", "_tie_number", "_digest")
+    return sorted(map(str, rows.collect())), sorted(map(str, gone.collect()))
+
+
+def test_any_cut_and_order_of_a_feed_ends_the_same(spark, tmp_path):
+    """Versions with the same time, some with the same tie break too, and deletes among them."""
+    pick = random.Random(11)
+    rows = [
+        {"uid": f"b{pick.randrange(6)}", "name": f"v{i}", "status": pick.choice([2, 2, 3]), "updated_at": at(pick.randrange(5))}
+        for i in range(60)
+    ]
+    ties = [i % 3 for i in range(60)]
+    ends = []
+    for number, cuts in enumerate(([60], [20, 40, 60], [7, 8, 30, 60])):
+        order = list(range(60))
+        pick.shuffle(order)
+        store = SnapshotStore(spark, str(tmp_path / f"s{number}"), LIBRARY, buckets=4)
+        for i, (start, end) in enumerate(zip([0, *cuts], cuts)):
+            some = order[start:end]
+            batch = remote(spark, "Book", *[{**rows[j], "uid": rows[j]["uid"], "format": str(ties[j])} for j in some])
+            apply_batch(store, "Book", batch.withColumn("tie", F.col("format").cast("int")).drop("format"), i, tie_break="tie")
+        ends.append(final(store))
+    assert ends[0] == ends[1] == ends[2] and ends[0][0] and ends[0][1]
+
+
+def test_of_versions_with_one_time_the_tie_break_decides(spark, store):
+    def version(name, tie):
+        return remote(spark, "Book", {"uid": "b1", "name": name, "updated_at": at(1)}).withColumn("tie", F.lit(tie))
+
+    for number, (name, tie) in enumerate([("v2", 2), ("v1", 1), ("v10", 10), ("v10", 10)]):
+        apply_batch(store, "Book", version(name, tie), number, tie_break="tie")
+    assert by_uid(store.read("Book"))["b1"]["name"] == "v10"
+    assert spark.read.parquet(f"{store.path}/late/Book/stream=/batch=1").count() == 1
+    assert spark.read.parquet(f"{store.path}/late/Book/stream=/batch=3").count() == 0
+
+
+def test_a_version_that_a_pull_has_read_is_not_read_again(spark, store):
+    store.commit({"Book": books(spark, 1, last_modified=at(1), is_dirty=True)})
+    apply_batch(store, "Book", remote(spark, "Book", {"uid": "b1", "name": "remote", "updated_at": at(1)}), 0)
+    assert by_uid(store.read("Book"))["b1"]["name"] == "Book#1"
+
+
+def test_deletions_are_forgotten_behind_the_slowest_stream(spark, store):
+    def batch(*rows):
+        return remote(spark, "Book", *[{"uid": u, "status": s, "updated_at": at(t)} for u, s, t in rows])
+
+    day = timedelta(seconds=10)
+    apply_batch(store, "Book", batch(("b1", 3, 1), ("b2", 2, 1)), 0, stream="a", keep_deleted=day)
+    apply_batch(store, "Book", batch(("b3", 2, 2)), 0, stream="slow", keep_deleted=day)
+    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 50) for i in range(30)]), 1, stream="a", keep_deleted=day)
+    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 51) for i in range(30)]), 2, stream="a", keep_deleted=day)
+    assert uids(store.read("Book.gone")) == ["b1"]  # the slow stream may still bring an older version
+    apply_batch(store, "Book", batch(("d", 2, 60)), 1, stream="slow", keep_deleted=day)
+    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 61) for i in range(30)]), 3, stream="a", keep_deleted=day)
+    assert uids(store.read("Book.gone")) == []
+    apply_batch(store, "Book", batch(("b1", 2, 0), ("b2", 2, 3)), 4, stream="a", keep_deleted=day)
+    now = by_uid(store.read("Book"))
+    assert "b1" not in now and now["b2"]["last_modified"] == at(3)
+    assert uids(spark.read.parquet(f"{store.path}/late/Book/stream=a/batch=4")) == ["b1"]
+
+
+def test_rows_with_faults_of_their_own_are_errors(spark, store):
+    rows = remote(
+        spark,
+        "Book",
+        {"uid": "b1", "updated_at": at(1)},
+        {"uid": "b2", "updated_at": at(1), "author": {"entity": None, "uid": "a1"}},
+        {"uid": "b3", "updated_at": at(1), "author": ref("Ghost", "g1")},
+        {"uid": "b4", "updated_at": at(1)},
+    ).withColumn("status", F.when(F.col("uid") != "b4", F.col("status")))
+    apply_batch(store, "Book", rows, 0)
+    assert uids(store.read("Book")) == ["b1"]
+    found = spark.read.parquet(f"{store.path}/errors/Book/stream=/batch=0")
+    assert {r["uid"]: r["fault"] for r in found.collect()} == {
+        "b2": "error_malformed_reference", "b3": "error_unknown_target", "b4": "error_missing_value",
+    }
+
+
+def test_a_removal_in_the_stream_takes_edges_along(spark, store):
+    pairs = [("u1", "u2"), ("u2", "u3"), ("u3", "u1"), ("u4", "u3")]
+    edges = spark.createDataFrame([(a, "Publisher", b) for a, b in pairs], "src_uid string, dst_entity string, dst_uid string")
+    store.commit({"Publisher": local(spark, "Publisher", *[{"uid": f"u{i}"} for i in range(1, 5)]), "Publisher.partners": edges})
+    apply_batch(store, "Publisher", remote(spark, "Publisher", {"uid": "u3", "status": 3, "updated_at": at(2)}), 0)
+    assert sorted(uids(store.read("Publisher"))) == ["u1", "u2", "u4"]
+    assert [(r["src_uid"], r["dst_uid"]) for r in store.read("Publisher.partners").collect()] == [("u1", "u2")]
+
+
 def test_rows_that_no_table_can_take_are_errors(spark, store):
     rows = remote(spark, "Book", {"uid": "b1", "updated_at": at(1)}, {"uid": "x", "entity": "Ghost"}, {"uid": "b2", "updated_at": at(1)})
     rows = rows.withColumn("updated_at", F.when(F.col("uid") != "b2", F.col("updated_at")))
