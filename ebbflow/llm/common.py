@@ -7,10 +7,11 @@ import uuid
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructType
 
 from ebbflow.session import materialized, shared_dir
 
-__all__ = ["drop", "fold", "materialized", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file", "tokenizer_pattern", "with_position"]
+__all__ = ["drop", "fold", "materialized", "one_row_per_id", "open_in", "open_out", "run_folder", "scratch", "table", "tokenizer_file", "tokenizer_pattern", "with_position"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,30 @@ def drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def one_row_per_id(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, of an id that comes more than once the row with the least text (a null last), then the least
+    of its other columns. Rows without an id stay. Where no id repeats, which the ids alone tell, nothing moves."""
+    twice = docs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    twice = materialized(twice.filter("_n > 1").select(key))
+    if twice.isEmpty():
+        return docs
+    rest = [c for c in docs.columns if c != key]
+    order = F.struct(F.col(text).isNull(), F.col(text), F.to_json(F.struct(*rest)))
+    one = docs.join(twice, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
+    one = one.select(key, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*docs.columns)
+    return docs.join(twice, key, "left_anti").select(*docs.columns).unionByName(one)
+
+
+def integers_as_text(df: DataFrame) -> DataFrame:
+    """Whole numbers as text, on the way into pandas, which makes floats of them beside a null."""
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)]
+    return df.withColumns({name: F.col(name).cast("string") for name in whole}) if whole else df
+
+
+def integers_again(df: DataFrame, schema: StructType) -> DataFrame:
+    """The way back: columns that are whole numbers in ``schema`` get its types."""
+    whole = {f.name: F.col(f.name).cast(f.dataType) for f in schema.fields if isinstance(f.dataType, IntegralType) and f.name in df.columns}
+    return df.withColumns(whole) if whole else df
 
 
 def _located(uri: str) -> tuple[fs.FileSystem, str]:

@@ -120,9 +120,11 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, wide: bool = F
                 some = batch.iloc[low : low + 500]
                 found = encoder(tokenizer_path).batch([t if isinstance(t, str) else "" for t in some["text"]])
                 ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in found]
-                yield pd.DataFrame({"doc_id": some["doc_id"].astype("Int64").values, "ids": ids})
+                yield pd.DataFrame({"doc_id": some["doc_id"].values, "ids": ids})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids binary")
+    # Ids go through pandas as text, which keeps them whole beside a null one.
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, ids binary")
+    return found.select(F.col("doc_id").cast("long"), "ids")
 
 
 def count_ids(encoded: DataFrame, wide: bool = False) -> DataFrame:
@@ -286,17 +288,18 @@ def compress(encoded: DataFrame, lengths: np.ndarray, wide: bool = False, bounds
                 starts = ends - sizes[low:high]
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].astype("Int64").values,
+                        "doc_id": part["doc_id"].values,
                         "tokens": sizes[low:high],
                         "checks": [within[a:b:BLOCK].astype("<i8").tobytes() for a, b in zip(starts, ends, strict=True)],
                         "bits": [data[a:b] for a, b in zip(first, first[1:], strict=False)],
-                        "part": [-1 if pd.isna(x) else bisect_left(bounds, x) for x in part["doc_id"].astype("Int64")],
+                        "part": [bisect_left(bounds, int(x)) if isinstance(x, str) else -1 for x in part["doc_id"]],
                     }
                 )
 
-    return encoded.select("doc_id", "ids").mapInPandas(
-        run, "doc_id long, tokens long, checks binary, bits binary, part long"
+    found = encoded.select(F.col("doc_id").cast("string"), "ids").mapInPandas(
+        run, "doc_id string, tokens long, checks binary, bits binary, part long"
     )
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def write_files(compressed: DataFrame, lengths: np.ndarray, folder: str, max_bytes: int = 64 << 20) -> DataFrame:
@@ -327,7 +330,7 @@ def write_files(compressed: DataFrame, lengths: np.ndarray, folder: str, max_byt
                     path = f"{folder}/{task:06d}-{uuid.uuid4().hex}.huf"
                     out, part, ids, tokens, checks, sizes = open_out(path), now, [], [], [], []
                     out.write(MAGIC)
-                ids.append(None if pd.isna(doc_id) else int(doc_id))
+                ids.append(int(doc_id) if isinstance(doc_id, str) else None)
                 tokens.append(n)
                 checks.append(check)
                 sizes.append(len(bits))
@@ -336,7 +339,7 @@ def write_files(compressed: DataFrame, lengths: np.ndarray, folder: str, max_byt
         if out is not None:
             yield close()
 
-    return compressed.select("doc_id", "tokens", "checks", "bits", "part").mapInPandas(run, MANIFEST)
+    return compressed.select(F.col("doc_id").cast("string"), "tokens", "checks", "bits", "part").mapInPandas(run, MANIFEST)
 
 
 FILE = ["part", "first_row", "file", "docs", "tokens", "bytes"]
@@ -382,6 +385,13 @@ def read_files(files: DataFrame) -> DataFrame:
     return files.select("file", "start").mapInPandas(run, "doc_id long, start long, ids binary")
 
 
+def _vocabulary(tokenizer_path: str, end_id: int) -> int:
+    """One more than the largest id that can come up."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
+
+
 def write_corpus(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, limit: int = 16, wide: bool = False
 ) -> DataFrame:
@@ -391,6 +401,7 @@ def write_corpus(
     rows of a part. What is shuffled into order are the compressed streams, not texts or ids.
     """
     spark = docs.sparkSession
+    wide = wide or _vocabulary(tokenizer_path, end_id) > 1 << 16
     encoded, path = scratch(encode(docs, tokenizer_path, end_id, wide), "ids")
     counted = count_ids(encoded, wide).toPandas()
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)

@@ -174,7 +174,7 @@ def predict(docs: DataFrame, model: Model, settings: Settings = Settings()) -> D
 
         model = shared.value
         count = len(model.languages)
-        known, rows = {}, np.zeros((1 << 12, count), np.float32)
+        known, rows, lettered = {}, np.zeros((1 << 12, count), np.float32), np.zeros(1 << 12, bool)
         for batch in batches:
             texts = batch.column(at).to_pylist()
             if len(known) > REMEMBERED:
@@ -191,14 +191,20 @@ def predict(docs: DataFrame, model: Model, settings: Settings = Settings()) -> D
                     for word in set(words).difference(known):
                         if len(known) == len(rows):
                             rows = np.concatenate([rows, np.zeros_like(rows)])
+                            lettered = np.concatenate([lettered, np.zeros_like(lettered)])
                         rows[len(known)] = model.scores[subwords(word, settings)].mean(0)
+                        lettered[len(known)] = any(map(str.isalpha, word))  # or number forms alone, such as halves
                         known[word] = len(known)
                     index += [known[w] for w in words]
             sizes = np.diff([*starts, len(index)])
             labels, probs, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
             (full,) = np.nonzero(sizes)
             if len(full):
-                sums = np.add.reduceat(rows[np.asarray(index)].astype(np.float64), np.asarray(starts)[full], axis=0)
+                at_words, at_texts = np.asarray(index), np.asarray(starts)[full]
+                sums = np.add.reduceat(rows[at_words].astype(np.float64), at_texts, axis=0)
+                letters = np.logical_or.reduceat(lettered[at_words], at_texts)
+                full, sums = full[letters], sums[letters]
+            if len(full):
                 p = _softmax((sums / sizes[full, None] + model.bias) * model.temperature)
                 best = p.argmax(1)
                 probs[full] = p.max(1)

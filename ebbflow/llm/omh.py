@@ -18,28 +18,34 @@ do all texts of up to ``short`` words, whose sketches rarely agree, and the long
 Two texts are near when 1 - distance / length of the longer is at least ``similarity``.
 
 Defined results: null texts and texts without a word are copies of each other. Rows that repeat a doc_id are one
-document. Rows with a null doc_id get the class of their copies, or null. Other columns stay out.
+document, with the least of their texts. Rows with a null doc_id get the class of their copies, or null. Other columns stay out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbflow.llm.common import materialized
+from ebbflow.llm.common import materialized, one_row_per_id
 from ebbflow.llm.graph import components
+from ebbflow.llm.workspace import Workspace
 
 WORDS = re.compile(r"\w+")
 REMEMBERED = 500_000
+SKETCHED = 50_000
+# Of all texts' characters, the share that the pairs of one slice of an alignment may bring to the shuffle.
+SLICE = 0.5
 COUNTERS = 1 << 19  # of words, for an order of them
 
 
@@ -133,19 +139,23 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
+        done: dict[bytes, np.ndarray] = {}  # copies in one task are sketched once
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            if len(done) > SKETCHED:
+                done.clear()
+            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
                 words = words_of(text)
-                hashes = hashed(words, known)
                 digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                rows.append((doc_id, digest, len(words), sketch(hashes, settings)))
-            out = pd.DataFrame(rows, columns=["doc_id", "digest", "n_words", "sketch"])
-            yield out.astype({"doc_id": "Int64"})
+                if digest not in done:
+                    done[digest] = sketch(hashed(words, known), settings)
+                rows.append((doc_id, digest, len(words), done[digest]))
+            yield pd.DataFrame(rows, columns=["id", "digest", "n_words", "sketch"])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, digest binary, n_words long, sketch array<long>"
-    )
+    # As text: pandas would make floats of all ids of a batch that has a null one.
+    named = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    found = named.mapInPandas(run, "id string, digest binary, n_words int, sketch array<long>")
+    return found.select(F.col("id").cast("long").alias("doc_id"), "digest", "n_words", "sketch")
 
 
 # ---- alignment ---------------------------------------------------------------------------------------------
@@ -222,16 +232,14 @@ def distance_within(a: list, b: list, most: int) -> int | None:
         d *= 2
 
 
-def align(pairs: DataFrame, docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """a, b, distance, similarity of those pairs (a, b: node ids) that are similar enough.
+def align(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """a, b, distance, similarity of those pairs (a, b: nodes) that are similar enough; ``texts``: node, text.
 
-    Both texts of a pair come by joins; only texts that some pair needs are shuffled.
+    Both texts of a pair come by joins. Where texts are bucketed by node, only the pairs are shuffled for the first
+    of them, and the pairs with one text for the second.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = materialized(texts)
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
+    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,9 +286,10 @@ def word_counts(texts: DataFrame) -> np.ndarray:
         known: dict[str, int] = {}
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                at = labelled(hashed(words_of(text), known)) & np.uint64(COUNTERS - 1)
-                np.add.at(total, at.astype(np.int64), 1)
+            found = [labelled(hashed(words_of(text), known)) for text in batch["text"]]
+            if found:
+                at = np.concatenate(found) & np.uint64(COUNTERS - 1)
+                total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
         (at,) = np.nonzero(total)
         yield pd.DataFrame({"at": at, "n": total[at]})
 
@@ -297,23 +306,41 @@ def prefixes(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
+        often = counts.value
         for batch in batches:
-            for node, group, text in batch.itertuples(index=False, name=None):
+            firsts, lengths = [], []
+            for text in batch["text"]:
                 words = labelled(hashed(words_of(text), known))
-                rank = np.lexsort((words, counts.value[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]))
-                most = int(len(words) * (1 - settings.similarity) + 1e-9)
-                first = words[rank[: most + settings.common]].view(np.int64)
-                yield pd.DataFrame({"node": node, "class": group, "n_words": len(words), "word": first})
-
-    return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words long, word long")
-
-
-def by_words(members: DataFrame, settings: Settings = Settings()) -> DataFrame:
+                keep = int(len(words) * (1 - settings.similarity) + 1e-9) + settings.common
+                seen = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                if keep < len(words):  # the rarest, and all that are as rare as the last of them
+                    rare = seen <= np.partition(seen, keep - 1)[keep - 1]
+                    words, seen = words[rare], seen[rare]
+                    lengths.append(len(rare))
+                else:
+                    lengths.append(len(words))
+                firsts.append(words[np.lexsort((words, seen))[:keep]].view(np.int64))
+            if firsts:
+                sizes = [len(f) for f in firsts]
+                yield pd.DataFrame(
+                    {
+                        "node": np.repeat(batch["node"].to_numpy(), sizes),
+                        "class": np.repeat(batch["class"].to_numpy(), sizes),
+                        "n_words": np.repeat(np.asarray(lengths, np.int32), sizes),
+                        "word": np.concatenate(firsts),
+                    }
+                )
+
+    return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words int, word long")
+
+
+def by_words(members: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
     """a, b: all pairs of different classes among texts (node, class, text) that can be similar enough."""
-    words = materialized(prefixes(members, settings))
+    everything = work.keep(prefixes(members, settings))
     # Words of one class alone link nothing.
-    several = words.groupBy("word").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
-    words = materialized(words.join(several.filter("_low < _high").select("word"), "word", "left_semi"))
+    several = everything.groupBy("word").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    words = work.keep(everything.join(several.filter("_low < _high").select("word"), "word", "left_semi"))
+    work.drop(everything)
     left = words.select("word", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("n_words").alias("a_words"))
     right = words.select("word", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("n_words").alias("b_words"))
     met = (F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class")) & ~_apart("a_words", "b_words", settings)
@@ -321,57 +348,118 @@ def by_words(members: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.common).select("a", "b")
 
 
+def align_all(pairs: DataFrame, texts: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
+    """a, b of the pairs that are similar enough, aligned slice by slice.
+
+    A pair brings a text to the shuffle, and there may be many more pairs than texts. A slice brings ``SLICE`` of all
+    texts' characters at most, on average, and its shuffle goes before the next one's; the number of slices follows
+    the ratio of pairs to texts, not the size of the data.
+    """
+    sizes = work.keep(texts.select("node", F.length("text").alias("n")))
+    whole = sizes.agg(F.sum("n")).first()[0] or 1
+    brought = pairs.join(sizes, pairs["b"] == sizes["node"]).agg(F.sum("n")).first()[0] or 0
+    work.drop(sizes)
+    slices = max(1, -(-brought // max(1, int(whole * SLICE))))
+    parts = []
+    for i in range(slices):
+        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == i)
+        with Workspace(pairs.sparkSession, "omh-slice"):
+            parts.append(work.keep(align(some, texts, settings).select("a", "b")))
+    return work.keep(reduce(DataFrame.unionByName, parts))
+
+
+def _bucketed(texts: DataFrame, folder: str, buckets: int) -> tuple[DataFrame, str]:
+    """Texts (node, text) written in buckets of their node, so that no join with them moves them; the table's name."""
+    name = f"omh_{uuid.uuid4().hex}"
+    writer = texts.repartition(buckets, "node").write.format("parquet").bucketBy(buckets, "node").sortBy("node")
+    writer.option("compression", "zstd").option("path", folder).saveAsTable(name)
+    return texts.sparkSession.table(name), name
+
+
 def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id of the class), copy_of (the smallest doc_id with the same words)."""
-    found = materialized(sketches(docs, settings))
-    first = materialized(found.groupBy("digest").agg(F.min("doc_id").alias("copy_of")))
-    nodes = found.join(first.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nodes = materialized(nodes.filter("size(sketch) > 0").select(F.col("doc_id").alias("node"), "n_words", "sketch"))
-    buckets = nodes.select("node", "n_words", F.explode("sketch").alias("bucket"))
-    links = seen = classes = shared = None
+    """doc_id, class_id (the smallest doc_id of the class), copy_of (the smallest doc_id with the same words).
+
+    Tables and shuffles of a step go with it: what stays are ids, sketches of distinct texts, and one copy of the texts
+    that share a sketch with another, which each round of alignments reads where it lies.
+    """
+    spark = docs.sparkSession
+    docs = one_row_per_id(docs.select("doc_id", "text"))
+    with Workspace(spark, "omh") as work:
+        with Workspace(spark, "omh-sketches") as brief:
+            found = brief.keep(sketches(docs, settings))
+            first = brief.keep(found.groupBy("digest").agg(F.min("doc_id").alias("copy_of")))
+            members = work.keep(found.select("doc_id", "digest").join(first, "digest").select("doc_id", "copy_of").distinct())
+            heads = first.select(F.col("copy_of").alias("doc_id"))
+            nodes = found.filter("size(sketch) > 0").join(heads, "doc_id", "left_semi")
+            nodes = work.keep(nodes.select(F.col("doc_id").alias("node"), "n_words", "sketch"))
+        table = None
+        try:
+            classes, table = _linked(docs, nodes, work, settings)
+            classed = _classed(members, classes, "copy_of")
+            return materialized(classed.select("doc_id", F.col("copy_of_class").alias("class_id"), "copy_of"))
+        finally:
+            if table is not None:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, work: Workspace, settings: Settings) -> tuple[DataFrame | None, str | None]:
+    """node, class of all nodes that are linked to another one; and the table of their texts."""
+    spark = docs.sparkSession
+    exploded = nodes.select("node", F.explode("sketch").alias("bucket"))
+    leaders = exploded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    with Workspace(spark, "omh-leaders") as brief:
+        leaders = brief.keep(leaders)
+        buckets = work.keep(exploded.join(leaders.select("bucket", "leader", (F.col("_n") > 2).alias("many")), "bucket"))
+    many = buckets.filter("many").select("bucket", "node")
+    # Whose text can be needed: who shares a sketch, and whoever can be near a short text.
+    short = nodes.filter(F.col("n_words") <= settings.short / settings.similarity).select("node")
+    wanted = work.keep(buckets.select("node").unionByName(short).distinct())
+    sizes = nodes.select("node", "n_words")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts, table = _bucketed(texts, f"{work.folder}/texts", parts)
+
+    links = seen = classes = None
+    rows = buckets.select("bucket", "node", "leader")
     while True:
-        leaders = buckets.groupBy("bucket").agg(
-            F.min(F.struct("node", "n_words")).alias("_first"), F.count(F.lit(1)).alias("_n")
-        )
-        leaders = leaders.filter("_n > 1").select(
-            "bucket", F.col("_first.node").alias("leader"), F.col("_first.n_words").alias("leader_words"), "_n"
-        )
-        rows = materialized(buckets.join(leaders, "bucket"))
-        shared = rows if shared is None else shared
-        rows = rows.filter("node <> leader")
-        met = _classed(_classed(rows.select("node", "n_words", "leader", "leader_words").distinct(), classes, "node"), classes, "leader")
-        pairs = met.filter("node_class <> leader_class").filter(~_apart("n_words", "leader_words", settings))
-        pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = materialized(pairs)
-        n = pairs.count()
-        if not n:
-            break
-        fresh = materialized(align(pairs, docs, settings).select("a", "b"))
-        links = fresh if links is None else links.unionByName(fresh)
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        classes = components(links)
-        if fresh.count() * 10 < n:
-            break
-        # Who is not in the leader's class stays for the next leader.
-        left = _classed(_classed(rows.select("bucket", "node", "n_words", "leader"), classes, "node"), classes, "leader")
-        buckets = materialized(left.filter("node_class <> leader_class").select("node", "n_words", "bucket"))
+        with Workspace(spark, "omh-round") as brief:
+            met = rows.filter("node <> leader").select("node", "leader").distinct()
+            met = _classed(_classed(met, classes, "node"), classes, "leader").filter("node_class <> leader_class")
+            met = met.join(sizes, "node").join(sizes.select(F.col("node").alias("leader"), F.col("n_words").alias("leader_words")), "leader")
+            pairs = met.filter(~_apart("n_words", "leader_words", settings))
+            pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+            if seen is not None:
+                pairs = pairs.join(seen, ["a", "b"], "left_anti")
+            pairs = work.keep(pairs)
+            n = pairs.count()
+            if not n:
+                break
+            fresh = align_all(pairs, texts, work, settings)
+            links = fresh if links is None else links.unionByName(fresh)
+            seen = pairs if seen is None else seen.unionByName(pairs)
+            old, classes = classes, work.keep(components(links, brief.keep))
+            work.drop(old)
+            if fresh.count() * 10 < n:
+                break
+            # Who is not in the leader's class stays for the next leader.
+            left = _classed(_classed(rows.filter("node <> leader"), classes, "node"), classes, "leader")
+            left = brief.keep(left.filter("node_class <> leader_class").select("bucket", "node"))
+            following = left.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n"))
+            last, rows = rows, work.keep(left.join(following.filter("_n > 1").select("bucket", "leader"), "bucket"))
+            work.drop(last)
     # All nodes of buckets in which some pair may not have been compared. Two nodes were.
-    many = _classed(shared.filter("_n > 2").select("bucket", "node"), classes, "node")
-    mixed = many.groupBy("bucket").agg(F.min("node_class").alias("_low"), F.max("node_class").alias("_high")).filter("_low < _high")
-    members = many.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "node_class")
-    # Short texts meet in their words, whether or not a sketch agrees; so do the longest that can be near them.
-    few = _classed(nodes.filter(F.col("n_words") <= settings.short / settings.similarity).select("node"), classes, "node")
-    members = materialized(members.unionByName(few).distinct().withColumnRenamed("node_class", "class"))
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(members, "node").dropDuplicates(["node"])
-    texts = materialized(texts)
-    pairs = by_words(texts, settings)
-    pairs = materialized(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
-    if not pairs.isEmpty():
-        fresh = align(pairs, texts.withColumnRenamed("node", "doc_id"), settings).select("a", "b")
-        fresh = materialized(fresh)
-        classes = components(fresh if links is None else links.unionByName(fresh))
-    members = found.select("doc_id", "digest").join(first, "digest").select("doc_id", "copy_of").distinct()
-    classed = _classed(members, classes, "copy_of")
-    return classed.select("doc_id", F.col("copy_of_class").alias("class_id"), "copy_of")
+    with Workspace(spark, "omh-words") as brief:
+        several = _classed(many, classes, "node")
+        mixed = several.groupBy("bucket").agg(F.min("node_class").alias("_low"), F.max("node_class").alias("_high")).filter("_low < _high")
+        chosen = several.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "node_class")
+        # Short texts meet in their words, whether or not a sketch agrees; so do the longest that can be near them.
+        few = _classed(short, classes, "node").select("node", "node_class")
+        chosen = brief.keep(chosen.unionByName(few).distinct().withColumnRenamed("node_class", "class"))
+        work.drop(buckets)
+        with Workspace(spark, "omh-prefixes") as words:
+            pairs = by_words(texts.join(chosen, "node"), words, settings)
+            pairs = brief.keep(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            fresh = align_all(pairs, texts, work, settings)
+            classes = work.keep(components(fresh if links is None else links.unionByName(fresh), brief.keep))
+    return classes, table

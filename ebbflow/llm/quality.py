@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbflow.llm.common import integers_again, integers_as_text
+
 # Bytes of each kind (bytes from 128 on are parts of letters), and the share expected in prose.
 _KINDS = np.zeros(256, np.int64)
 _KINDS[list(b"abcdefghijklmnopqrstuvwxyz")] = 1
@@ -89,10 +91,11 @@ def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Dat
             texts = batch.pop("text")
             yield batch.assign(x=[statistics(t if isinstance(t, str) else None) for t in texts])
 
-    rows = docs.select(*keep, "text")
+    kept = docs.select(*keep, "text")
+    rows = integers_as_text(kept)
     x = T.StructField("x", T.ArrayType(T.DoubleType()))
     schema = T.StructType([*rows.drop("text").schema.fields, x])
-    return rows.mapInPandas(run, schema)
+    return integers_again(rows.mapInPandas(run, schema), kept.schema)
 
 
 @dataclass(frozen=True)
@@ -184,7 +187,7 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model:
 
 
 def score(featured: DataFrame, model: Model) -> DataFrame:
-    """The rows' own columns without x, score (0 to 1) and predicted."""
+    """The rows' own columns without x, score (0 to 1) and predicted; own columns of these names are replaced."""
     shared = featured.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,6 +197,8 @@ def score(featured: DataFrame, model: Model) -> DataFrame:
                 found = shared.value.scores(x)
                 yield batch.assign(score=found, predicted=(found >= 0.5).astype("int32"))
 
+    own = featured.drop("score", "predicted")
+    rows = integers_as_text(own)
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    schema = T.StructType([*(f for f in featured.schema.fields if f.name != "x"), *added])
-    return featured.mapInPandas(run, schema)
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "x"), *added])
+    return integers_again(rows.mapInPandas(run, schema), own.schema)

@@ -109,7 +109,7 @@ def write_monolithic(rows: DataFrame, folder: str, max_bytes: int = 64 << 20) ->
                 if out is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                     out, squeeze = open_out(path), zlib.compressobj(1, zlib.DEFLATED, GZIP)
-                page_id, first = (None if pd.isna(x) else int(x) for x in (page_id, first))
+                page_id, first = (int(x) if isinstance(x, str) else None for x in (page_id, first))
                 url = url if isinstance(url, str) else None
                 out.write(squeeze.compress(record_head(page_id, url, len(payload), digest, kind, first)))
                 if kind != "revisit":
@@ -125,7 +125,9 @@ def write_monolithic(rows: DataFrame, folder: str, max_bytes: int = 64 << 20) ->
             out.close()
             yield pd.DataFrame({"file": [path]})
 
-    return rows.select("page_id", "url", "payload", "digest", "record_type", "refers_to").mapInPandas(
+    # As text: pandas would make floats of numbers among which is a null, and floats do not hold all of them.
+    page_id, first = (F.col(name).cast("string") for name in ("page_id", "refers_to"))
+    return rows.select(page_id, "url", "payload", "digest", "record_type", first).mapInPandas(
         write, "file string"
     )
 

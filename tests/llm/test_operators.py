@@ -14,11 +14,11 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ebbflow.llm import decontaminate, katz, omh, quotes
+from ebbflow.llm import decontaminate, katz, langid, omh, quality, quotes
 from ebbflow.llm.common import tokenizer_file
 from tests.oracle import compare
 
-from .conftest import documents
+from .conftest import documents, prose
 
 NAMES = sorted(n for n in entry.queries() if re.match(r"op\d+_|pipeline$", n))
 
@@ -267,3 +267,48 @@ def test_pipeline_stages_follow_each_other(spark, tables):
     assert near & {1, 100, 101, 102, 103, 104} == {1} and 110 not in near
     assert near - clean == {120, 121} & near
     assert mixed <= clean and len(mixed) >= 0.6 * len(clean) and tokens == mixed
+
+
+def test_op10_ids_survive_and_repeated_ids_have_one_text(spark):
+    high, copy = 2**53 + 1, 2**53 + 3
+    rows = [(high, prose(1)), (copy, prose(1)), (None, prose(2)), (5, prose(3)), (5, prose(2)), (5, None), (6, prose(2)), (7, prose(3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).selectExpr("*", "1 AS class_id", "'x' AS node", "2 AS bucket")
+    found = {r["doc_id"]: r["class_id"] for r in omh.near_classes(docs).collect()}
+    least = 6 if prose(2) < prose(3) else 7
+    assert found == {high: high, copy: high, None: 5 if least == 6 else 6, 5: 5, 6: 5 if least == 6 else 6, 7: 5 if least == 7 else 7}
+
+
+HIGH = (2**53 + 1, 2**53 + 3)
+
+
+def write(spark, path, schema, rows):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path))
+
+
+def test_large_ids_survive_beside_a_null_one(spark, tmp_path):
+    page = "<html>" + "x" * 200 + "</html>"
+    write(spark, tmp_path / "pages.parquet", "page_id long, url string, html string", [(HIGH[0], "u", page), (HIGH[1], "u", page), (None, "u", page)])
+    pages = {r["page_id"]: r["refers_to"] for r in rows(spark, str(tmp_path), "op1_warc")}
+    assert pages == {HIGH[0]: None, HIGH[1]: HIGH[0], None: HIGH[0]}
+    texts = [(HIGH[0], prose(1), "en", 1), (HIGH[1], prose(2), "en", 2), (None, prose(3), "en", 3)]
+    write(spark, tmp_path / "documents.parquet", "doc_id long, text string, lang string, n_chars long", texts)
+    write(spark, tmp_path / "labels.parquet", "doc_id long, quality int", [(HIGH[0], 1), (HIGH[1], 0)])
+    for name in ("op2_huffman", "op9_quality", "op5_langid", "op7_katz"):
+        assert {r["doc_id"] for r in rows(spark, str(tmp_path), name)} == {*HIGH, None}, name
+
+
+def test_op5_number_forms_are_no_letters(spark):
+    learned = spark.createDataFrame([(i, prose(i, lang), lang) for i in range(40) for lang in ("en", "fr")], "doc_id long, text string, lang string")
+    model = langid.fit(learned)
+    texts = ["½ ² Ⅷ ③", "½ " + prose(500), "", None, "٣٤", "²²²"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
+    assert found[1] == "en" and {found[i] for i in (0, 2, 3, 4, 5)} == {"und"}
+
+
+def test_op9_replaces_columns_of_its_names(spark):
+    docs = spark.createDataFrame([(i, prose(i, ("en", "fr")[i % 2]), i % 2, "mine") for i in range(40)], "doc_id long, text string, quality int, score string")
+    featured = quality.with_statistics(docs, keep=("doc_id", "quality", "score"))
+    model = quality.fit(featured.selectExpr("*", "doc_id % 3 = 0 AS tune"))
+    found = quality.score(featured, model)
+    assert found.columns.count("score") == 1 and dict(found.dtypes)["score"] == "double" and found.count() == 40
