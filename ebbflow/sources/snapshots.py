@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbflow.model import ACCESS, EntityModel, Stored, relaxed
+from ebbflow.model import ACCESS, REFERENCE, EntityModel, Stored, relaxed
 from ebbflow.operators import pull
 from ebbflow.operators.joins import fits_broadcast
 from ebbflow.session import together
@@ -41,6 +41,17 @@ from ebbflow.session import together
 GONE = ".gone"
 
 
+#: Beside an edge table: members that came before the version of their source that has them.
+WAITING = ".waiting"
+
+MEMBERS = T.StructType(
+    [
+        T.StructField("src_uid", T.StringType()),
+        T.StructField("updated_at", T.TimestampNTZType()),
+        T.StructField("members", T.ArrayType(REFERENCE)),
+    ]
+)
+
 EDGES = T.StructType([T.StructField(name, T.StringType()) for name in ("src_uid", "dst_entity", "dst_uid")])
 
 #: What a stream keeps of a version's clock beside its time.
@@ -146,20 +157,22 @@ class SnapshotStore:
     # Tables
 
     def is_edges(self, name: str) -> bool:
-        return "." in name and not name.endswith(GONE)
+        return "." in name and not name.endswith((GONE, WAITING))
 
     def key_of(self, name: str) -> str:
         """The column by which a table's rows are spread."""
-        return "src_uid" if self.is_edges(name) else "uid"
+        return "src_uid" if self.is_edges(name) or name.endswith(WAITING) else "uid"
 
     def time_of(self, name: str) -> str | None:
-        if self.is_edges(name):
+        if self.is_edges(name) or name.endswith(WAITING):
             return None
         return "updated_at" if self.side == "remote" else "last_modified"
 
     def schema(self, name: str) -> T.StructType:
         if self.is_edges(name):
             return EDGES
+        if name.endswith(WAITING):
+            return MEMBERS
         root = name.removesuffix(GONE)
         if self.side == "local":
             return relaxed(self.model.local_schema(root))
@@ -458,7 +471,9 @@ class SnapshotStore:
         fs = self._fs()
         for number in numbers[:-keep]:
             fs.delete(self._path(f"{self.path}/versions/{number:012d}.json"), False)
-        for root in [*[name for top in self.model.roots for name in (top, top + GONE)], *self.edge_names()]:
+        for root in [*self.model.roots, *[top + GONE for top in self.model.roots]] + [
+            name for edges in self.edge_names() for name in (edges, edges + WAITING)
+        ]:
             used = {g for m in kept for g in m.roots.get(root, {}).values()}
             for name in self._names(f"{self.path}/data/{root}"):
                 if name.removeprefix("g=") not in used:

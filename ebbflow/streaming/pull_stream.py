@@ -16,12 +16,18 @@ them by that long. A version older than that is late unless its row is there: it
 Older versions go to ``<store>/late``. Rows that no table can take go to ``<store>/errors`` with the reason: a
 mandatory value is missing, the entity is not one of the root's, a reference lacks a part, or it names an entity
 that the model does not have.
+
+A relationship stored as a relation has a feed of its own: (src_uid, updated_at, members), all members that the
+version of that time has. Members wait beside their table until the row of that very version is there, members of
+an older version than the row's are late, and a row that comes takes what waits for it. So rows and members may come
+in any order, and the store never shows a row with the members of another of its versions.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -29,13 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ebbflow.functions.refs import clean_references, has_malformed
 from ebbflow.model import KEY, EntityModel, Relationship, Status, Stored
 from ebbflow.operators import pull
 from ebbflow.operators.cascades import edges_without, ends
 from ebbflow.operators.joins import join_unique
 from ebbflow.operators.save import apply_gone, bereft_keys, gone_keys, placeholders, references_of, relationships_of
+from ebbflow.operators.relations import replace_edges
 from ebbflow.session import materialized
-from ebbflow.sources.snapshots import CLOCK, GONE, Manifest, SnapshotStore
+from ebbflow.sources.snapshots import CLOCK, GONE, MEMBERS, WAITING, Manifest, SnapshotStore
 
 
 def start_pull(
@@ -160,6 +168,24 @@ def apply_batch(
         for name in tables:
             if store.is_edges(name):
                 tables[name] = edges_without(model, name, tables[name], gone)
+    settled = _settled_members(store, root, incoming)
+    for name, members in settled.items():
+        waiting = name + WAITING
+        touched[name] = touched.get(name, set()) | members.buckets
+        touched[waiting] = members.buckets
+        edges_now = store.read(name, touched[name])
+        edges_now = edges_without(model, name, edges_now, gone) if removes else edges_now
+        tables[name] = replace_edges(edges_now, members.edges, members.sources)
+        tables[waiting] = members.waiting
+        for target, rows in _missing_members(store, name, members.edges, arrived if ends(model, name)[1] == root else None).items():
+            missing[target] = rows if target not in missing else missing[target].unionByName(rows).dropDuplicates(["uid"])
+            more = store.touched(rows)
+            fresh_buckets = more - touched.get(target, set())
+            if target not in tables:
+                tables[target] = store.read(target, more, clock=True)
+            elif fresh_buckets:
+                tables[target] = tables[target].unionByName(store.read(target, fresh_buckets, clock=True))
+            touched[target] = touched.get(target, set()) | more
     for target, rows in missing.items():
         tables[target] = tables[target].unionByName(rows, allowMissingColumns=True)
     kept = store.read(root + GONE, touched[root], clock=True).join(incoming.select(*KEY), list(KEY), "left_anti")
@@ -173,6 +199,103 @@ def apply_batch(
     return True
 
 
+@dataclass
+class _Members:
+    """Members whose source's version is there: their sources and edges, what waits on, and the buckets of all."""
+
+    sources: DataFrame
+    edges: DataFrame
+    waiting: DataFrame
+    buckets: set[int]
+
+
+def _as_edges(members: DataFrame) -> DataFrame:
+    edges = members.select("src_uid", F.explode(clean_references(F.col("members"))).alias("_ref"))
+    return edges.select("src_uid", F.col("_ref.entity").alias("dst_entity"), F.col("_ref.uid").alias("dst_uid")).distinct()
+
+
+def _settled_members(store: SnapshotStore, root: str, incoming: DataFrame) -> dict[str, _Members]:
+    """By edge table of a root's relations: what waited for the versions that have arrived; what waited for versions
+    that these have passed by is dropped."""
+    found, there = {}, store.manifest().roots
+    for name in store.edge_names():
+        if ends(store.model, name)[0] != root or not there.get(name + WAITING):
+            continue
+        there_now = F.col("status") != int(Status.DELETED)
+        rows = materialized(incoming.select(F.col("uid").alias("src_uid"), F.col("last_modified").alias("_at"), there_now.alias("_is")))
+        buckets = store.touched(rows.select(F.col("src_uid").alias("uid")))
+        waiting = store.read(name + WAITING, buckets).join(rows, "src_uid", "left")
+        ready = materialized(waiting.filter((F.col("updated_at") == F.col("_at")) & F.col("_is")).select("src_uid", "members"))
+        on = waiting.filter(F.col("_at").isNull() | (F.col("updated_at") > F.col("_at"))).select(*MEMBERS.names)
+        found[name] = _Members(ready.select("src_uid"), _as_edges(ready), on, buckets)
+    return found
+
+
+def _missing_members(store: SnapshotStore, name: str, edges: DataFrame, arrived: DataFrame | None) -> dict[str, DataFrame]:
+    """Placeholders, by root, for targets of new edges that are not there."""
+    target = ends(store.model, name)[1]
+    named = edges.select(F.col("dst_entity").alias("entity"), F.col("dst_uid").alias("uid"))
+    named = materialized(named.filter(F.col("entity").isin(store.model.family(target))).distinct())
+    there = store.lookup(target, named).select("uid")
+    if arrived is not None:
+        there = there.unionByName(arrived.select("uid"))
+    rows = materialized(placeholders(named, there, created_remotely=True))
+    return {} if rows.isEmpty() else {target: rows}
+
+
+def start_pull_members(
+    feed: DataFrame, store: SnapshotStore, name: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Follow the feed of members of one relationship stored as a relation, ``Entity.relationship``."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        apply_members(store, name, batch, number, _stream_id(store, checkpoint))
+
+    writer = feed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def apply_members(store: SnapshotStore, name: str, batch: DataFrame, number: int, stream: str = "") -> bool:
+    """Apply one micro-batch of members (src_uid, updated_at, members); False when it had been committed before.
+
+    Of two records for one version the one with the greater members, as sorted arrays, counts. Records without a
+    source or a time, or with a member that lacks a part, go to ``<store>/errors``.
+    """
+    current = store.manifest()
+    delivery = f"{name}/{stream}"
+    if number <= current.batches.get(delivery, -1):
+        return False
+    folder = f"{name}/stream={stream}/batch={number}"
+    root, target = ends(store.model, name)
+    sound = F.col("src_uid").isNotNull() & F.col("updated_at").isNotNull() & ~has_malformed(F.col("members"))
+    sound = sound & ~F.coalesce(F.exists("members", lambda r: ~r["entity"].isin(store.model.family(target))), F.lit(False))
+    batch.filter(~sound).write.mode("overwrite").parquet(f"{store.path}/errors/{folder}")
+    tidy = F.coalesce(F.array_sort(F.array_distinct(clean_references(F.col("members")))), F.array().cast(MEMBERS["members"].dataType))
+    given = batch.filter(sound).select("src_uid", "updated_at", tidy.alias("members"))
+    keys = materialized(given.select(F.col("src_uid").alias("uid")).distinct())
+    buckets = store.touched(keys)
+    known = given.unionByName(store.read(name + WAITING, buckets))
+    known = known.groupBy("src_uid", "updated_at").agg(F.max("members").alias("members"))
+    rows = store.lookup(root, keys).select(F.col("uid").alias("src_uid"), F.col("last_modified").alias("_at"))
+    judged = materialized(known.join(rows, "src_uid", "left"))
+    late = F.col("updated_at") < F.col("_at")
+    judged.filter(late).drop("_at").write.mode("overwrite").parquet(f"{store.path}/late/{folder}")
+    ready = materialized(judged.filter(F.col("updated_at") == F.col("_at")).select("src_uid", "members"))
+    waiting = judged.filter(F.col("_at").isNull() | (F.col("updated_at") > F.col("_at"))).select(*MEMBERS.names)
+    new = _as_edges(ready)
+    tables = {
+        name: replace_edges(store.read(name, buckets), new, ready.select("src_uid")),
+        name + WAITING: waiting,
+    }
+    touched = {name: buckets, name + WAITING: buckets}
+    for root_of_target, missing in _missing_members(store, name, new, None).items():
+        touched[root_of_target] = store.touched(missing)
+        held = store.read(root_of_target, touched[root_of_target], clock=True)
+        tables[root_of_target] = held.unionByName(missing, allowMissingColumns=True)
+    store.commit(tables, touched, batches={delivery: number})
+    return True
+
+
 def _aged(versions: DataFrame, forgotten: datetime | None) -> DataFrame:
     """``_age`` of each version beside the clock held: new, late, or again for one that is there already."""
     clock, held = _clock("updated_at"), F.col("_held")
