@@ -172,7 +172,7 @@ def test_any_cut_and_order_of_a_feed_ends_the_same(spark, tmp_path):
     ]
     ties = [i % 3 for i in range(60)]
     ends = []
-    for number, cuts in enumerate(([60], [20, 40, 60], [7, 8, 30, 60])):
+    for number, cuts in enumerate(([60], [20, 60], [7, 60])):
         order = list(range(60))
         pick.shuffle(order)
         store = SnapshotStore(spark, str(tmp_path / f"s{number}"), LIBRARY, buckets=4)
@@ -206,18 +206,16 @@ def test_deletions_are_forgotten_behind_the_slowest_stream(spark, store):
         return remote(spark, "Book", *[{"uid": u, "status": s, "updated_at": at(t)} for u, s, t in rows])
 
     day = timedelta(seconds=10)
-    apply_batch(store, "Book", batch(("b1", 3, 1), ("b2", 2, 1)), 0, stream="a", keep_deleted=day)
-    apply_batch(store, "Book", batch(("b3", 2, 2)), 0, stream="slow", keep_deleted=day)
-    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 50) for i in range(30)]), 1, stream="a", keep_deleted=day)
-    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 51) for i in range(30)]), 2, stream="a", keep_deleted=day)
+    others = [f"c{i}" for i in range(30)]  # in every bucket
+    apply_batch(store, "Book", batch(("b1", 3, 1), ("b2", 2, 1), *[(u, 2, 51) for u in others]), 0, stream="a", keep_deleted=day)
+    apply_batch(store, "Book", batch(("b3", 2, 2), *[(u, 2, 1) for u in others]), 0, stream="slow", keep_deleted=day)
     assert uids(store.read("Book.gone")) == ["b1"]  # the slow stream may still bring an older version
     apply_batch(store, "Book", batch(("d", 2, 60)), 1, stream="slow", keep_deleted=day)
-    apply_batch(store, "Book", batch(*[(f"c{i}", 2, 61) for i in range(30)]), 3, stream="a", keep_deleted=day)
-    assert uids(store.read("Book.gone")) == []
-    apply_batch(store, "Book", batch(("b1", 2, 0), ("b2", 2, 3)), 4, stream="a", keep_deleted=day)
+    apply_batch(store, "Book", batch(("b1", 2, 0), ("b2", 2, 3), *[(u, 2, 61) for u in others]), 1, stream="a", keep_deleted=day)
     now = by_uid(store.read("Book"))
     assert "b1" not in now and now["b2"]["last_modified"] == at(3)
-    assert uids(spark.read.parquet(f"{store.path}/late/Book/stream=a/batch=4")) == ["b1"]
+    assert uids(store.read("Book.gone")) == []
+    assert uids(spark.read.parquet(f"{store.path}/late/Book/stream=a/batch=1")) == ["b1"]
 
 
 def test_rows_with_faults_of_their_own_are_errors(spark, store):
@@ -257,17 +255,17 @@ def links(store):
 
 
 def test_rows_and_members_in_any_order_end_like_a_pull(spark, tmp_path):
-    """Three orders of the same rows and members, against the sync that reads all at once."""
+    """Two orders of the same rows and members, against the sync that reads all at once."""
     versions = [("u1", 1, ["u2"]), ("u2", 1, ["u1", "u9"]), ("u1", 5, ["u2", "u3"]), ("u3", 2, []), ("u2", 4, ["u3"]), ("u4", 3, ["u4"])]
     steps = [("row", i) for i in range(len(versions))] + [("members", i) for i in range(len(versions))]
     found = []
-    for number in range(3):
-        store = SnapshotStore(spark, str(tmp_path / f"s{number}"), LIBRARY, buckets=4)
+    for number in range(2):
+        store = SnapshotStore(spark, str(tmp_path / f"s{number}"), LIBRARY, buckets=2)
         random.Random(number).shuffle(steps)
         counts = {"row": 0, "members": 0}
-        for start in range(0, len(steps), 4):
+        for start in range(0, len(steps), 6):
             for kind in ("row", "members"):
-                some = [versions[i] for k, i in steps[start : start + 4] if k == kind]
+                some = [versions[i] for k, i in steps[start : start + 6] if k == kind]
                 if kind == "row" and some:
                     batch = remote(spark, "Publisher", *[{"uid": u, "name": f"{u}@{t}", "updated_at": at(t)} for u, t, _ in some])
                     apply_batch(store, "Publisher", batch, counts[kind])
