@@ -33,15 +33,23 @@ from ebbflow.llm.common import drop, open_in, open_out, scratch
 
 MAGIC = b"HUF1"
 BLOCK = 1024
+#: Tokens whose streams one task puts in order, about.
+PART = 16_000_000
 #: Pieces whose ids a Python worker remembers, of at most so many characters each.
 REMEMBERED, SHORT = 1_000_000, 40
 
 # How the byte-level vocabulary splits a text before merging.
 _LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 _BLANKS = r"\t\n\v\f\r \xa0"
-PIECES = re.compile(
-    rf" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
-)
+
+
+def _pieces(letters: str, blanks: str) -> re.Pattern:
+    return re.compile(
+        rf" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^{blanks}{letters}0-9]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+"
+    )
+
+
+PIECES, ASCII_PIECES = _pieces(_LETTERS, _BLANKS), _pieces("A-Za-z", r"\t\n\v\f\r ")
 #: Beyond these characters the classes above do not hold: such texts are not split here.
 UNSURE = re.compile(
     "[^\x00-\x1b\x20-\x7f\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027\u2030-\u205e\u20ac\u2122]"
@@ -58,15 +66,17 @@ class Encoder:
     they are.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kind: str = "<u4") -> None:
         from tokenizers import Tokenizer
 
+        self.kind = np.dtype(kind)
+
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, pieces: set[str]) -> dict[str, bytes]:
         """The ids of each piece. Words with a blank before them are encoded together: the blanks part them
@@ -76,37 +86,46 @@ class Encoder:
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
             encoding = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ids = np.asarray(encoding.ids, "<u4").tobytes()
-            cuts = np.flatnonzero(np.diff(np.asarray(encoding.word_ids))) * 4 + 4
+            ids, width = np.asarray(encoding.ids, self.kind).tobytes(), self.kind.itemsize
+            cuts = np.flatnonzero(np.diff(np.asarray(encoding.word_ids))) * width + width
             edges = [0, *cuts.tolist(), len(ids)]
             found.update(zip(some, (ids[a:b] for a, b in zip(edges, edges[1:], strict=False)), strict=True))
         return found
 
     def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+        """The ids as little-endian unsigned integers of the encoder's kind."""
         return self.batch([text])[0]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        split = [
-            None if UNSURE.search(t) or any(s in t for s in self.specials) else PIECES.findall(t) for t in texts
-        ]
-        new = set().union(*(x for x in split if x is not None)) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*(x for x in split if x is not None))
-        self.known.update(self.learn(new))
-        known = self.known
-        out = [self.whole(t) if x is None else b"".join([known[p] for p in x]) for t, x in zip(texts, split, strict=True)]
-        for p in new:
-            if len(p) > SHORT:
-                del known[p]
+        out: list = [None] * len(texts)
+        known, unknown = self.known, {}
+        for i, text in enumerate(texts):
+            if UNSURE.search(text) or any(s in text for s in self.specials):
+                out[i] = self.whole(text)
+                continue
+            pieces = (ASCII_PIECES if text.isascii() else PIECES).findall(text)
+            try:
+                out[i] = b"".join(map(known.__getitem__, pieces))
+            except KeyError:
+                unknown[i] = pieces
+        if unknown:
+            new = set().union(*unknown.values()).difference(known)
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                new = set().union(*unknown.values())
+            known.update(self.learn(new))
+            for i, pieces in unknown.items():
+                out[i] = b"".join(map(known.__getitem__, pieces))
+            for p in new:
+                if len(p) > SHORT:
+                    del known[p]
         return out
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kind: str) -> Encoder:
     """One per Python worker, which serves task after task."""
-    return Encoder(path)
+    return Encoder(path, kind)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, wide: bool = False) -> DataFrame:
@@ -118,9 +137,8 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = 0, wide: bool = F
         for batch in batches:
             for low in range(0, len(batch), 500):
                 some = batch.iloc[low : low + 500]
-                found = encoder(tokenizer_path).batch([t if isinstance(t, str) else "" for t in some["text"]])
-                ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end for x in found]
-                yield pd.DataFrame({"doc_id": some["doc_id"].values, "ids": ids})
+                found = encoder(tokenizer_path, kind).batch([t if isinstance(t, str) else "" for t in some["text"]])
+                yield pd.DataFrame({"doc_id": some["doc_id"].values, "ids": [x + end for x in found]})
 
     # Ids go through pandas as text, which keeps them whole beside a null one.
     found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, ids binary")
@@ -408,13 +426,13 @@ def write_corpus(
     counts[counted["id"]] = counted["n"]
     lengths = code_lengths(counts, max(limit, int(np.count_nonzero(counts)).bit_length()))
     total = int(counts.sum())
-    parts = max(1, min(10_000, total // 16_000_000 + 1))
+    parts = total // PART + 1
     shares = [i / parts for i in range(1, parts)]
     found = encoded.stat.approxQuantile("doc_id", shares, 0.2 / parts) if shares else []
     bounds = tuple(sorted({int(x) for x in found}))
     ordered = (
         compress(encoded, lengths, wide, bounds)
-        .repartition(max(2 * parts, 12), "part")
+        .repartitionById(len(bounds) + 2, F.col("part").cast("int") + 1)  # a part is a task
         .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "tokens", "bits")
     )
     files, _ = scratch(write_files(ordered, lengths, folder), "files")
