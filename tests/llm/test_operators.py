@@ -81,6 +81,68 @@ def test_op3_slots_must_agree(spark, benchmark):
     assert [r["doc_id"] for r in decontaminate.contaminated(docs, same).collect()] == [2]
 
 
+def items_and_documents(spark, items, docs):
+    return (
+        spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
+    )
+
+
+def test_op3_short_items_capitals_and_lost_full_stops(spark):
+    items = ["Compute 17 * 23.", "What is 12 + 34 * 56?", "Who wrote Hamlet?", "Where is the capital of France?", "Yes"]
+    docs = [
+        *items[:4],
+        "he asked Where is the capital of France and went",
+        "where is the capital of france",
+        "we all know who wrote hamlet by now",
+        "Compute 17 * 24.",
+        "Compute 18 * 23.",
+        "Yes, who wrote Macbeth is known, and where the capital of Spain is as well.",
+        None,
+        "",
+    ]
+    found = decontaminate.contaminated(*items_and_documents(spark, items, docs)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (6, 2)}
+    assert all(r["kind"] == "verbatim" and r["share"] <= 1 for r in found)
+
+
+def test_op3_other_names_and_numbers_of_generated_items(spark):
+    words = prose(400, n=300).rstrip(".").split()
+    rng = np.random.default_rng(11)
+    items, docs = [], []
+    for i in range(60):
+        own = [str(w).lower() for w in rng.choice(words, 24)]
+        own[5], own[14] = "Zorblax", "17"
+        items.append(" ".join(own).capitalize() + ".")
+        own[5], own[14] = "Quimby", "4" + str(i)
+        docs.append("Once upon a time there was a test " + " ".join(own) + " and so on it went")
+        docs.append(" ".join(w for k, w in enumerate(own) if k != 20).lower())
+    found = decontaminate.contaminated(*items_and_documents(spark, items, docs)).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    assert {d for d, _ in pairs} >= set(range(0, 120, 2)) and all(d // 2 == i for d, i in pairs)
+
+
+def test_op3_a_window_never_crosses_texts_and_a_filter_passes_its_own(spark):
+    canon = decontaminate.Canon()
+    texts = ["one red fox ran over a hill with 3 dogs", "", "one red fox", "ran over a hill with 3 dogs near Bonn by night"]
+    _, together = canon.templates(texts, {0, 1, 2})
+    for r, template in together.items():
+        found = set()
+        at, hashes = decontaminate.window_hashes(template, decontaminate.running_hashes(template), r, 5, 2)
+        for i, h in zip(at, hashes, strict=True):
+            found.add((int(template.text[i]), int(i - template.first[template.text[i]]), int(h)))
+        alone = set()
+        for k, text in enumerate(texts):
+            _, one = canon.templates([text], {r})
+            at, hashes = decontaminate.window_hashes(one[r], decontaminate.running_hashes(one[r]), r, 5, 2)
+            alone |= {(k, int(i), int(h)) for i, h in zip(at, hashes, strict=True)}
+        assert found == alone and len(found) > 5
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 20_000)
+    rows = spark.createDataFrame([(int(h),) for h in hashes[:5000]], "hash long")
+    passed = decontaminate._passing(hashes.view(np.uint64), decontaminate.filter_of(rows, 5000))
+    assert passed[:5000].all() and passed[5000:].mean() < 0.05
+
+
 def test_op5_languages(spark, tables):
     found = {r["doc_id"]: r for r in rows(spark, tables, "op5_langid")}
     assert len(found) == len(documents())
