@@ -73,24 +73,41 @@ def op2_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
                lead(level, 1, 0) OVER (PARTITION BY position ORDER BY line_no) AS next_level
         FROM v
     ), x AS (
-        SELECT *, sum((level <> last_level)::int) OVER (PARTITION BY position ORDER BY line_no) AS passage FROM w
+        SELECT *, sum((level <> last_level)::int) OVER (PARTITION BY position ORDER BY line_no) AS passage,
+               sum((level <> last_level OR announces OR said = '')::int)
+                   OVER (PARTITION BY position ORDER BY line_no) AS paragraph
+        FROM (SELECT *, level = 0 AND next_level > 0
+                        AND regexp_matches(line, '^(On|Le|Am|El) .*(wrote|a écrit|schrieb|escribió) ?:[ \t]*$') AS announces
+              FROM w)
     ), own AS (
         SELECT position, regexp_replace(string_agg(line, chr(10) ORDER BY line_no), '^\s+|\s+$', '', 'g') AS own_text
         FROM x
-        WHERE level = 0 AND NOT (next_level > 0
-              AND regexp_matches(line, '^(On|Le|Am|El) .*(wrote|a écrit|schrieb|escribió) ?:[ \t]*$'))
-        GROUP BY position
+        WHERE level = 0 AND NOT announces GROUP BY position
+    ), blocks AS (
+        SELECT conv_id, position, string_agg(said, ' ' ORDER BY line_no) AS block
+        FROM x WHERE level = 0 AND said <> '' AND NOT announces GROUP BY conv_id, position
+        UNION ALL
+        SELECT conv_id, position, string_agg(said, ' ' ORDER BY line_no) AS block
+        FROM x WHERE level = 0 AND said <> '' AND NOT announces GROUP BY conv_id, position, paragraph
+    ), firsts AS (
+        SELECT conv_id, block, min(position) AS original FROM blocks GROUP BY 1, 2
+    ), quoted AS (
+        SELECT conv_id, position, passage, level, string_agg(said, ' ' ORDER BY line_no) AS block
+        FROM x WHERE level > 0 AND said <> '' GROUP BY 1, 2, 3, 4
+    ), whole AS (
+        SELECT q.position, q.passage, f.original FROM quoted q JOIN firsts f
+        ON q.conv_id = f.conv_id AND q.block = f.block AND f.original < q.position
     ), written AS (
-        SELECT conv_id, said, min(position) AS original FROM x WHERE level = 0 AND said <> '' GROUP BY 1, 2
+        SELECT DISTINCT conv_id, said, position AS original FROM x WHERE level = 0 AND said <> ''
     ), votes AS (
         SELECT q.position, q.passage, q.level, o.original, count(*) AS n
         FROM x q LEFT JOIN written o
              ON q.conv_id = o.conv_id AND q.said = o.said AND o.original < q.position
         WHERE q.level > 0 AND q.said <> '' GROUP BY 1, 2, 3, 4
     ), passages AS (
-        SELECT position, passage, level,
-               arg_max(original, (n, -original)) FILTER (original IS NOT NULL) AS original
-        FROM votes GROUP BY 1, 2, 3
+        SELECT v.position, v.passage, v.level,
+               coalesce(any_value(w.original), arg_max(v.original, (v.n, -v.original)) FILTER (v.original IS NOT NULL)) AS original
+        FROM votes v LEFT JOIN whole w ON w.position = v.position AND w.passage = v.passage GROUP BY 1, 2, 3
     ), parents AS (
         SELECT position, arg_max(original, (-level, original)) AS parent
         FROM passages WHERE original IS NOT NULL GROUP BY 1

@@ -1,12 +1,16 @@
 """Quotation linking: who answers whom, from what messages quote; conversations in reply order without quotes.
 
 A line that starts with ``>`` marks is quoted, its level is their number. Neighbouring quoted lines of one level
-are a passage. Each line of a passage is normalised (case, blanks and marks of punctuation) and hashed, and votes
-for every earlier message of the same conversation that wrote it itself. A passage belongs to the message with
-most votes, so one that holds all lines goes first (the earliest among equals); a message answers the original of
-its shallowest linked passage (the latest among equals). Everything is an expression of Spark; there is no group of
-unbounded size: of messages that wrote the same of the quoted lines the earliest stands for all before the join, and
-positions come from sorted range partitions.
+are a passage. A passage is normalised whole (case, blanks, line ends and marks of punctuation) and hashed, and joined
+to what earlier messages of the same conversation wrote themselves: to their whole own text and to each of their
+paragraphs. So a quotation that a mail program wrapped anew is found, and the order of its words counts; the earliest
+message that wrote it is the original. Where no message wrote the passage whole, each of its lines votes for every
+earlier message that wrote the line, and the message with most votes is the original (the earliest among equals). A
+message answers the original of its shallowest linked passage (the latest among equals).
+
+Everything is an expression of Spark; there is no group of unbounded size: a passage or paragraph is part of one
+message, of all messages that wrote one the earliest is kept before the join, of messages that wrote the same of the
+quoted lines the earliest stands for all, and positions come from sorted range partitions.
 
 Defined results: a null text is empty. A message with a null conversation is kept and links to nothing. Messages
 are ordered by conversation, turn, role and text, nulls first; repeated rows keep places of their own. Lines that
@@ -47,20 +51,45 @@ def own_text(text: Column) -> Column:
 
 
 def message_lines(messages: DataFrame) -> DataFrame:
-    """position, conv_id, line_no, level, hash of each line that says something; passage number where quoted."""
+    """position, conv_id, line_no, level, passage (number of the run of lines of one level), paragraph (of the run
+    between blank lines), announces, said (normalised) of each line that says something."""
     lines = messages.select("position", "conv_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("level", level_of(F.col("line")))
+    lines = lines.withColumn("level", level_of(F.col("line"))).withColumn("said", normalised(F.col("line")))
     in_message = Window.partitionBy("position").orderBy("line_no")  # a group is one message
-    starts = (F.col("level") != F.lag("level", 1, -1).over(in_message)).cast("int")
-    lines = lines.withColumn("_starts", starts).withColumn("passage", F.sum("_starts").over(in_message))
-    said = normalised(F.col("line"))
-    return lines.select("position", "conv_id", "line_no", "level", "passage", said.alias("_said")).filter("_said <> ''")
+    starts = F.col("level") != F.lag("level", 1, -1).over(in_message)
+    announces = (F.col("level") == 0) & (F.lead("level", 1, 0).over(in_message) > 0) & F.col("line").rlike(ANNOUNCES)
+    lines = lines.withColumns({"_starts": starts, "announces": announces})
+    breaks = F.col("_starts") | F.col("announces") | (F.col("said") == "")
+    lines = lines.withColumns(
+        {
+            "passage": F.sum(F.col("_starts").cast("int")).over(in_message),
+            "paragraph": F.sum(breaks.cast("int")).over(in_message),
+        }
+    )
+    return lines.filter("said <> ''").drop("line", "_starts")
 
 
-def link_passages(messages: DataFrame) -> DataFrame:
-    """position, passage, level, lines, original (a position, null where none is found) of each quoted passage."""
-    lines = message_lines(messages).withColumn("hash", F.sha2("_said", 256)).drop("_said")
-    quoted = lines.filter("level > 0")
+def _block() -> Column:
+    """The hash of a group of lines as one text."""
+    lines = F.array_sort(F.collect_list(F.struct("line_no", "said")))
+    return F.sha2(F.array_join(F.transform(lines, lambda x: x["said"]), " "), 256).alias("hash")
+
+
+def link_whole(lines: DataFrame) -> DataFrame:
+    """position, passage, level, lines, original: the earliest message before it that wrote the whole passage."""
+    own = lines.filter("level = 0 AND NOT announces")
+    blocks = own.groupBy("conv_id", "position").agg(_block()).select("conv_id", "position", "hash")
+    parts = own.groupBy("conv_id", "position", "paragraph").agg(_block()).select("conv_id", "position", "hash")
+    first = blocks.unionByName(parts).groupBy("conv_id", "hash").agg(F.min("position").alias("_first"))
+    quoted = lines.filter("level > 0").groupBy("conv_id", "position", "passage", "level").agg(_block(), F.count(F.lit(1)).alias("lines"))
+    original = F.when(F.col("_first") < F.col("position"), F.col("_first")).alias("original")
+    return quoted.join(first, ["conv_id", "hash"], "left").select("position", "passage", "level", "lines", original)
+
+
+def link_lines(lines: DataFrame) -> DataFrame:
+    """position, passage, original: the earlier message that wrote most of the lines of each passage."""
+    lines = lines.withColumn("hash", F.sha2("said", 256))
+    quoted = lines.filter("level > 0 AND unlinked")
     # Only what somebody quotes is looked for, and each such line once.
     wanted = quoted.select("conv_id", "hash").distinct()
     written = lines.filter("level = 0").join(wanted, ["conv_id", "hash"], "left_semi").select("conv_id", "hash", "position").distinct()
@@ -75,9 +104,19 @@ def link_passages(messages: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     best = F.max(F.struct("n", (-F.col("original")).alias("at")))
-    found = votes.groupBy("position", "passage").agg((-best["at"]).alias("original"))
-    passages = quoted.groupBy("position", "passage", "level").agg(F.count(F.lit(1)).alias("lines"))
-    return passages.join(found, ["position", "passage"], "left")
+    return votes.groupBy("position", "passage").agg((-best["at"]).alias("original"))
+
+
+def link_passages(messages: DataFrame) -> DataFrame:
+    """position, passage, level, lines, original (a position, null where none is found) of each quoted passage."""
+    lines = message_lines(messages)
+    whole = materialized(link_whole(lines))
+    rest = whole.filter("original is null").select("position", "passage", F.lit(True).alias("unlinked"))
+    if rest.isEmpty():
+        return whole
+    by_lines = link_lines(lines.join(rest, ["position", "passage"], "left")).withColumnRenamed("original", "_most")
+    found = whole.join(by_lines, ["position", "passage"], "left")
+    return found.withColumn("original", F.coalesce("original", "_most")).drop("_most")
 
 
 def roots_of(links: DataFrame) -> DataFrame:

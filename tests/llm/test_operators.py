@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -313,6 +316,84 @@ def test_op8_a_passage_belongs_to_who_wrote_all_of_it(spark):
     assert found == {0: None, 1: None, 2: None, 3: None, 4: 1, 5: 3, 6: 0}
 
 
+TALK = "conv_id string, turn int, role string, text string"
+
+
+def test_op8_a_passage_wrapped_anew_and_its_order(spark):
+    said = [
+        "One fine day we met\nby the river.\n\nThe second part of it\nstands alone here.",
+        "by the river one fine day we met",
+        "> One fine day we\n> met by\n> the river.\nYes.",
+        "> the second part of it stands alone here\nNo.",
+        "On Monday Ann wrote:\n> by the river,\n> one fine day we met\nHm.",
+        ">> One fine day we met by the\n>> river. The second part of\n>> it stands alone here.\n> Yes.\nAll.",
+    ]
+    found = {r["turn"]: r for r in quotes.link_conversations(spark.createDataFrame([("c", i, "u", t) for i, t in enumerate(said)], TALK)).collect()}
+    assert {i: r["parent_turn"] for i, r in found.items()} == {0: None, 1: None, 2: 0, 3: 0, 4: 1, 5: 2}
+    assert found[5]["linked"] == 2 and found[5]["depth"] == 2 and found[5]["own_text"] == "All."
+
+
+def quoting_talk() -> list[tuple]:
+    """Conversations whose messages quote earlier ones, wrapped anew, cut to some lines, nested, or made up."""
+    pick, talk = random.Random(8), []
+    for conv in range(12):
+        own: list[list[str]] = []
+        for turn in range(14):
+            lines = [" ".join(pick.choice("red blue hill fox ran over sang low".split()) for _ in range(pick.randint(2, 5))) for _ in range(pick.randint(1, 4))]
+            text = []
+            if own and pick.random() < 0.8:
+                source, marks = pick.choice(own), ">" * pick.randint(1, 3)
+                way = pick.randrange(4)
+                if way == 0:
+                    words = " ".join(source).split()
+                    text = [f"{marks} {' '.join(words[i:i + 3]).capitalize()}," for i in range(0, len(words), 3)]
+                elif way == 1:
+                    text = [f"{marks} {x}" for x in pick.sample(source, pick.randint(1, len(source)))]
+                elif way == 2:
+                    text = ["On a day Bob wrote:", *(f"> {x}" for x in source), *(f">> {x}" for x in pick.choice(own))]
+                else:
+                    text = [f"{marks} nobody said this"]
+            if pick.random() < 0.3:
+                lines.insert(len(lines) // 2, "")
+            talk.append((None if conv == 11 else f"c{conv}", turn, "u", "\n".join([*text, *lines])))
+            own.append([x for x in lines if x])
+    return talk
+
+
+def test_op8_generated_threads_by_sql_and_by_rows(spark):
+    talk = quoting_talk()
+    duck = duckdb.connect()
+    duck.register("conversations", pd.DataFrame(talk, columns=["conv_id", "turn", "role", "text"]).astype({"turn": "int32"}))
+    found = quotes.link_conversations(spark.createDataFrame(talk, TALK))
+    assert not compare(duck, found, entry.oracle_sql()["op8_quotes"])[1]
+    by_key = {(r["conv_id"], r["turn"]): r for r in found.collect()}
+    plain = lambda x: " ".join(re.sub(r"[^a-z0-9]+", " ", x.lower()).split())
+    linked = 0
+    for conv in range(11):
+        texts = [t for c, _, _, t in talk if c == f"c{conv}"]
+        blocks, lines = [], []
+        for text in texts:
+            rows = text.split("\n")
+            own = [x for i, x in enumerate(rows) if not x.startswith(">") and not x.endswith("wrote:")]
+            blocks.append({plain(" ".join(own)), *(plain(" ".join(p.split("\n"))) for p in "\n".join(own).split("\n\n"))})
+            lines.append({plain(x) for x in rows if not x.startswith(">")})
+        for turn, text in enumerate(texts):
+            answers = []
+            for level, run in itertools.groupby(text.split("\n"), lambda x: len(x) - len(x.lstrip(">"))):
+                said = [plain(x) for x in run]
+                if not level:
+                    continue
+                whole = [i for i in range(turn) if " ".join(said) in blocks[i]]
+                votes = [(sum(x in lines[i] for x in said), -i) for i in range(turn)]
+                best = whole[0] if whole else -max(votes)[1] if votes and max(votes)[0] else None
+                if best is not None:
+                    answers.append((-level, best))
+            expected = max(answers)[1] if answers else None
+            assert by_key[f"c{conv}", turn]["parent_turn"] == expected
+            linked += expected is not None
+    assert linked > 60
+
+
 def test_pipeline_stages_follow_each_other(spark, tables):
     seen = spark.read.parquet(f"{tables}/documents.parquet")
     kept = []
