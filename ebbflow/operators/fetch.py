@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ebbflow.functions.predicates import is_visible
 from ebbflow.model import PRIVATE, EntityModel, Status
 from ebbflow.operators.joins import join_unique
-from ebbflow.operators.relations import resolve_to_one
+from ebbflow.operators.relations import PAGE_SIZE, member_maps, resolve_to_many, resolve_to_one
 from ebbflow.session import materialized
 
 
@@ -97,6 +97,25 @@ def fetch_objects(
     return rows.orderBy(*total_order(order)) if order else rows
 
 
+def fetch_members(
+    rows: DataFrame, edges: DataFrame, targets: DataFrame, limit: int | None = None, page_size: int = PAGE_SIZE
+) -> DataFrame:
+    """The members of a to-many for fetched rows: ``(uid, page, members)``, members as ``{entity: [uid, ...]}``.
+
+    Only populated targets are members, each once; a row without one has one empty map. Repeated rows count once. A
+    to-many above ``page_size`` comes as several pages, so no value is unbounded. Where ``limit`` says that the rows
+    are a page, its uids are sent to the scan of the edges, and the uids of its edges' targets cut the targets.
+    """
+    own = rows.select("uid").distinct()
+    if limit is not None and limit <= BROADCAST_PAGE:
+        own = materialized(own)  # the page is found once, not for each of its uses
+        held = edges.join(F.broadcast(own.withColumnRenamed("uid", "src_uid")), "src_uid", "left_semi")
+        targets = targets.join(held.select(F.col("dst_uid").alias("uid")).distinct(), "uid", "left_semi")
+    else:
+        held = join_unique(edges, own.withColumnRenamed("uid", "src_uid"), "src_uid", "left_semi", spread_by="dst_uid")
+    return member_maps(own, resolve_to_many(held, targets), page_size)
+
+
 def fetch_ids(table: DataFrame, model: EntityModel, entity: str, where: Column | None = None, **cuts) -> DataFrame:
     order, limit, offset = cuts.get("order", ()), cuts.get("limit"), cuts.get("offset", 0)
     return cut(select_rows(table, model, entity, where), order, limit, offset).select("entity", "uid")

@@ -153,6 +153,45 @@ def public_representation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("uid", "entity", "price", "priority", F.col("author.uid").alias("author_uid"))
 
 
+def _supplier_rows(spark: SparkSession, sf_dir: str):
+    """Suppliers of which those of some nations are placeholders still."""
+    return suppliers(spark, sf_dir).withColumn("status", F.when(F.col("s_nationkey") % 7 == 0, 1).otherwise(2))
+
+
+_MEMBERS = """live AS (SELECT src_uid, string_agg(dst_uid, ',' ORDER BY dst_uid) AS members
+  FROM edges JOIN supplier ON dst_uid = 's' || s_suppkey WHERE s_nationkey % 7 <> 0 GROUP BY src_uid)"""
+
+
+@query(
+    with_ctes(
+        PARTS,
+        EDGES,
+        _MEMBERS,
+        body=f"""SELECT uid, coalesce(members, '') AS suppliers FROM parts LEFT JOIN live ON src_uid = uid
+WHERE entity IN ('SMALL', 'MEDIUM', 'LARGE') AND {VISIBLE}""",
+    )
+)
+def members_of_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fetch.select_rows(parts(spark, sf_dir), MODEL, "Sized")
+    found = fetch.fetch_members(rows, all_edges(spark, sf_dir), _supplier_rows(spark, sf_dir))
+    return found.select("uid", F.coalesce(F.array_join(F.col("members")["Supplier"], ","), F.lit("")).alias("suppliers"))
+
+
+@query(
+    with_ctes(
+        PARTS,
+        EDGES,
+        _MEMBERS,
+        f"page AS (SELECT * FROM parts WHERE {VISIBLE} ORDER BY name DESC, uid LIMIT 50)",
+        body="SELECT uid, coalesce(members, '') AS suppliers FROM page LEFT JOIN live ON src_uid = uid",
+    )
+)
+def members_of_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fetch.cut(fetch.visible(parts(spark, sf_dir)), [Order("name", descending=True)], 50)
+    found = fetch.fetch_members(rows, all_edges(spark, sf_dir), _supplier_rows(spark, sf_dir), limit=50)
+    return found.select("uid", F.coalesce(F.array_join(F.col("members")["Supplier"], ","), F.lit("")).alias("suppliers"))
+
+
 @query(
     """SELECT c_custkey AS key, CASE WHEN c_custkey % 5 = 0 THEN 'c' || c_custkey ELSE upper(concat_ws('-',
     substr(d, 1, 8), substr(d, 9, 4), substr(d, 13, 4), substr(d, 17, 4), substr(d, 21, 12))) END AS uid

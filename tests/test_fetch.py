@@ -45,6 +45,25 @@ def test_references_of_a_fetch_are_resolved(spark, limit):
     assert found["b1"]["author"] == ref("Author", "a1") and found["b2"]["author"] is None
 
 
+@pytest.mark.parametrize("limit", [None, 10])
+def test_members_of_a_fetch_are_populated_targets(spark, limit):
+    rows = local(spark, "Author", {"uid": "a1"}, {"uid": "a2"}, {"uid": "a3"}).select("uid", "entity")
+    pairs = [("a1", f"m{i}") for i in (1, 1, 2, 3)] + [("a1", "gone"), ("a2", "gone"), ("a9", "m1"), (None, "m1"), ("a1", None)]
+    edges = spark.createDataFrame([(s, "Magazine", d) for s, d in pairs], "src_uid string, dst_entity string, dst_uid string")
+    targets = local(spark, "Magazine", {"uid": "m1"}, {"uid": "m2", "status": 1}, {"uid": "m3"})
+    found = fetch.fetch_members(rows.unionByName(rows), edges, targets, limit).collect()
+    assert sorted((r["uid"], r["members"]) for r in found if r["members"]) == [("a1", {"Magazine": ["m1", "m3"]})]
+    assert sorted(r["uid"] for r in found) == ["a1", "a2", "a3"]
+
+
+def test_a_large_to_many_of_a_fetch_comes_in_pages(spark):
+    rows = local(spark, "Author", {"uid": "a1"}).select("uid", "entity")
+    edges = spark.range(300).selectExpr("'a1' AS src_uid", "'Magazine' AS dst_entity", "'m' || id AS dst_uid")
+    targets = local(spark, "Magazine", *[{"uid": f"m{i}"} for i in range(250)])
+    found = fetch.fetch_members(rows, edges, targets, page_size=20).collect()
+    assert len(found) > 5 and sorted(x for r in found for x in r["members"]["Magazine"]) == sorted(f"m{i}" for i in range(250))
+
+
 def test_sort_limit_offset(spark):
     authors = local(spark, "Author", *[{"uid": f"a{i}", "name": f"Author#{i}"} for i in (12, 10, 13, 11)])
     down = [Order("name", descending=True)]
