@@ -5,7 +5,8 @@ edge table, or one of these read backwards where the other side holds them. A fr
 with the edges of its own roots, what is found and was not gone before is the next frontier, and the walk ends when
 nothing new is found. So rules may come back to where they began, and rows may refer to each other in circles; the
 number of rounds is the longest chain of the data. Each frontier is written once: it cuts the lineage, and its size
-is known to the joins.
+is known to the joins. What is found is dealt over partitions in proportion to the edges, so that a task holds no more
+of a larger graph.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbflow.model import DeleteRule, EntityModel, Relationship, Stored
-from ebbflow.operators.joins import join_unique
+from ebbflow.operators.joins import join_unique, spread
 from ebbflow.operators.relations import edges_of_array
 from ebbflow.session import materialized, materialized_parts
 
@@ -129,15 +130,15 @@ def taken_along(
             if walked[way.name] == 2:  # walked again and again: its two columns are read from a table of their own
                 way = ways[i] = Way(way.name, way.source, way.target, materialized(way.edges), way.checked)
             sources = frontier[way.source].withColumnRenamed("uid", "_from")
-            hit = join_unique(way.edges, sources, "_from", "left_semi", spread_by="_to")
-            hit = hit.select(F.col("_to").alias("uid")).distinct()
+            hit = join_unique(way.edges, sources, "_from", "left_semi", spread_by="_to", sized=True)
+            hit = hit.select(F.col("_to").alias("uid"))
             if not way.checked:
                 table = tables.get(way.target)
-                hit = hit.limit(0) if table is None else hit.join(table.select("uid"), "uid", "left_semi")
+                hit = hit.limit(0) if table is None else hit.distinct().join(table.select("uid"), "uid", "left_semi")
             found.setdefault(way.target, []).append(hit)
         fresh = {}
         for root, parts in found.items():
-            rows = _union(parts).distinct()
+            rows = spread(_union(parts), "uid").distinct()
             fresh[root] = rows.join(_union(gone[root]), "uid", "left_anti") if root in gone else rows
         frontier = _written(fresh)
     return {root: _union(parts) for root, parts in gone.items()}

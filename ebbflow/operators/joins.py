@@ -49,6 +49,36 @@ def pieces(rows: DataFrame) -> int:
     return min(PIECES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_PIECES)
 
 
+#: Estimated bytes of rows to a partition where a step says how many there are.
+PARTITION_BYTES = 4 << 20
+# What Catalyst says of rows whose size it cannot tell is far above this.
+UNKNOWN_BYTES = 1 << 50
+
+
+def read_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate, but no more than all that the plan reads: the estimate of a join is a product."""
+    size = estimated_bytes(df)
+    if size is None:
+        return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return min(size, sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())))
+
+
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows by the given columns over partitions in proportion to their size, no fewer than the session's.
+
+    Adaptive execution puts small partitions together till they fill a share of the cluster, by their compressed size,
+    so a task's sorts and hash tables would grow with the input; a given number it leaves as it is.
+    """
+    return rows.repartition(partitions(rows), *columns)
+
+
+def partitions(rows: DataFrame) -> int:
+    least, size = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), read_bytes(rows)
+    known = size is not None and size < UNKNOWN_BYTES
+    return max(least, -(-size // PARTITION_BYTES) if known else 0)
+
+
 def _has_key(key: Sequence[str]) -> Column:
     return reduce(and_, [F.col(name).isNotNull() for name in key])
 
@@ -78,12 +108,14 @@ def join_unique(
     *,
     hot_rows: int | None = None,
     force_salting: bool = False,
+    sized: bool = False,
 ) -> DataFrame:
     """Join many rows to targets that have at most one row per key (left, inner, semi or anti).
 
     Small targets are left to Spark, which broadcasts them. Otherwise both sides are shuffled, and rows of a hot
     key, or with no key at all, are spread by ``spread_by``, a column of ``rows`` with many values, over as many
-    salts as their share of all rows asks for; only the targets of hot keys are copied, once per salt.
+    salts as their share of all rows asks for; only the targets of hot keys are copied, once per salt. ``sized``
+    shuffles to partitions in proportion to the rows, see ``spread``.
     """
     key = [key] if isinstance(key, str) else list(key)
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
@@ -103,6 +135,8 @@ def join_unique(
     salted_targets = (
         targets.withColumn("_item", item).join(hot, "_item", "left").withColumn("_salt", F.explode(copies)).drop("_item", "_salts")
     )
+    if sized:
+        salted_rows = salted_rows.repartition(partitions(rows), *key, "_salt")
     return salted_rows.join(salted_targets, [*key, "_salt"], how).drop("_salt")
 
 

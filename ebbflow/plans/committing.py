@@ -11,6 +11,7 @@ from ebbflow.functions.refs import reference
 from ebbflow.model import Attribute, DeleteRule, Entity, EntityModel, Relationship, Stored
 from ebbflow.operators import save
 from ebbflow.operators.delta import sync_stores
+from ebbflow.operators.joins import spread
 from ebbflow.operators.pull import ntz
 from ebbflow.plans.registry import query
 from ebbflow.plans.shapes import (
@@ -74,9 +75,11 @@ def _graph(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def entity(name: str) -> Column:
         return F.lit(name).alias("entity")
 
-    lineitem = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
+    numbered = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", "l_linenumber")
+    lineitem = numbered.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("part"))
     before = Window.partitionBy("o_custkey", "o_orderpriority").orderBy("o_orderdate", "o_orderkey")
-    orders = table(spark, sf_dir, "orders").withColumn("before", F.lag("o_orderkey").over(before))
+    placed = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    orders = spread(placed, "o_custkey", "o_orderpriority").withColumn("before", F.lag("o_orderkey").over(before))
     return {
         "Supplier": suppliers(spark, sf_dir).select("uid", "entity"),
         "Part": parts(spark, sf_dir).select("uid", entity("Part")),

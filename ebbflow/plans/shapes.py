@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ebbflow.functions.refs import reference
 from ebbflow.model import Attribute, DeleteRule, Entity, EntityModel, Relationship, Stored
+from ebbflow.operators.joins import spread
 from ebbflow.operators.pull import ntz
 
 _TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
@@ -206,7 +207,7 @@ def all_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts and their suppliers, each pair once; the numbers are compared, not the texts made of them."""
-    return _as_edges(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct())
+    return _as_edges(spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"), "l_partkey", "l_suppkey").distinct())
 
 
 def _as_edges(pairs: DataFrame) -> DataFrame:
