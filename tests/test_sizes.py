@@ -50,3 +50,17 @@ def test_partitions_follow_what_is_read_and_not_the_product_of_a_join(spark, tmp
     monkeypatch.setattr(joins, "PARTITION_BYTES", 1000)
     assert joins.partitions(rows) == -(-joins.estimated_bytes(rows) // 1000)
     assert joins.spread(rows, "id").rdd.getNumPartitions() == joins.partitions(rows)
+
+
+def test_a_micro_batch_of_a_large_feed_is_more_than_one_file(spark, tmp_path, monkeypatch):
+    """One file is read, and its versions reduced, by one task."""
+    from ebbflow.plans import streaming
+
+    spark.range(3000).withColumn("x", F.col("id") % 7).write.parquet(str(tmp_path / "feed"))
+    rows = spark.read.parquet(str(tmp_path / "feed"))
+    assert streaming.dealt(rows, "id", str(tmp_path / "small")) == 1
+    assert len(list((tmp_path / "small").glob("*.parquet"))) == streaming.BATCHES
+    monkeypatch.setattr(streaming, "FILE_BYTES", joins.estimated_bytes(rows) // 5)
+    files = streaming.dealt(rows, "id", str(tmp_path / "large"))
+    assert files == 2 and len(list((tmp_path / "large").glob("*.parquet"))) == 2 * streaming.BATCHES
+    assert spark.read.parquet(str(tmp_path / "large")).exceptAll(rows).isEmpty()
