@@ -120,17 +120,21 @@ def _search(post: pd.Series, group: pd.DataFrame, k: int, prefix: int, settings:
     vectors = np.frombuffer(post["vectors"], "<f8").reshape(len(ids), -1)
     members, places = np.frombuffer(post["members"], "<i4"), np.frombuffer(post["places"], "<i2")
     ends = np.frombuffer(post["ends"], "<i8")
-    starts = np.concatenate([[0], ends[:-1]])
-    near = (prefix - places).astype(np.int32)
+    # A vector is in many files: laid out side by side, a row of weights per pivot, they are added up without looking
+    # members up. A file names a vector once, and zero stands for a vector that is not in it.
+    weights = np.zeros((len(ends), len(ids)), np.int32 if prefix > 360 else np.uint16)
+    weights[np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), members] = prefix - places
+    agreed, shared, most = (np.empty(len(ids), weights.dtype) for _ in range(3))
     wanted = min(len(ids), max(settings.least, k, int(np.ceil(settings.share * len(ids)))))
     out = []
     for query_id, raw, order in zip(group["vec_id"], group["v"], group["nearest"], strict=True):
-        agreed = np.zeros(len(ids), np.int32)
-        for place, pivot in enumerate(np.frombuffer(order, "<i2")):
-            own = slice(starts[pivot], ends[pivot])
-            # A pivot's file names a vector once.
-            agreed[members[own]] += np.minimum(near[own], prefix - place)
-        some = np.argpartition(-agreed, wanted - 1)[:wanted] if wanted < len(ids) else np.arange(len(ids))
+        agreed.fill(0)
+        for place, pivot in enumerate(np.frombuffer(order, "<i2").tolist()):
+            most.fill(prefix - place)  # an array: numpy takes the least of two arrays several at a time
+            np.minimum(weights[pivot], most, out=shared)
+            np.add(agreed, shared, out=agreed)
+        far = -agreed.astype(np.int32)
+        some = np.argpartition(far, wanted - 1)[:wanted] if wanted < len(ids) else np.arange(len(ids))
         some = some[ids[some] != query_id]
         score = vectors[some] @ np.frombuffer(raw, "<f8")
         best = np.lexsort((ids[some], -score))[:k]
