@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 REMEMBERED = 500_000
+# Texts that a task splits into words at a time.
+AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -53,13 +56,40 @@ class Model:
     least: float
 
 
-def subwords(word: str, settings: Settings) -> list[int]:
-    """The buckets of a word's subwords."""
+class _Buckets(dict):
+    """The bucket of each subword asked for so far: words share most of theirs."""
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
+
+    def __missing__(self, part: str) -> int:
+        self[part] = found = zlib.crc32(part.encode()) % self.buckets
+        return found
+
+
+def subwords(word: str, settings: Settings, seen: _Buckets | None = None) -> list[int]:
+    """The buckets of a word's subwords; ``seen`` remembers those of its n-grams."""
     marked = f"<{word}>"
     low, high = settings.grams
-    parts = {marked[i : i + n] for n in range(low, high + 1) for i in range(len(marked) - n + 1)}
+    size = len(marked)
+    parts = {marked[i : i + n] for n in range(low, high + 1) for i in range(size - n + 1)}
     parts.add(marked)
-    return [zlib.crc32(p.encode()) % settings.buckets for p in sorted(parts)]
+    seen = _Buckets(settings.buckets) if seen is None else seen
+    found = [seen[p] for p in sorted(parts)]
+    if size > high:
+        del seen[marked]  # the word itself, which no other has
+    return found
+
+
+def word_scores(words: list[str], scores: np.ndarray, settings: Settings, seen: _Buckets) -> np.ndarray:
+    """A row of class scores per word, the mean of its subwords': words of as many subwords are added up together."""
+    own = [subwords(word, settings, seen) for word in words]
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    out = np.empty((len(own), scores.shape[1]), scores.dtype)
+    for size in np.unique(sizes).tolist():
+        (at,) = np.nonzero(sizes == size)
+        out[at] = scores[np.asarray([own[i] for i in at.tolist()])].mean(1)
+    return out
 
 
 def sparse(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -174,43 +204,42 @@ def predict(docs: DataFrame, model: Model, settings: Settings = Settings()) -> D
 
         model = shared.value
         count = len(model.languages)
+        seen = _Buckets(settings.buckets)
         known, rows, lettered = {}, np.zeros((1 << 12, count), np.float32), np.zeros(1 << 12, bool)
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            if len(known) > REMEMBERED:
-                known = {}
-            starts, index = [], []
-            for text in texts:
-                starts.append(len(index))
-                if text is None or not count:
-                    continue
-                words = WORDS.findall(text.lower())
-                try:
-                    index += [known[w] for w in words]
-                except KeyError:
-                    for word in set(words).difference(known):
-                        if len(known) == len(rows):
-                            rows = np.concatenate([rows, np.zeros_like(rows)])
-                            lettered = np.concatenate([lettered, np.zeros_like(lettered)])
-                        rows[len(known)] = model.scores[subwords(word, settings)].mean(0)
-                        lettered[len(known)] = any(map(str.isalpha, word))  # or number forms alone, such as halves
-                        known[word] = len(known)
-                    index += [known[w] for w in words]
-            sizes = np.diff([*starts, len(index)])
             labels, probs, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-            (full,) = np.nonzero(sizes)
-            if len(full):
-                at_words, at_texts = np.asarray(index), np.asarray(starts)[full]
-                sums = np.add.reduceat(rows[at_words].astype(np.float64), at_texts, axis=0)
-                letters = np.logical_or.reduceat(lettered[at_words], at_texts)
-                full, sums = full[letters], sums[letters]
-            if len(full):
-                p = _softmax((sums / sizes[full, None] + model.bias) * model.temperature)
-                best = p.argmax(1)
-                probs[full] = p.max(1)
-                rejected[full] = probs[full] < model.least
-                for i, k in zip(full, best, strict=True):
-                    labels[i] = model.languages[k]
+            for low in range(0, len(texts) if count else 0, AT_ONCE):
+                found = [() if text is None else WORDS.findall(text.lower()) for text in texts[low : low + AT_ONCE]]
+                if len(known) > REMEMBERED:
+                    known = {}
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                fresh = list(set().union(*found).difference(known))
+                if fresh:
+                    first = len(known)
+                    while first + len(fresh) > len(rows):
+                        rows = np.concatenate([rows, np.zeros_like(rows)])
+                        lettered = np.concatenate([lettered, np.zeros_like(lettered)])
+                    rows[first : first + len(fresh)] = word_scores(fresh, model.scores, settings, seen)
+                    # Words may be of number forms alone, such as halves.
+                    lettered[first : first + len(fresh)] = [any(map(str.isalpha, word)) for word in fresh]
+                    known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                at_words = np.fromiter(map(known.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+                (full,) = np.nonzero(sizes)
+                if len(full):
+                    at_texts = (np.cumsum(sizes) - sizes)[full]
+                    sums = np.add.reduceat(rows[at_words].astype(np.float64), at_texts, axis=0)
+                    letters = np.logical_or.reduceat(lettered[at_words], at_texts)
+                    full, sums = full[letters], sums[letters]
+                if len(full):
+                    p = _softmax((sums / sizes[full, None] + model.bias) * model.temperature)
+                    full = full + low
+                    probs[full] = p.max(1)
+                    rejected[full] = probs[full] < model.least
+                    for i, k in zip(full, p.argmax(1), strict=True):
+                        labels[i] = model.languages[k]
             arrays = [*batch.columns, pa.array(labels), pa.array(probs), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "lang_pred", "lang_score", "rejected"])
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
+import zlib
 
 import numpy as np
 import pandas as pd
 
-from ebbflow.llm import permutation
+from ebbflow.llm import langid, permutation
 
 
 def _block(n: int, pivots: int, prefix: int, size: int = 8) -> tuple[pd.Series, pd.DataFrame]:
@@ -65,3 +66,17 @@ def test_op6_weights_beyond_16_bits_and_files_without_members():
         post, group = _block(300, pivots, prefix)
         settings = permutation.Settings(least=30)
         assert permutation._search(post, group, 5, prefix, settings) == _looked_up(post, group, 5, prefix, settings)
+
+
+def test_op5_hashes_each_subword_once_and_scores_words_as_one_by_one(monkeypatch):
+    settings = langid.Settings(buckets=1 << 10)
+    rng = np.random.default_rng(5)
+    words = sorted({"".join(rng.choice(list("abdeéñ½"), rng.integers(1, 9))) for _ in range(400)})
+    scores = rng.normal(size=(settings.buckets, 3)).astype(np.float32)
+    asked = []
+    crc32 = zlib.crc32
+    monkeypatch.setattr(langid.zlib, "crc32", lambda part: asked.append(part) or crc32(part))
+    seen = langid._Buckets(settings.buckets)
+    found = langid.word_scores(words, scores, settings, seen)
+    assert len(asked) == len(set(asked)) and not [part for part in seen if len(part) > settings.grams[1]]
+    assert np.array_equal(found, np.stack([scores[langid.subwords(w, settings)].mean(0) for w in words]))
