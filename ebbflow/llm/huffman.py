@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from ebbflow.llm.common import drop, open_in, open_out, scratch
 
 MAGIC = b"HUF1"
+#: A blank as byte-level vocabularies spell it.
+BLANK = "\u0120"
 BLOCK = 1024
 #: Tokens whose streams one task puts in order, about.
 PART = 16_000_000
@@ -67,11 +69,13 @@ class Encoder:
     """
 
     def __init__(self, path: str, kind: str = "<u4") -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.kind = np.dtype(kind)
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: Whether the model's own spelling of an ASCII word is the word, its blank written as one letter.
+        self.bytewise = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
@@ -79,10 +83,16 @@ class Encoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """The ids of each piece. Words with a blank before them are encoded together: the blanks part them
-        again, and the library says which token is of which word."""
+        """The ids of each piece. Words with a blank before them are merged by the library's model as they are where
+        they are ASCII. Others are encoded together: the blanks part them again, and the library says which token is
+        of which word."""
         words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
         found = {p: self.whole(p) for p in pieces.difference(words)}
+        if self.bytewise:
+            merge = self.tokenizer.model.tokenize
+            plain = [p for p in words if p.isascii()]
+            found.update((p, np.asarray([t.id for t in merge(BLANK + p[1:])], self.kind).tobytes()) for p in plain)
+            words = [p for p in words if p not in found]
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
             encoding = self.tokenizer.encode("".join(some), add_special_tokens=False)
@@ -98,27 +108,24 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
-        known, unknown = self.known, {}
+        split: dict[int, list[str]] = {}
         for i, text in enumerate(texts):
             if UNSURE.search(text) or any(s in text for s in self.specials):
                 out[i] = self.whole(text)
-                continue
-            pieces = (ASCII_PIECES if text.isascii() else PIECES).findall(text)
-            try:
-                out[i] = b"".join(map(known.__getitem__, pieces))
-            except KeyError:
-                unknown[i] = pieces
-        if unknown:
-            new = set().union(*unknown.values()).difference(known)
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set().union(*unknown.values())
-            known.update(self.learn(new))
-            for i, pieces in unknown.items():
-                out[i] = b"".join(map(known.__getitem__, pieces))
-            for p in new:
-                if len(p) > SHORT:
-                    del known[p]
+            else:
+                split[i] = (ASCII_PIECES if text.isascii() else PIECES).findall(text)
+        known = self.known
+        new = set().union(*split.values())
+        fresh = new.difference(known)
+        if len(known) + len(fresh) > REMEMBERED:
+            known.clear()
+            fresh = new
+        known.update(self.learn(fresh))
+        for i, pieces in split.items():
+            out[i] = b"".join(map(known.__getitem__, pieces))
+        for p in fresh:
+            if len(p) > SHORT:
+                del known[p]
         return out
 
 

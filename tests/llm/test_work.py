@@ -8,7 +8,8 @@ import zlib
 import numpy as np
 import pandas as pd
 
-from ebbflow.llm import langid, permutation
+from ebbflow.llm import huffman, langid, permutation
+from ebbflow.llm.common import tokenizer_file
 
 
 def _block(n: int, pivots: int, prefix: int, size: int = 8) -> tuple[pd.Series, pd.DataFrame]:
@@ -80,3 +81,24 @@ def test_op5_hashes_each_subword_once_and_scores_words_as_one_by_one(monkeypatch
     found = langid.word_scores(words, scores, settings, seen)
     assert len(asked) == len(set(asked)) and not [part for part in seen if len(part) > settings.grams[1]]
     assert np.array_equal(found, np.stack([scores[langid.subwords(w, settings)].mean(0) for w in words]))
+
+
+def test_op2_splits_a_text_once_and_merges_plain_words_without_the_library_splitting_them():
+    path = tokenizer_file("byte_bpe_50k.json")
+    texts = ["", "It's 12 plain words,\n  or ünïcode ones, and plain again", " plain words" * 3, "Ġ odd \x00 é"] * 2
+    encoder = huffman.Encoder(path)
+    expected = [np.asarray(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.bytewise and encoder.batch(texts) == expected == huffman.Encoder(path).batch(texts)
+
+    class Counted:
+        def __init__(self, tokenizer) -> None:
+            self.tokenizer, self.model, self.asked = tokenizer, tokenizer.model, []
+
+        def encode(self, text, **more):
+            self.asked.append(text)
+            return self.tokenizer.encode(text, **more)
+
+    encoder = huffman.Encoder(path)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    encoder.batch([" every plain word of this text", " and another text"])
+    assert counted.asked == []  # asked for both texts' words before
