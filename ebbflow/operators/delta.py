@@ -46,25 +46,37 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _comparable(name: str, kind: T.DataType) -> Column:
-    """A column in a form that can be compared: maps as their sorted entries."""
-    return F.array_sort(F.map_entries(name)).alias(name) if isinstance(kind, T.MapType) else F.col(name)
+def _packed(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Key, and the rest of the row as a struct."""
+    return rows.select(F.col(key).alias("uid"), F.struct(*[c for c in rows.columns if c != key]).alias(name))
 
 
-def _packed(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """Key, the row as a struct, and the same in a comparable form."""
-    kinds = rows.schema
-    same = F.struct(*[_comparable(c, kinds[c].dataType) for c in rows.columns])
-    return rows.select(F.col(key).alias("uid"), F.struct(*rows.columns).alias(name), same.alias(f"_{name}"))
+def _whole(rows: DataFrame, key: str, name: str) -> Column:
+    """The row that ``_packed`` put under ``name``, its key in its place again; null where there is none."""
+    fields = [F.col("uid").alias(c) if c == key else F.col(name)[c].alias(c) for c in rows.columns]
+    return F.when(F.col(name).isNotNull(), F.struct(*fields)).alias(name)
+
+
+def _comparable(rows: DataFrame, key: str, name: str) -> Column:
+    """What ``_packed`` put under ``name`` in a form that can be compared: maps as their sorted entries."""
+    kinds = {c: rows.schema[c].dataType for c in rows.columns if c != key}
+    if not any(isinstance(kind, T.MapType) for kind in kinds.values()):
+        return F.col(name)
+    row = F.col(name)
+    fields = [(F.array_sort(F.map_entries(row[c])) if isinstance(k, T.MapType) else row[c]).alias(c) for c, k in kinds.items()]
+    return F.when(row.isNotNull(), F.struct(*fields))
 
 
 def change_set(before: DataFrame, after: DataFrame, key: str = "uid") -> DataFrame:
-    """uid, change, before, after of every key whose row differs; a side without the row is null."""
+    """uid, change, before, after of every key whose row differs; a side without the row is null.
+
+    A row comes to the join once, without its key; what it is compared by is made there.
+    """
     after = after.select(*before.columns)
     both = _packed(before, key, "before").join(_packed(after, key, "after"), "uid", "full")
-    differs = both.filter(~F.col("_before").eqNullSafe(F.col("_after")))
+    differs = both.filter(~_comparable(before, key, "before").eqNullSafe(_comparable(after, key, "after")))
     change = F.when(F.col("before").isNull(), INSERTED).when(F.col("after").isNull(), DELETED).otherwise(UPDATED)
-    return differs.select("uid", change.alias("change"), "before", "after")
+    return differs.select("uid", change.alias("change"), _whole(before, key, "before"), _whole(after, key, "after"))
 
 
 def edge_change_set(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -165,12 +165,13 @@ _SUPPLIERS = "Part.suppliers"
 
 def _part_edges(spark: SparkSession, sf_dir: str, without: str) -> DataFrame:
     """Pairs of part and supplier with a line of another flag than the given one."""
-    pairs = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != without)
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != without)
+    pairs = lines.select("l_partkey", "l_suppkey").distinct()  # as numbers, which are shorter than the names made of them
     return pairs.select(
         F.concat(F.lit("p"), F.col("l_partkey")).alias("src_uid"),
         F.lit("Supplier").alias("dst_entity"),
         F.concat(F.lit("s"), F.col("l_suppkey")).alias("dst_uid"),
-    ).distinct()
+    )
 
 
 def _stores(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, SnapshotStore]:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbflow.operators import changes
-from ebbflow.operators.delta import sync_stores
+from ebbflow.operators.delta import change_set, sync_stores
 from ebbflow.operators.pull import collect_watermarks
 from ebbflow.operators.push import Policy
 from ebbflow.operators.sync import SyncError, sync
@@ -266,3 +266,23 @@ def test_changes_by_kind_name_their_uids(spark):
     pages = changes.uids_by_kind(log, page_size=1000).collect()
     assert sorted(u for p in pages if p["change"] == "updated" for u in p["uids"]) == sorted(f"b{i}" for i in range(2500))
     assert max(len(p["uids"]) for p in pages) <= 1300 and {(p["change"], p["n"]) for p in pages} == {("updated", 2500), ("deleted", 1)}
+
+
+def test_a_change_set_shuffles_each_row_once_and_compares_maps_by_entries(spark):
+    schema = "uid string, n int, m map<string,int>"
+    before = spark.createDataFrame([("a", 1, {"x": 1, "y": 2}), ("b", 1, {"x": 1}), ("c", None, None), (None, 1, None), ("d", 2, {})], schema)
+    after = spark.createDataFrame([("a", 1, {"y": 2, "x": 1}), ("b", 1, {"x": 2}), ("c", None, None), (None, 1, None), ("e", None, None)], schema)
+    found = change_set(before, after)
+    told = sorted(((r["uid"], r["change"], r["before"], r["after"]) for r in found.collect()), key=str)
+    assert [t for t in told if t[0] is None] == [(None, "deleted", (None, 1, None), None), (None, "inserted", None, (None, 1, None))]
+    assert [t for t in told if t[0] is not None] == [
+        ("b", "updated", ("b", 1, {"x": 1}), ("b", 1, {"x": 2})),
+        ("d", "deleted", ("d", 2, {}), None),
+        ("e", "inserted", None, ("e", None, None)),
+    ]
+    nodes = [found._jdf.queryExecution().optimizedPlan()]
+    while "Join" not in nodes[-1].nodeName():
+        nodes.append(nodes[-1].children().apply(0))
+    sides = [nodes[-1].children().apply(i) for i in range(2)]
+    assert [side.output().size() for side in sides] == [2, 2]  # the key and the row
+    assert ["uid" not in side.schema().apply(1).dataType().catalogString() for side in sides] == [True, True]
