@@ -1,19 +1,24 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
-A text is its words (runs of letters and digits in lower case). Equal word sequences are one node, whoever has
-the smallest doc_id. A node's k-mers (five words), each labelled with how many equal ones came before it, are
-hashed; each of ``bands`` hash functions picks the ``picks`` smallest and keeps them in text order, so that the
-sketch depends on order, as edit distance does; ``singles`` more pick one. Nodes that share a sketch meet in a bucket.
-
-In a bucket each node is first compared with the bucket's smallest node, by the edit distance of their words in a
-band that widens until it holds the distance or passes the bound. Nodes found unlike the leader stay together and
+A text is its words (runs of letters and digits in lower case), told apart by 64-bit hashes. Equal word sequences are
+one node, whoever has the smallest doc_id. A node's k-mers (five words), each labelled with how many equal ones came
+before it, are hashed; each of ``bands`` hash functions picks the ``picks`` smallest and keeps them in text order, so
+that the sketch depends on order, as edit distance does; ``singles`` more pick one. Nodes that share a sketch meet in a
+bucket.
+
+In a bucket each node is first compared with the bucket's smallest node, by the edit distance of their words: few edits
+are found along the diagonals, more in a band that widens until it holds the distance or passes the bound. Nodes found unlike the leader stay together and
 choose a new leader, as long as a tenth of the comparisons link. Classes are the components of the links.
 
-Buckets that then still hold nodes of different classes are parted by an exact rule. Near texts share all but a
-fifth of the longer one's words, so in any one order of all words the first fifth of each, and ``common`` words
-more, have ``common`` words in common. All nodes of such buckets, those of the leader's class as well, meet in
-these words, rare ones first; whoever shares enough of them, is of another class and not too long is compared. So
-do all texts of up to ``short`` words, whose sketches rarely agree, and the longer ones that may be near these.
+Buckets that then still hold nodes of different classes are parted by an exact rule. An edit takes two pairs of
+neighbouring words at most, so near texts share all but two fifths of the longer one's pairs, and in any one order of
+all pairs the first two fifths of each, and ``common`` pairs more, have ``common`` pairs in common. All nodes of such
+buckets, those of the leader's class as well, meet in these pairs, rare ones first; whoever shares enough of them, is
+of another class and not too long is compared. So do all texts of up to ``short`` words, whose sketches rarely agree,
+and the longer ones that may be near these.
+
+No texts are moved for a comparison that counts of words, in MARKS counters a node, show to be in vain: words that one
+of two texts has more often cost an edit each.
 
 Two texts are near when 1 - distance / length of the longer is at least ``similarity``.
 
@@ -24,13 +29,13 @@ document, with the least of their texts. Rows with a null doc_id get the class o
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -41,12 +46,11 @@ from ebbflow.llm.common import materialized, one_row_per_id
 from ebbflow.llm.graph import components
 from ebbflow.llm.workspace import Workspace
 
-WORDS = re.compile(r"\w+")
-REMEMBERED = 500_000
 SKETCHED = 50_000
-# Of all texts' characters, the share that the pairs of one slice of an alignment may bring to the shuffle.
+# Of all texts' words, the share that the pairs of one slice of an alignment may bring to the shuffle.
 SLICE = 0.5
 COUNTERS = 1 << 19  # of words, for an order of them
+MARKS = 256  # counters of a node's words, a byte each
 
 
 @dataclass(frozen=True)
@@ -59,9 +63,10 @@ class Settings:
     short: int = 20
     common: int = 3
 
-
-def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text.lower()) if isinstance(text, str) else []
+    @property
+    def run(self) -> int:
+        """How many neighbouring words texts meet in: pairs, unless edits may take all pairs of near texts."""
+        return 2 if self.similarity >= 0.75 else 1
 
 
 # ---- sketches ----------------------------------------------------------------------------------------------
@@ -73,6 +78,44 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C13)
+
+
+@cache
+def _characters() -> np.ndarray:
+    """A number for each character that is in words, as for \\w (letters, digits and the underscore); zero for others."""
+    inside = np.fromiter((c.isalnum() or c == "_" for c in map(chr, range(0x110000))), bool, 0x110000)
+    return np.where(inside, _mixed(np.arange(1, 0x110001, dtype=np.uint64) * _BASE), np.uint64(0))
+
+
+@cache
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, _BASE)]))
+
+
+def words_of(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order: polynomials of their characters in lower case, mixed."""
+    if not isinstance(text, str):
+        return np.empty(0, np.uint64)
+    text = text.lower()
+    if text.isascii():
+        codes = np.frombuffer(text.encode(), np.uint8)
+    else:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    found = _characters()[codes]
+    inside = found != 0
+    found = found[inside]
+    if not len(found):
+        return np.empty(0, np.uint64)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(first[inside])
+    sizes = np.diff(starts, append=len(found))
+    powers = _powers(1 << int(sizes.max()).bit_length())
+    at = np.arange(len(found)) - np.repeat(starts, sizes)
+    return _mixed(np.add.reduceat(found * powers[at], starts))
+
+
 def kmers(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the runs of k words; of the whole where it is shorter."""
     k = min(k, len(hashes))
@@ -86,17 +129,22 @@ def labelled(found: np.ndarray) -> np.ndarray:
     """K-mer hashes mixed with the number of equal ones before."""
     if not len(found):
         return found
+    run = np.sort(found)
+    if (run[1:] != run[:-1]).all():
+        return found
     order = np.argsort(found, kind="stable")
-    run = found[order]
     first = np.concatenate([[True], run[1:] != run[:-1]])
-    if first.all():
-        return found
     starts = np.maximum.accumulate(np.where(first, np.arange(len(run)), 0))
     before = np.empty(len(run), np.uint64)
     before[order] = np.arange(len(run)) - starts
     return np.where(before > 0, _mixed(found + before * np.uint64(0xD1342543DE82EF95)), found)
 
 
+@cache
+def _factors(bands: int) -> np.ndarray:
+    return _mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
     """One signed 64-bit value per band; none for a text without words."""
     if not len(hashes):
@@ -104,7 +152,7 @@ def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
     plain = kmers(hashes, settings.k)
     ranked = labelled(plain)
     bands = settings.bands + settings.singles
-    factors = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    factors = _factors(bands)
     step = max(1, (1 << 21) // len(ranked))  # bands at once, so that very long texts take bounded memory
     out = []
     for start, stop, picks in ((0, settings.bands, settings.picks), (settings.bands, bands, 1)):
@@ -113,10 +161,11 @@ def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
             keys = ranked[None, :] * some[:, None]
             rows = np.arange(len(keys))
             picked = []
-            for _ in range(min(picks, len(ranked))):
+            for left in reversed(range(min(picks, len(ranked)))):
                 at = keys.argmin(1)
                 picked.append(at)
-                keys[rows, at] = np.uint64(0xFFFFFFFFFFFFFFFF)
+                if left:
+                    keys[rows, at] = np.uint64(0xFFFFFFFFFFFFFFFF)
             chosen = plain[np.sort(np.stack(picked, 1), axis=1)]
             value = some.copy()
             for i in range(chosen.shape[1]):
@@ -125,37 +174,41 @@ def sketch(hashes: np.ndarray, settings: Settings) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def hashed(words: list[str], known: dict[str, int]) -> np.ndarray:
-    """Hashes of words; ``known`` remembers them."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    for word in set(words).difference(known):
-        known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-    return np.fromiter((known[w] for w in words), np.uint64, len(words))
+def mark(hashes: np.ndarray) -> bytes:
+    """How many words fall to each of MARKS counters, up to 255."""
+    found = np.bincount((hashes & np.uint64(MARKS - 1)).astype(np.int64), minlength=MARKS)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def least_distances(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """What the edit distance of two texts is at least, by their marks."""
+    left, right = (np.frombuffer(b"".join(m), np.uint8).reshape(-1, MARKS).astype(np.int16) for m in (a, b))
+    more = left - right
+    over = np.maximum(more, 0).sum(1, dtype=np.int64)
+    return np.maximum(over, over - more.sum(1, dtype=np.int64))
 
 
 def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, digest (of the word sequence), n_words, sketch."""
+    """doc_id, digest (of the word sequence), n_words, mark, sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
-        done: dict[bytes, np.ndarray] = {}  # copies in one task are sketched once
+        done: dict[bytes, tuple[bytes, np.ndarray]] = {}  # copies in one task are sketched once
         for batch in batches:
             rows = []
             if len(done) > SKETCHED:
                 done.clear()
             for doc_id, text in zip(batch["id"], batch["text"], strict=True):
                 words = words_of(text)
-                digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+                digest = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
                 if digest not in done:
-                    done[digest] = sketch(hashed(words, known), settings)
-                rows.append((doc_id, digest, len(words), done[digest]))
-            yield pd.DataFrame(rows, columns=["id", "digest", "n_words", "sketch"])
+                    done[digest] = mark(words), sketch(words, settings)
+                rows.append((doc_id, digest, len(words), *done[digest]))
+            yield pd.DataFrame(rows, columns=["id", "digest", "n_words", "mark", "sketch"])
 
     # As text: pandas would make floats of all ids of a batch that has a null one.
     named = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
-    found = named.mapInPandas(run, "id string, digest binary, n_words int, sketch array<long>")
-    return found.select(F.col("id").cast("long").alias("doc_id"), "digest", "n_words", "sketch")
+    found = named.mapInPandas(run, "id string, digest binary, n_words int, mark binary, sketch array<long>")
+    return found.select(F.col("id").cast("long").alias("doc_id"), "digest", "n_words", "mark", "sketch")
 
 
 # ---- alignment ---------------------------------------------------------------------------------------------
@@ -201,8 +254,48 @@ def _in_band(a: list, b: list, d: int) -> int:
     return distance
 
 
+def _equal_to(a: list, i: int, b: list, j: int) -> int:
+    """Where in ``a`` the run of equal items from a[i] and b[j] on ends."""
+    step = 4
+    while (x := a[i : i + step]) == (y := b[j : j + step]):
+        i, j = i + len(x), j + len(x)
+        if len(x) < step:
+            return i
+        step *= 2
+    for p, q in zip(x, y):
+        if p != q:
+            break
+        i += 1
+    return i
+
+
+def _by_diagonals(a: list, b: list, most: int) -> int | None:
+    """Edit distance if it is at most ``most``, by the furthest places that so many edits reach on each diagonal."""
+    n, m = len(a), len(b)
+    goal = m - n
+    none = -n - m - 2
+    reach = {0: _equal_to(a, 0, b, 0)}
+    if goal == 0 and reach[0] == n:
+        return 0
+    for edits in range(1, most + 1):
+        left = most - edits
+        after = {}
+        for k in range(max(-edits, goal - left), min(edits, goal + left) + 1):
+            i = max(reach.get(k, none) + 1, reach.get(k - 1, none), reach.get(k + 1, none) + 1)
+            i = min(i, n, m - k)
+            if i < 0:
+                continue
+            if i < n and i + k < m and a[i] == b[i + k]:
+                i = _equal_to(a, i, b, i + k)
+            after[k] = i
+        if after.get(goal) == n:
+            return edits
+        reach = after
+    return None
+
+
 def distance_within(a: list, b: list, most: int) -> int | None:
-    """The edit distance of two sequences if it is at most ``most``, else None; the band doubles up to there."""
+    """The edit distance of two sequences if it is at most ``most``, else None; the band widens up to there."""
     start = 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -217,9 +310,15 @@ def distance_within(a: list, b: list, most: int) -> int | None:
     if not b:
         return len(a)
     # Each word of the longer one that the other lacks costs an edit.
-    if len(a) - sum((Counter(a) & Counter(b)).values()) > most:
+    lacking = len(a) - sum((Counter(a) & Counter(b)).values())
+    if lacking > most:
         return None
-    d = max(8, len(a) - len(b))
+    few = min(most, 2 * isqrt(len(a)) + 8)  # about as dear as one band
+    if lacking <= few:
+        found = _by_diagonals(a, b, few)
+        if found is not None or few == most:
+            return found
+    d = max(24, lacking)
     while True:
         d = min(d, most, len(a) - 1)
         found = _in_band(a, b, d)
@@ -229,7 +328,7 @@ def distance_within(a: list, b: list, most: int) -> int | None:
             return len(a) if len(a) <= most else None
         if d == most:
             return None
-        d *= 2
+        d *= 3
 
 
 def align(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -248,8 +347,8 @@ def align(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings()) -
             found = []
             for a, b, text_a, text_b in batch.itertuples(index=False, name=None):
                 if a != last:
-                    last, left = a, words_of(text_a)
-                right = words_of(text_b)
+                    last, left = a, words_of(text_a).tolist()
+                right = words_of(text_b).tolist()
                 longer = max(len(left), len(right))
                 most = int(longer * (1 - settings.similarity) + 1e-9)
                 distance = distance_within(left, right, most)
@@ -262,6 +361,21 @@ def align(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings()) -
     )
 
 
+def likely(pairs: DataFrame, texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """a, b of the pairs whose lengths may be near, and ``likely``: whether their marks (texts: node, n_words, mark)
+    leave it open that they are similar enough."""
+    facts = [texts.select(F.col("node").alias(x), F.col("n_words").alias(f"{x}_words"), F.col("mark").alias(f"{x}_mark")) for x in "ab"]
+    both = pairs.join(facts[1], "b").join(facts[0], "a").filter(~_apart("a_words", "b_words", settings))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            most = (batch[["a_words", "b_words"]].max(axis=1) * (1 - settings.similarity) + 1e-9).astype(int)
+            batch["likely"] = least_distances(batch["a_mark"], batch["b_mark"]) <= most
+            yield batch[["a", "b", "likely"]]
+
+    return both.mapInPandas(run, "a long, b long, likely boolean")
+
+
 # ---- classes -----------------------------------------------------------------------------------------------
 
 
@@ -283,10 +397,9 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     """How often words fall to each of COUNTERS counters: rows of counts by tasks, added up by Spark."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            found = [labelled(hashed(words_of(text), known)) for text in batch["text"]]
+            found = [words_of(text) for text in batch["text"]]
             if found:
                 at = np.concatenate(found) & np.uint64(COUNTERS - 1)
                 total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
@@ -300,26 +413,29 @@ def word_counts(texts: DataFrame) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """node, class, n_words, word: of each text (node, class, text) the rarest words, as many as any near text must
-    share ``common`` of. The order is by counts, then by hash; any order of all words is exact."""
+    """node, class, n_words, gram: of each text (node, class, text) the rarest runs of words, as many as any near text
+    must share ``common`` of. The order is by counts of their words, then by hash; any order of all runs is exact. Runs
+    with a word that occurs nowhere else link nothing and stay out."""
     counts = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
+    size = settings.run
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
-        often = counts.value
         for batch in batches:
             firsts, lengths = [], []
             for text in batch["text"]:
-                words = labelled(hashed(words_of(text), known))
-                keep = int(len(words) * (1 - settings.similarity) + 1e-9) + settings.common
-                seen = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                if keep < len(words):  # the rarest, and all that are as rare as the last of them
+                words = words_of(text)
+                often = counts.value[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                seen, least = often.astype(np.float64), often
+                if len(words) >= size == 2:
+                    seen, least = seen[1:] * seen[:-1], np.minimum(often[1:], often[:-1])
+                grams = labelled(kmers(words, size)) if len(words) else words
+                keep = size * int(len(words) * (1 - settings.similarity) + 1e-9) + settings.common + size - 1
+                if keep < len(grams):  # the rarest, and all that are as rare as the last of them
                     rare = seen <= np.partition(seen, keep - 1)[keep - 1]
-                    words, seen = words[rare], seen[rare]
-                    lengths.append(len(rare))
-                else:
-                    lengths.append(len(words))
-                firsts.append(words[np.lexsort((words, seen))[:keep]].view(np.int64))
+                    grams, seen, least = grams[rare], seen[rare], least[rare]
+                order = np.lexsort((grams, seen))[:keep]
+                firsts.append(grams[order[least[order] > 1]].view(np.int64))
+                lengths.append(len(words))
             if firsts:
                 sizes = [len(f) for f in firsts]
                 yield pd.DataFrame(
@@ -327,38 +443,41 @@ def prefixes(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
                         "node": np.repeat(batch["node"].to_numpy(), sizes),
                         "class": np.repeat(batch["class"].to_numpy(), sizes),
                         "n_words": np.repeat(np.asarray(lengths, np.int32), sizes),
-                        "word": np.concatenate(firsts),
+                        "gram": np.concatenate(firsts),
                     }
                 )
 
-    return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words int, word long")
+    return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words int, gram long")
 
 
 def by_words(members: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
     """a, b: all pairs of different classes among texts (node, class, text) that can be similar enough."""
     everything = work.keep(prefixes(members, settings))
-    # Words of one class alone link nothing.
-    several = everything.groupBy("word").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
-    words = work.keep(everything.join(several.filter("_low < _high").select("word"), "word", "left_semi"))
+    # Grams of one class alone link nothing.
+    several = everything.groupBy("gram").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    grams = work.keep(everything.join(several.filter("_low < _high").select("gram").hint("shuffle_hash"), "gram", "left_semi"))
     work.drop(everything)
-    left = words.select("word", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("n_words").alias("a_words"))
-    right = words.select("word", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("n_words").alias("b_words"))
+    left = grams.select("gram", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("n_words").alias("a_words"))
+    right = grams.select("gram", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("n_words").alias("b_words"))
     met = (F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class")) & ~_apart("a_words", "b_words", settings)
-    pairs = left.join(right, (left["word"] == right["word"]) & met)
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= settings.common).select("a", "b")
+    pairs = left.join(right, (left["gram"] == right["gram"]) & met)
+    # Of the longer one's grams, each edit takes ``run`` at most: so many are left of very short texts.
+    longer = F.greatest("a_words", "b_words")
+    edits = F.floor(longer * (1 - settings.similarity) + 1e-9)
+    enough = F.least(F.lit(settings.common), longer - (settings.run - 1) - settings.run * edits)
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"), F.first(enough).alias("_enough")).filter("_n >= _enough").select("a", "b")
 
 
 def align_all(pairs: DataFrame, texts: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
     """a, b of the pairs that are similar enough, aligned slice by slice.
 
     A pair brings a text to the shuffle, and there may be many more pairs than texts. A slice brings ``SLICE`` of all
-    texts' characters at most, on average, and its shuffle goes before the next one's; the number of slices follows
+    texts' words at most, on average, and its shuffle goes before the next one's; the number of slices follows
     the ratio of pairs to texts, not the size of the data.
     """
-    sizes = work.keep(texts.select("node", F.length("text").alias("n")))
-    whole = sizes.agg(F.sum("n")).first()[0] or 1
-    brought = pairs.join(sizes, pairs["b"] == sizes["node"]).agg(F.sum("n")).first()[0] or 0
-    work.drop(sizes)
+    sizes = texts.select("node", "n_words")
+    whole = sizes.agg(F.sum("n_words")).first()[0] or 1
+    brought = pairs.join(sizes, pairs["b"] == sizes["node"]).agg(F.sum("n_words")).first()[0] or 0
     slices = max(1, -(-brought // max(1, int(whole * SLICE))))
     parts = []
     for i in range(slices):
@@ -369,7 +488,7 @@ def align_all(pairs: DataFrame, texts: DataFrame, work: Workspace, settings: Set
 
 
 def _bucketed(texts: DataFrame, folder: str, buckets: int) -> tuple[DataFrame, str]:
-    """Texts (node, text) written in buckets of their node, so that no join with them moves them; the table's name."""
+    """Texts (node, text, n_words, mark) written in buckets of their node, so that no join with them moves them; the table's name."""
     name = f"omh_{uuid.uuid4().hex}"
     writer = texts.repartition(buckets, "node").write.format("parquet").bucketBy(buckets, "node").sortBy("node")
     writer.option("compression", "zstd").option("path", folder).saveAsTable(name)
@@ -391,7 +510,7 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             members = work.keep(found.select("doc_id", "digest").join(first, "digest").select("doc_id", "copy_of").distinct())
             heads = first.select(F.col("copy_of").alias("doc_id"))
             nodes = found.filter("size(sketch) > 0").join(heads, "doc_id", "left_semi")
-            nodes = work.keep(nodes.select(F.col("doc_id").alias("node"), "n_words", "sketch"))
+            nodes = work.keep(nodes.select(F.col("doc_id").alias("node"), "n_words", "mark", "sketch"))
         table = None
         try:
             classes, table = _linked(docs, nodes, work, settings)
@@ -402,6 +521,15 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _joined(classes: DataFrame | None, links: DataFrame, work: Workspace, brief: Workspace) -> DataFrame | None:
+    """The classes (node, class) with more links (a, b): a class is tied by its nodes' links to its smallest."""
+    if links.isEmpty():
+        return classes
+    if classes is not None:
+        links = links.unionByName(classes.select(F.col("class").alias("a"), F.col("node").alias("b")))
+    return work.keep(components(links, brief.keep))
+
+
 def _linked(docs: DataFrame, nodes: DataFrame, work: Workspace, settings: Settings) -> tuple[DataFrame | None, str | None]:
     """node, class of all nodes that are linked to another one; and the table of their texts."""
     spark = docs.sparkSession
@@ -409,36 +537,35 @@ def _linked(docs: DataFrame, nodes: DataFrame, work: Workspace, settings: Settin
     leaders = exploded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     with Workspace(spark, "omh-leaders") as brief:
         leaders = brief.keep(leaders)
-        buckets = work.keep(exploded.join(leaders.select("bucket", "leader", (F.col("_n") > 2).alias("many")), "bucket"))
+        buckets = work.keep(exploded.join(leaders.select("bucket", "leader", (F.col("_n") > 2).alias("many")).hint("shuffle_hash"), "bucket"))
     many = buckets.filter("many").select("bucket", "node")
     # Whose text can be needed: who shares a sketch, and whoever can be near a short text.
     short = nodes.filter(F.col("n_words") <= settings.short / settings.similarity).select("node")
     wanted = work.keep(buckets.select("node").unionByName(short).distinct())
-    sizes = nodes.select("node", "n_words")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    facts = nodes.select("node", "n_words", "mark").join(wanted, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(facts, "node")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts, table = _bucketed(texts, f"{work.folder}/texts", parts)
 
-    links = seen = classes = None
+    seen = classes = None
     rows = buckets.select("bucket", "node", "leader")
     while True:
         with Workspace(spark, "omh-round") as brief:
             met = rows.filter("node <> leader").select("node", "leader").distinct()
             met = _classed(_classed(met, classes, "node"), classes, "leader").filter("node_class <> leader_class")
-            met = met.join(sizes, "node").join(sizes.select(F.col("node").alias("leader"), F.col("n_words").alias("leader_words")), "leader")
-            pairs = met.filter(~_apart("n_words", "leader_words", settings))
-            pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
+            pairs = met.select(F.col("leader").alias("a"), F.col("node").alias("b"))
             if seen is not None:
                 pairs = pairs.join(seen, ["a", "b"], "left_anti")
-            pairs = work.keep(pairs)
+            pairs = work.keep(likely(pairs, texts, settings))
             n = pairs.count()
             if not n:
                 break
-            fresh = align_all(pairs, texts, work, settings)
-            links = fresh if links is None else links.unionByName(fresh)
+            fresh = align_all(pairs.filter("likely").select("a", "b"), texts, work, settings)
+            pairs = pairs.select("a", "b")
             seen = pairs if seen is None else seen.unionByName(pairs)
-            old, classes = classes, work.keep(components(links, brief.keep))
-            work.drop(old)
+            old, classes = classes, _joined(classes, fresh, work, brief)
+            if classes is not old:
+                work.drop(old)
             if fresh.count() * 10 < n:
                 break
             # Who is not in the leader's class stays for the next leader.
@@ -451,15 +578,16 @@ def _linked(docs: DataFrame, nodes: DataFrame, work: Workspace, settings: Settin
     with Workspace(spark, "omh-words") as brief:
         several = _classed(many, classes, "node")
         mixed = several.groupBy("bucket").agg(F.min("node_class").alias("_low"), F.max("node_class").alias("_high")).filter("_low < _high")
-        chosen = several.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "node_class")
+        chosen = several.join(mixed.select("bucket").hint("shuffle_hash"), "bucket", "left_semi").select("node", "node_class")
         # Short texts meet in their words, whether or not a sketch agrees; so do the longest that can be near them.
         few = _classed(short, classes, "node").select("node", "node_class")
         chosen = brief.keep(chosen.unionByName(few).distinct().withColumnRenamed("node_class", "class"))
         work.drop(buckets)
         with Workspace(spark, "omh-prefixes") as words:
             pairs = by_words(texts.join(chosen, "node"), words, settings)
-            pairs = brief.keep(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
+            pairs = pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
+            pairs = words.keep(pairs)
+            pairs = brief.keep(likely(pairs, texts, settings).filter("likely").select("a", "b"))
         if not pairs.isEmpty():
-            fresh = align_all(pairs, texts, work, settings)
-            classes = work.keep(components(fresh if links is None else links.unionByName(fresh), brief.keep))
+            classes = _joined(classes, align_all(pairs, texts, work, settings), work, brief)
     return classes, table

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import time
 import zlib
 
 import numpy as np
 import pandas as pd
 
-from ebbflow.llm import huffman, langid, permutation
+from ebbflow.llm import huffman, langid, omh, permutation
 from ebbflow.llm.common import tokenizer_file
 
 
@@ -102,3 +103,43 @@ def test_op2_splits_a_text_once_and_merges_plain_words_without_the_library_split
     encoder.tokenizer = counted = Counted(encoder.tokenizer)
     encoder.batch([" every plain word of this text", " and another text"])
     assert counted.asked == []  # asked for both texts' words before
+
+
+def test_op10_meets_in_pairs_of_words_and_moves_no_texts_that_counts_of_words_rule_out(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = {i: [f"w{j}" for j in rng.integers(0, 60, 20)] for i in range(0, 200, 2)}  # of a few words, all frequent
+    for i in range(0, 20, 2):
+        texts[i + 1] = [*texts[i][:9], "changed", *texts[i][10:]]
+    asked, align_all = [], omh.align_all
+    monkeypatch.setattr(omh, "align_all", lambda pairs, *rest: asked.append(pairs.count()) or align_all(pairs, *rest))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in omh.near_classes(docs).collect()}
+    assert found == {i: i - i % 2 for i in texts}
+    assert sum(asked) <= 40  # a thousand and more where single words were enough
+
+
+def test_op10_few_edits_along_diagonals_and_marks_below_every_distance():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = rng.integers(0, 12, rng.integers(1, 40)).tolist()
+        b = [x for x in a if rng.random() > 0.1] + rng.integers(0, 12, rng.integers(0, 4)).tolist()
+        table = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, table[0] = table[0], i
+            for j, y in enumerate(b, 1):
+                last, table[j] = table[j], min(table[j] + 1, table[j - 1] + 1, last + (x != y))
+        for most in (0, 3, 50):
+            assert omh._by_diagonals(a, b, most) == (table[-1] if table[-1] <= most else None)
+        marks = [pd.Series([omh.mark(omh.words_of(" ".join(map(str, t))))]) for t in (a, b)]
+        assert omh.least_distances(*marks)[0] <= table[-1]
+
+
+def test_op10_words_are_runs_of_word_characters():
+    texts = ["", "a_b c-d", "İstanbul ſ ßẞ ½²Ⅷ", "x\x1cy\x85z　q", "é é 日本 मराठी", "ab ba aab", "\ud800a"]
+    seen = {}
+    for text in texts:
+        words = re.findall(r"\w+", text.lower())
+        hashes = omh.words_of(text).tolist()
+        assert len(hashes) == len(words)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen)
