@@ -12,10 +12,11 @@ choose a new leader, as long as a tenth of the comparisons link. Classes are the
 
 Buckets that then still hold nodes of different classes are parted by an exact rule. An edit takes two pairs of
 neighbouring words at most, so near texts share all but two fifths of the longer one's pairs, and in any one order of
-all pairs the first two fifths of each, and ``common`` pairs more, have ``common`` pairs in common. All nodes of such
-buckets, those of the leader's class as well, meet in these pairs, rare ones first; whoever shares enough of them, is
-of another class and not too long is compared. So do all texts of up to ``short`` words, whose sketches rarely agree,
-and the longer ones that may be near these.
+all pairs the first two fifths of each, and c pairs more, have c pairs in common: ``common``, or for long texts one for
+``each`` words. All nodes of such buckets, those of the leader's class as well, meet in these pairs, rare ones first;
+whoever shares enough of them, is of another class and not too long is compared. So do all texts of up to ``short``
+words, whose sketches rarely agree, and the longer ones that may be near these. How rare a pair is, is told by how
+often its words occur, but for pairs seen far more often than that (of passages that many texts hold), which are counted.
 
 No texts are moved for a comparison that counts of words, in MARKS counters a node, show to be in vain: words that one
 of two texts has more often cost an edit each.
@@ -50,6 +51,10 @@ SKETCHED = 50_000
 # Of all texts' words, the share that the pairs of one slice of an alignment may bring to the shuffle.
 SLICE = 0.5
 COUNTERS = 1 << 19  # of words, for an order of them
+BLOCK = 1 << 21  # words whose runs are counted together
+# Runs are counted where a block has them so many times as often as their words let expect; those that come so often
+# in all are looked up in a table of so many at most.
+EXCESS, FREQUENT, LISTED = 4, 16, 1 << 18
 MARKS = 256  # counters of a node's words, a byte each
 
 
@@ -62,6 +67,7 @@ class Settings:
     similarity: float = 0.8
     short: int = 20
     common: int = 3
+    each: int = 20
 
     @property
     def run(self) -> int:
@@ -393,66 +399,126 @@ def _apart(a: str, b: str, settings: Settings):
     return F.abs(F.col(a) - F.col(b)) > longer * (1 - settings.similarity) + 1e-9
 
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """How often words fall to each of COUNTERS counters: rows of counts by tasks, added up by Spark."""
+@dataclass(frozen=True)
+class Counts:
+    """How often words fall to each of COUNTERS counters, and how often the runs of words that are more frequent than
+    their words let expect were seen, by their hashes in order."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            found = [words_of(text) for text in batch["text"]]
-            if found:
-                at = np.concatenate(found) & np.uint64(COUNTERS - 1)
-                total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
-        (at,) = np.nonzero(total)
-        yield pd.DataFrame({"at": at, "n": total[at]})
+    words: np.ndarray
+    whole: int  # words in all
+    runs: np.ndarray
+    seen: np.ndarray
 
-    found = texts.select("text").mapInPandas(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(COUNTERS, np.int64)
-    out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)  # at most COUNTERS rows
+
+def _expected(often: np.ndarray, size: int, whole: int) -> np.ndarray:
+    """How often the runs of ``size`` words are to be expected among ``whole`` words, by how often each word occurs."""
+    out = often[: len(often) - size + 1].astype(np.float64)
+    for i in range(1, size):
+        out *= often[i : len(often) - size + 1 + i] / max(1, whole)
     return out
 
 
-def prefixes(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """node, class, n_words, gram: of each text (node, class, text) the rarest runs of words, as many as any near text
-    must share ``common`` of. The order is by counts of their words, then by hash; any order of all runs is exact. Runs
-    with a word that occurs nowhere else link nothing and stay out."""
-    counts = texts.sparkSession.sparkContext.broadcast(word_counts(texts))
-    size = settings.run
+def _tallied(texts: list[np.ndarray], size: int) -> pd.DataFrame:
+    """run, at, n of a block of texts: of words by counters, and of the runs that are unexpectedly frequent by hashes."""
+    together = np.concatenate(texts)
+    at = (together & np.uint64(COUNTERS - 1)).astype(np.int64)
+    total = np.bincount(at, minlength=COUNTERS)
+    starts = np.cumsum([0, *map(len, texts)])
+    long = [(t, total[at[i : i + len(t)]]) for t, i in zip(texts, starts, strict=False) if len(t) >= size > 1]
+    parts = [pd.DataFrame({"run": False, "at": (some := np.flatnonzero(total)), "n": total[some]})]
+    if long:
+        found, first, n = np.unique(np.concatenate([labelled(kmers(t, size)) for t, _ in long]), return_index=True, return_counts=True)
+        expected = np.concatenate([_expected(often, size, len(together)) for _, often in long])[first]
+        odd = (n > 1) & (n > EXCESS * expected)
+        parts.append(pd.DataFrame({"run": True, "at": found[odd].view(np.int64), "n": n[odd]}))
+    return pd.concat(parts)
+
+
+def counts_of(texts: DataFrame, work: Workspace, settings: Settings = Settings()) -> Counts:
+    """Counts of the words of texts and of their frequent runs: by tasks, added up by Spark."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
         for batch in batches:
-            firsts, lengths = [], []
             for text in batch["text"]:
-                words = words_of(text)
-                often = counts.value[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                seen, least = often.astype(np.float64), often
-                if len(words) >= size == 2:
-                    seen, least = seen[1:] * seen[:-1], np.minimum(often[1:], often[:-1])
-                grams = labelled(kmers(words, size)) if len(words) else words
-                keep = size * int(len(words) * (1 - settings.similarity) + 1e-9) + settings.common + size - 1
-                if keep < len(grams):  # the rarest, and all that are as rare as the last of them
-                    rare = seen <= np.partition(seen, keep - 1)[keep - 1]
-                    grams, seen, least = grams[rare], seen[rare], least[rare]
-                order = np.lexsort((grams, seen))[:keep]
-                firsts.append(grams[order[least[order] > 1]].view(np.int64))
-                lengths.append(len(words))
-            if firsts:
-                sizes = [len(f) for f in firsts]
-                yield pd.DataFrame(
-                    {
-                        "node": np.repeat(batch["node"].to_numpy(), sizes),
-                        "class": np.repeat(batch["class"].to_numpy(), sizes),
-                        "n_words": np.repeat(np.asarray(lengths, np.int32), sizes),
-                        "gram": np.concatenate(firsts),
-                    }
-                )
+                held.append(words_of(text))
+                n += len(held[-1])
+                if n >= BLOCK:
+                    yield _tallied(held, settings.run)
+                    held, n = [], 0
+        if held:
+            yield _tallied(held, settings.run)
+
+    tallied = texts.select("text").mapInPandas(run, "run boolean, at long, n long")
+    found = work.keep(tallied.groupBy("run", "at").agg(F.sum("n").alias("n")).filter(f"NOT run OR n >= {FREQUENT}"))
+    words = found.filter("NOT run").select("at", "n").toPandas()  # at most COUNTERS rows
+    out = np.zeros(COUNTERS, np.int64)
+    out[words["at"].to_numpy(np.int64)] = words["n"].to_numpy(np.int64)
+    runs = found.filter("run")
+    sizes = runs.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().collect()
+    least = 0
+    while sum(n for power, n in sizes if power >= least) > LISTED:
+        least += 1
+    listed = runs.filter(F.col("n") >= (1 << least)).select("at", "n").toPandas()
+    hashes = listed["at"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Counts(out, int(out.sum()), hashes[order], listed["n"].to_numpy(np.float64)[order])
+
+
+def _common(n_words: int, settings: Settings) -> int:
+    """How many runs near texts of at least so many words must share among their first."""
+    return max(settings.common, n_words // settings.each)
+
+
+def first_runs(words: np.ndarray, counts: Counts, settings: Settings) -> np.ndarray:
+    """Of a text's runs of words the rarest, as many as any near text must share ``_common`` of. Any order of all runs
+    is exact; this one is by counts, then by hash. Runs with a word that occurs nowhere else stay out."""
+    if not len(words):
+        return words.view(np.int64)
+    size = min(settings.run, len(words))
+    often = counts.words[(words & np.uint64(COUNTERS - 1)).astype(np.int64)]
+    seen = _expected(often, size, counts.whole)
+    least = often[: len(often) - size + 1]
+    for i in range(1, size):
+        least = np.minimum(least, often[i : len(often) - size + 1 + i])
+    grams = labelled(kmers(words, size))
+    if len(counts.runs):
+        at = np.minimum(np.searchsorted(counts.runs, grams), len(counts.runs) - 1)
+        seen = np.where(counts.runs[at] == grams, np.maximum(seen, counts.seen[at]), seen)
+    keep = settings.run * int(len(words) * (1 - settings.similarity) + 1e-9) + _common(len(words), settings) + settings.run - 1
+    if keep < len(grams):  # the rarest, and all that are as rare as the last of them
+        rare = seen <= np.partition(seen, keep - 1)[keep - 1]
+        grams, seen, least = grams[rare], seen[rare], least[rare]
+    order = np.lexsort((grams, seen))[:keep]
+    return grams[order[least[order] > 1]].view(np.int64)
+
+
+def prefixes(texts: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
+    """node, class, n_words, gram: of each text (node, class, text) its ``first_runs``."""
+    counts = texts.sparkSession.sparkContext.broadcast(counts_of(texts, work, settings))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [words_of(text) for text in batch["text"]]
+            if not found:
+                continue
+            firsts = [first_runs(words, counts.value, settings) for words in found]
+            sizes = [len(f) for f in firsts]
+            yield pd.DataFrame(
+                {
+                    "node": np.repeat(batch["node"].to_numpy(), sizes),
+                    "class": np.repeat(batch["class"].to_numpy(), sizes),
+                    "n_words": np.repeat(np.asarray([len(words) for words in found], np.int32), sizes),
+                    "gram": np.concatenate(firsts),
+                }
+            )
 
     return texts.select("node", "class", "text").mapInPandas(run, "node long, class long, n_words int, gram long")
 
 
 def by_words(members: DataFrame, work: Workspace, settings: Settings = Settings()) -> DataFrame:
     """a, b: all pairs of different classes among texts (node, class, text) that can be similar enough."""
-    everything = work.keep(prefixes(members, settings))
+    everything = work.keep(prefixes(members, work, settings))
     # Grams of one class alone link nothing.
     several = everything.groupBy("gram").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
     grams = work.keep(everything.join(several.filter("_low < _high").select("gram").hint("shuffle_hash"), "gram", "left_semi"))
@@ -464,7 +530,8 @@ def by_words(members: DataFrame, work: Workspace, settings: Settings = Settings(
     # Of the longer one's grams, each edit takes ``run`` at most: so many are left of very short texts.
     longer = F.greatest("a_words", "b_words")
     edits = F.floor(longer * (1 - settings.similarity) + 1e-9)
-    enough = F.least(F.lit(settings.common), longer - (settings.run - 1) - settings.run * edits)
+    common = F.greatest(F.lit(settings.common), F.floor(F.least("a_words", "b_words") / settings.each))
+    enough = F.least(common, longer - (settings.run - 1) - settings.run * edits)
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"), F.first(enough).alias("_enough")).filter("_n >= _enough").select("a", "b")
 
 

@@ -143,3 +143,35 @@ def test_op10_words_are_runs_of_word_characters():
         assert len(hashes) == len(words)
         assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
     assert len(set(seen.values())) == len(seen)
+
+
+def test_op10_a_passage_of_many_texts_makes_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    passage = [f"p{j}" for j in range(20)]  # its words are rarer than the others, its pairs of words are not
+    texts = {i: [*passage, *(f"w{j}" for j in rng.integers(0, 80, 120))] for i in range(0, 400, 2)}
+    for i in range(0, 20, 2):
+        texts[i + 1] = [w if rng.random() > 0.1 else "changed" for w in texts[i]]
+    met, likely = [], omh.likely
+    monkeypatch.setattr(omh, "likely", lambda pairs, *rest: met.append(pairs.count()) or likely(pairs, *rest))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in omh.near_classes(docs).collect()}
+    assert found == {i: i - i % 2 for i in texts}
+    assert met[-1] <= 50  # nearly all of some 20000 where its words told how rare a pair is
+
+
+def test_op10_near_texts_share_enough_of_their_first_pairs_in_any_order():
+    rng, settings = np.random.default_rng(11), omh.Settings()
+    for n in [*range(3, 30), 60, 150, 400, 1000]:
+        for _ in range(10):
+            a = rng.integers(0, 40, n).tolist()
+            b = list(a)
+            for _ in range(int(n * (1 - settings.similarity))):  # as many edits as a near text of this length may have
+                at, kind = rng.integers(0, len(b)), rng.integers(0, 3)
+                b[at : at + (kind < 2)] = [1000 + int(rng.integers(0, 1 << 30))] * int(kind > 0)
+            a, b = (omh.words_of(" ".join(map(str, t))) for t in (a, b))
+            runs = np.sort(np.unique(omh.labelled(omh.kmers(a, settings.run)))[::3])
+            counts = omh.Counts(rng.integers(2, 50, omh.COUNTERS), 10_000, runs, rng.integers(16, 99, len(runs)).astype(float))
+            longer = max(len(a), len(b))
+            edits = int(longer * (1 - settings.similarity) + 1e-9)
+            shared = len(np.intersect1d(omh.first_runs(a, counts, settings), omh.first_runs(b, counts, settings)))
+            assert shared >= min(omh._common(min(len(a), len(b)), settings), longer - settings.run + 1 - settings.run * edits)
